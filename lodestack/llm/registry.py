@@ -43,3 +43,17 @@ def op4_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     from lodestack.llm.near_dedup import near_duplicates
 
     return near_duplicates(table(spark, folder, "documents"))
+
+
+@query("op7_quality_rules")
+def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    from lodestack.llm.quality import judge
+
+    return judge(table(spark, folder, "documents"), table(spark, folder, "labels")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.array_join("broken", ",").alias("broken"))
+
+
+@query("op10_pii")
+def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
+    from lodestack.llm.pii import find
+
+    return find(table(spark, folder, "documents")).drop("spans_list")
