@@ -57,3 +57,10 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     from lodestack.llm.pii import find
 
     return find(table(spark, folder, "documents")).drop("spans_list")
+
+
+@query("op9_decontaminate")
+def op9_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    from lodestack.llm.decontaminate import contaminated
+
+    return contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
