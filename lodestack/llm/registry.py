@@ -64,3 +64,10 @@ def op9_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     from lodestack.llm.decontaminate import contaminated
 
     return contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op3_token_records")
+def op3_token_records(spark: SparkSession, folder: str) -> DataFrame:
+    from lodestack.llm.records import round_trip
+
+    return round_trip(table(spark, folder, "documents"), tokenizer_path("word_bpe_49k.json"), end_id=1)
