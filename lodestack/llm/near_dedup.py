@@ -20,7 +20,7 @@ BANDS, ROWS = 20, 5
 #: Links need 100 * intersection >= PERCENT * union.
 PERCENT = 85
 #: Shingles worked on at once.
-MOST_SHINGLES = 1 << 18
+MOST_SHINGLES = 1 << 16
 
 
 def shingle_sets(data: np.ndarray, offs: np.ndarray, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
@@ -84,7 +84,7 @@ def fingerprints(sets: np.ndarray, begin: np.ndarray) -> np.ndarray:
 def _summaries(bands: int, rows: int, width: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b, data, offs in tv.slices(batch.column(1), 1 << 21):
+            for a, b, data, offs in tv.slices(batch.column(1), 1 << 20):
                 sets, begin = shingle_sets(data, offs, width)
                 n = np.diff(begin)
                 keys, marks = np.zeros((b - a, bands), np.uint64), fingerprints(sets, begin)
@@ -117,7 +117,7 @@ def _packed_sets(bitmap: np.ndarray, width: int):
             if not len(chosen):
                 continue
             picked = batch.take(pa.array(chosen))
-            for a, b, data, offs in tv.slices(picked.column(1), 1 << 21):
+            for a, b, data, offs in tv.slices(picked.column(1), 1 << 20):
                 sets, begin = shingle_sets(data, offs, width)
                 packed = pa.LargeBinaryArray.from_buffers(pa.large_binary(), b - a, [None, pa.py_buffer((begin * 8).astype(np.int64)), pa.py_buffer(sets)])
                 yield pa.RecordBatch.from_arrays([picked.column(0).slice(a, b - a), packed.cast(pa.binary())], ["node", "packed"])

@@ -16,7 +16,7 @@ U64 = np.uint64
 _BASE = U64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = U64(pow(int(_BASE), -1, 1 << 64))
 #: Bytes hashed at once; bounds the tables of powers.
-SLICE = 1 << 21
+SLICE = 1 << 18
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
