@@ -71,3 +71,10 @@ def op3_token_records(spark: SparkSession, folder: str) -> DataFrame:
     from lodestack.llm.records import round_trip
 
     return round_trip(table(spark, folder, "documents"), tokenizer_path("word_bpe_49k.json"), end_id=1)
+
+
+@query("op6_html_text")
+def op6_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    from lodestack.llm.html_text import extract
+
+    return extract(table(spark, folder, "pages"))
