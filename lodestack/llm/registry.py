@@ -78,3 +78,30 @@ def op6_html_text(spark: SparkSession, folder: str) -> DataFrame:
     from lodestack.llm.html_text import extract
 
     return extract(table(spark, folder, "pages"))
+
+
+#: The rules of the contract.
+URL_RULES = (("block", "com/en/"), ("allow", "example.com/en/7"), ("allow", "net/de/"), ("block", "example.net/de/8"), ("block", "org/es/"))
+#: Hosts that are blocked unless a rule says otherwise.
+LISTED_HOSTS = tuple(f"{name}.example.{end}" for name in ("ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm") for end in ("com", "net", "org"))
+_URL_SQL = f"""
+with p as (
+  select page_id, coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') as host,
+         coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') as path from pages),
+rules(verdict, rule) as (values {', '.join(f"('{v}', '{r}')" for v, r in URL_RULES)}),
+listed(k) as (values {', '.join(f"('{h}')" for h in LISTED_HOSTS)}),
+fit as (
+  select p.host, p.path, max_by(rules.rule, length(rules.rule)) as rule from (select distinct host, path from p) p join rules
+  on (p.host = split_part(rules.rule, '/', 1) or ends_with(p.host, '.' || split_part(rules.rule, '/', 1)))
+  and starts_with(p.path, substr(rules.rule, strpos(rules.rule, '/'))) group by all),
+hit as (
+  select h.host, max_by(k, length(k)) as listed_key from (select distinct host from p) h join listed on h.host = k or ends_with(h.host, '.' || k) group by all)
+select p.page_id, p.host, p.path, fit.rule, coalesce(rules.verdict, case when hit.listed_key is null then 'allow' else 'block' end) as verdict, hit.listed_key
+from p left join fit on p.host = fit.host and p.path = fit.path left join rules on rules.rule = fit.rule left join hit on hit.host = p.host"""
+
+
+@query("op2_url_filter", _URL_SQL)
+def op2_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    from lodestack.llm.url_filter import Rule, host_list, judge
+
+    return judge(table(spark, folder, "pages"), [Rule(*r) for r in URL_RULES], host_list(spark, LISTED_HOSTS))
