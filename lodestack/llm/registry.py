@@ -105,3 +105,19 @@ def op2_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     from lodestack.llm.url_filter import Rule, host_list, judge
 
     return judge(table(spark, folder, "pages"), [Rule(*r) for r in URL_RULES], host_list(spark, LISTED_HOSTS))
+
+
+@query("op5_warc_derivatives")
+def op5_warc_derivatives(spark: SparkSession, folder: str) -> DataFrame:
+    from lodestack.llm.warc import derivatives
+
+    return derivatives(table(spark, folder, "pages"))
+
+
+@query("op8_sharding", "select doc_id, lang, source, n_chars, md5(text) as text_md5, cast(octet_length(encode(text)) as bigint) as n_bytes from documents")
+def op8_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    from lodestack.llm.shards import compacted
+    from lodestack.llm.store import fresh_path
+
+    store = compacted(table(spark, folder, "documents"), fresh_path(spark, "shards"), "doc_id", target=64 << 20)
+    return store.read().select("doc_id", "lang", "source", "n_chars", F.md5(F.encode("text", "UTF-8")).alias("text_md5"), F.octet_length("text").cast("long").alias("n_bytes"))
