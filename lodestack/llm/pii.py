@@ -213,11 +213,13 @@ def _replace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def redact(frame: DataFrame, spans: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """The rows with every span of theirs (from `find`) replaced by its kind, as <EMAIL>; keys must be unique."""
-    order, kinds = frame.columns, dict(frame.dtypes)
-    held = spans.where(F.size("spans_list") > 0).select(F.col(key).alias("__key"), "spans_list")
-    others = [c for c in order if c != text]
-    joined_ = frame.join(held, frame[key] == held["__key"], "left").select(F.col(f"`{text}`").alias("text"), "spans_list", *(F.col(f"`{c}`") for c in others))
-    schema = ", ".join([f"text {kinds[text]}", *(f"`{c}` {kinds[c]}" for c in others)])
-    changed = joined_.where("spans_list is not null").mapInArrow(_replace, schema)
-    same = joined_.where("spans_list is null").drop("spans_list")
-    return changed.unionByName(same).select(*(F.col("text").alias(text) if c == text else F.col(f"`{c}`") for c in order))
+    names = [f"__c{i}" for i in range(len(frame.columns))]
+    renamed = frame.toDF(*names)
+    of = dict(zip(frame.columns, names, strict=True))
+    held = spans.where(F.size("spans_list") > 0).select(F.col(f"`{key}`").alias("__key"), "spans_list")
+    others = [n for n in names if n != of[text]]
+    rows = renamed.join(held, F.col(of[key]) == F.col("__key"), "left").select(F.col(of[text]).alias("text"), "spans_list", *others)
+    kinds = dict(rows.dtypes)
+    changed = rows.where("spans_list is not null").mapInArrow(_replace, ", ".join(f"{c} {kinds[c]}" for c in ("text", *others)))
+    same = rows.where("spans_list is null").drop("spans_list")
+    return changed.unionByName(same).select(*(F.col("text" if n == of[text] else n).alias(c) for c, n in of.items()))

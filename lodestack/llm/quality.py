@@ -78,7 +78,7 @@ def with_counts(frame: DataFrame, keep: Sequence[str], text: str = "text") -> Da
     """The kept columns and the counts of each row's whole text; null and empty texts have zeros."""
     kinds = dict(frame.dtypes)
     schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), *(f"{n} long" for n in COUNTS)])
-    return frame.select(*(F.col(f"`{c}`") for c in keep), F.col(f"`{text}`").cast("string").alias("text")).mapInArrow(_count_batches, schema)
+    return frame.select(*(F.col(f"`{c}`") for c in keep), F.col(f"`{text}`").cast("string").alias("__counted")).mapInArrow(_count_batches, schema)
 
 
 def base_failed() -> Column:
@@ -177,6 +177,28 @@ def verdict(thresholds: Sequence[Threshold], rules: Sequence[Rule] = RULES) -> C
     return F.array_compact(F.array(*broken)) if broken else F.array().cast("array<string>")
 
 
+def _stratified(frame: DataFrame, stratum: str) -> DataFrame:
+    value = F.coalesce(F.col(f"`{stratum}`").cast("string"), F.lit("")) if stratum in frame.columns else F.lit("")
+    return frame.withColumn("__stratum", value)
+
+
+def _thresholds(counted: DataFrame, labels: DataFrame, key: str, rules: Sequence[Rule], risk: float, error: float) -> list[Threshold]:
+    """counted: __key, stratum and the counts of every document."""
+    known = labels.where("quality in (0, 1)").select(F.col(f"`{key}`").alias("__key"), "quality")
+    return choose_thresholds(counted.where(~base_failed()).join(known, "__key"), rules, risk, error)
+
+
+def keep_good(frame: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", stratum: str = "lang", risk: float = 0.05, error: float = 0.05, rules: Sequence[Rule] = RULES) -> DataFrame:
+    """The rows, with all their columns, that `judge` keeps.  Texts are counted twice, and not shuffled."""
+    keyed = _stratified(frame, stratum).withColumn("__key", F.col(f"`{key}`"))
+    counted = materialise(with_counts(keyed, ["__key", "__stratum"], text).withColumnRenamed("__stratum", "stratum"), "counts")
+    chosen = _thresholds(counted, labels, key, rules, risk, error)
+    named = [f"__c{i}" for i in range(len(frame.columns))]
+    again = _stratified(frame, stratum).select("__stratum", F.col(f"`{text}`").alias("__text"), *(F.col(f"`{c}`").alias(n) for c, n in zip(frame.columns, named, strict=True)))
+    whole = with_counts(again, [*named, "__stratum"], "__text").withColumnRenamed("__stratum", "stratum")
+    return whole.where(~base_failed() & (F.size(verdict(chosen, rules)) == 0)).select(*(F.col(n).alias(c) for c, n in zip(frame.columns, named, strict=True)))
+
+
 def judge(frame: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", stratum: str = "lang", risk: float = 0.05, error: float = 0.05, rules: Sequence[Rule] = RULES) -> DataFrame:
     """Judge every document: the base rules, then cutoffs certified on the labelled documents of its stratum.
 
@@ -186,10 +208,8 @@ def judge(frame: DataFrame, labels: DataFrame, text: str = "text", key: str = "d
     contradicting labels counts for each.  Without labels, or with too few to certify a cutoff, only the base rules
     reject.  An empty table gives an empty result.
     """
-    named = frame.withColumn("__stratum", F.coalesce(F.col(f"`{stratum}`").cast("string"), F.lit(""))) if stratum in frame.columns else frame.withColumn("__stratum", F.lit(""))
-    counted = materialise(with_counts(named.withColumn("__key", F.col(f"`{key}`")), ["__key", "__stratum"], text).withColumnRenamed("__stratum", "stratum"), "counts")
-    known = labels.where("quality in (0, 1)").select(F.col(f"`{key}`").alias("__key"), "quality")
-    labelled = counted.where(~base_failed()).join(known, "__key")
-    chosen = choose_thresholds(labelled, rules, risk, error)
+    keyed = _stratified(frame, stratum).withColumn("__key", F.col(f"`{key}`"))
+    counted = materialise(with_counts(keyed, ["__key", "__stratum"], text).withColumnRenamed("__stratum", "stratum"), "counts")
+    chosen = _thresholds(counted, labels, key, rules, risk, error)
     broken = counted.withColumn("base_failed", base_failed()).withColumn("broken", verdict(chosen, rules))
     return broken.select(F.col("__key").alias(key), "stratum", *COUNTS, "base_failed", "broken", (~F.col("base_failed") & (F.size("broken") == 0)).alias("kept"))
