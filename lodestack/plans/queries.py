@@ -1,9 +1,18 @@
-"""Registered queries and their DuckDB counterparts."""
+"""Registered queries and their DuckDB counterparts.
+
+Queries in SQL that both engines read alike are registered once; where dialects differ, the DuckDB text follows.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+import re
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
 def query(name: str, sql: str | None = None):
@@ -18,19 +27,23 @@ def query(name: str, sql: str | None = None):
     return add
 
 
-def table(spark, folder: str, name: str):
+def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-@query(
-    "pricing_summary",
-    """select l_returnflag, l_linestatus, round(sum(l_quantity), 2) as sum_qty,
-       round(sum(l_extendedprice * (1 - l_discount)), 2) as revenue, count(*) as n
-       from lineitem where l_shipdate >= timestamp '1996-01-01' and l_quantity between 5 and 40 and l_returnflag in ('A', 'N', 'R')
-       group by l_returnflag, l_linestatus""",
-)
-def pricing_summary(spark, folder):
-    from pyspark.sql import functions as F
+def run_sql(spark: SparkSession, folder: str, text: str) -> DataFrame:
+    """Run SQL over the tables that follow FROM or JOIN, given to it as frames (no view is left behind)."""
+    found = re.compile(rf"\b(from|join)(\s+)({'|'.join(TABLES)})\b", re.I)
+    names = {m[3] for m in found.finditer(text)}
+    return spark.sql(found.sub(r"\1\2{\3}", text), **{t: table(spark, folder, t) for t in names})
+
+
+def sql(name: str, text: str, duck: str | None = None) -> None:
+    """Register the same SQL for both engines, or a text for each."""
+    QUERIES[name] = lambda spark, folder: run_sql(spark, folder, text)
+    ORACLES[name] = duck or text
+
 
-    kept = table(spark, folder, "lineitem").where("l_shipdate >= timestamp_ntz'1996-01-01 00:00:00' and l_quantity between 5 and 40 and l_returnflag in ('A', 'N', 'R')")
-    return kept.groupBy("l_returnflag", "l_linestatus").agg(F.round(F.sum("l_quantity"), 2).alias("sum_qty"), F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2).alias("revenue"), F.count("*").alias("n"))
+def load() -> None:
+    """Import the modules that register queries."""
+    from lodestack.plans import relational  # noqa: F401
