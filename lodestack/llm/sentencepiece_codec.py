@@ -12,40 +12,26 @@ import re
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 from itertools import chain
-from operator import add, itemgetter
+from operator import add
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodestack.llm.memo import Memo
+
 MARK = "▁"
-_FIRST, _SECOND = itemgetter(0), itemgetter(1)
-#: Segments remembered by a Python worker; the older half is dropped beyond it.
-REMEMBERED = 400_000
+NEVER = 1 << 60
+#: Runs and segments remembered by a Python worker, in each of two generations.
+REMEMBERED_RUNS, REMEMBERED_SEGMENTS = 450_000, 150_000
+#: Characters of the longest segments whose agenda is a plain list.
+SHORT = 24
 
 
 class Mismatch(ValueError):
     """The agenda and the library differ on a text."""
 
 
-class Memo(dict):
-    """Remembers the latest results of a function of strings: between `most` and twice as many."""
-
-    def __init__(self, make, most: int = REMEMBERED):
-        super().__init__()
-        self.make, self.most, self.older = make, most, {}
-
-    def __missing__(self, key: str):
-        value = self.older.get(key)
-        if value is None:
-            value = self.make(key)
-        if len(self) >= self.most:
-            self.older = dict(self)
-            self.clear()
-        self[key] = value
-        return value
-
-
 class Codec:
     """Encoder and decoder of one model file.
 
@@ -64,9 +50,12 @@ class Codec:
         self.pieces = [lib.id_to_piece(i) for i in range(count)]
         plain = [i for i in range(count) if not (lib.is_control(i) or lib.is_unknown(i) or lib.is_byte(i))]
         self.ids = {self.pieces[i]: i for i in plain}
-        self.scores = {self.pieces[i]: lib.get_score(i) for i in plain}
+        levels = {score: level for level, score in enumerate(sorted({lib.get_score(i) for i in plain}, reverse=True))}
+        #: 0 for the best score; equal scores are equal.
+        self.levels = {self.pieces[i]: levels[lib.get_score(i)] for i in plain}
         self.bytes = {self.pieces[i]: i for i in range(count) if lib.is_byte(i)}
         self.byte_of = {i: int(p[3:5], 16) for p, i in self.bytes.items()}
+        self.names = [str(i) for i in range(count)]
         self.unknown = lib.unk_id()
         self.silent = {i for i in range(count) if lib.is_control(i)}
         pairs = {(a, b) for p in self.ids for a, b in zip(p, p[1:], strict=False)}
@@ -75,21 +64,31 @@ class Codec:
         elif any(a != MARK and a.isalpha() != b.isalpha() for a, b in pairs):
             self.cut = re.compile(f"{MARK}*[^{MARK}]*")
         else:
-            self.cut = re.compile(rf"{MARK}*(?:[^\W\d_]+|(?:[^\w{MARK}]|[\d_])+)|{MARK}+")
+            others = "".join(c for c in map(chr, range(0x110000)) if c.isalnum() and not c.isalpha())
+            self.cut = re.compile(rf"{MARK}*(?:[^\W_{others}]+|(?:(?!{MARK})[\W_{others}])+)|{MARK}+")
         self.dummy = MARK if lib.normalize("a") == f"{MARK}a" else ""
         #: Runs merged since the last check.
         self.fresh: list[tuple[str, tuple[int, ...]]] = []
-        self.segment = Memo(self._segment)
-        self.run = Memo(self._run)
+        self.segment = Memo(self._segment, REMEMBERED_SEGMENTS)
+        self.run = Memo(self._run, REMEMBERED_RUNS)
 
     def agenda(self, text: str) -> list[str]:
         """Merge the characters of a segment: best score first, then leftmost, until no pair is a piece."""
         symbols: list[str] = list(text)
-        n = len(symbols)
-        get = self.scores.get
-        heap = [(-score, i, both) for i, both in enumerate(map(add, symbols, symbols[1:])) if (score := get(both)) is not None]
-        if not heap:
+        get = self.levels.get
+        if len(symbols) <= SHORT:
+            open_ = [get(both, NEVER) for both in map(add, symbols, symbols[1:])]
+            while open_ and (level := min(open_)) < NEVER:
+                i = open_.index(level)
+                symbols[i] += symbols.pop(i + 1)
+                del open_[i]
+                if i:
+                    open_[i - 1] = get(symbols[i - 1] + symbols[i], NEVER)
+                if i < len(open_):
+                    open_[i] = get(symbols[i] + symbols[i + 1], NEVER)
             return symbols
+        n = len(symbols)
+        heap = [(level, i, both) for i, both in enumerate(map(add, symbols, symbols[1:])) if (level := get(both)) is not None]
         heapify(heap)
         before, after = list(range(-1, n - 1)), [*range(1, n), -1]
         while heap:
@@ -101,10 +100,10 @@ class Codec:
             after[i] = k = after[j]
             if k >= 0:
                 before[k] = i
-                if (score := get(s := both + symbols[k])) is not None:
-                    heappush(heap, (-score, i, s))
-            if (k := before[i]) >= 0 and (score := get(s := symbols[k] + both)) is not None:
-                heappush(heap, (-score, k, s))
+                if (level := get(s := both + symbols[k])) is not None:
+                    heappush(heap, (level, i, s))
+            if (k := before[i]) >= 0 and (level := get(s := symbols[k] + both)) is not None:
+                heappush(heap, (level, k, s))
         return [s for s in symbols if s]
 
     def _segment(self, text: str) -> tuple[int, ...]:
@@ -118,11 +117,11 @@ class Codec:
                 out.append(self.unknown)
         return tuple(out)
 
-    def _run(self, text: str) -> tuple[tuple[int, ...], str]:
-        """The ids of a mark and what stands from there to the next (given without the mark), and their decimals."""
-        ids = self._cut(MARK + text)
+    def _run(self, text: str) -> tuple[int, ...]:
+        """The ids of a mark and what stands from there to the next (given without the mark)."""
+        ids = self.segment[MARK + text] if text.isalpha() else self._cut(MARK + text)
         self.fresh.append((text, ids))
-        return ids, ",".join(map(str, ids))
+        return ids
 
     def check_fresh(self) -> None:
         """Hold all runs merged since the last call against the library, which puts a mark before each."""
@@ -137,23 +136,18 @@ class Codec:
         return tuple(i for part in self.cut.findall(text) if part for i in segment[part])
 
     def encode(self, text: str) -> list[int]:
-        return self.encode_with_decimals(text)[0]
-
-    def encode_with_decimals(self, text: str) -> tuple[list[int], str]:
-        """The ids, and their decimals joined by commas."""
         normal = self.library.normalize(text)
         if self.cut is None:
-            ids = list(self._segment(normal))
-            return ids, ",".join(map(str, ids))
+            return list(self._segment(normal))
         head, *rest = normal.split(MARK)
         if all(rest):
-            runs = list(map(self.run.__getitem__, rest))
+            ids = list(chain.from_iterable(map(self.run.__getitem__, rest)))
         else:  # marks in a row belong together, and to what follows them
-            runs = [self.run[part[1:]] for part in re.findall(f"{MARK}+[^{MARK}]*", normal[len(head) :])]
-        if head:
-            ids = self._cut(head)
-            runs.insert(0, (ids, ",".join(map(str, ids))))
-        return list(chain.from_iterable(map(_FIRST, runs))), ",".join(map(_SECOND, runs))
+            ids = [i for part in re.findall(f"{MARK}+[^{MARK}]*", normal[len(head) :]) for i in self.run[part[1:]]]
+        return [*self._cut(head), *ids] if head else ids
+
+    def decimals(self, ids: list[int]) -> str:
+        return ",".join(map(self.names.__getitem__, ids))
 
     def decode(self, ids: list[int]) -> str:
         """As the library's decode(ids): bytes join to UTF-8, marks are spaces, the mark put in front goes."""
@@ -223,12 +217,12 @@ def encode_decode(frame: DataFrame, model_path: str, text: str = "text", key: st
             for group in _groups([x or "" for x in batch.column(1).to_pylist()]):
                 theirs = own.library.encode(group, num_threads=1) if check == "texts" or own.cut is None or not own.dummy else [None] * len(group)
                 for body, other in zip(group, theirs, strict=True):
-                    ids, decimals = own.encode_with_decimals(body)
+                    ids = own.encode(body)
                     if other is not None and ids != other:
                         raise Mismatch(f"ids differ from the library's for a text of {len(body)} characters: {body[:80]!r}")
                     decoded = own.library.decode(ids) if ids else ""
                     rows["n"].append(len(ids))
-                    rows["ids"].append(hashlib.sha256(decimals.encode()).hexdigest())
+                    rows["ids"].append(hashlib.sha256(own.decimals(ids).encode()).hexdigest())
                     rows["text"].append(hashlib.sha256(decoded.encode()).hexdigest())
                     if keep_ids:
                         rows["kept"].append(ids)
