@@ -46,4 +46,4 @@ def sql(name: str, text: str, duck: str | None = None) -> None:
 
 def load() -> None:
     """Import the modules that register queries."""
-    from lodestack.plans import relational  # noqa: F401
+    from lodestack.plans import engine_queries, relational  # noqa: F401

@@ -213,7 +213,7 @@ sql(
     "select p_partkey, abs(p_size - 25) as a, round(sqrt(p_retailprice), 6) as sq, round(ln(p_retailprice), 6) as l, round(log10(p_retailprice), 6) as lt, cast(floor(p_retailprice) as bigint) as f, cast(ceil(p_retailprice) as bigint) as c, round(cos(p_size) + sin(p_size), 6) as cs, ((p_size - 30) % 7 + 7) % 7 as pm, greatest(p_size, 20) as g, least(p_size, 20) as le, cast(sign(p_size - 25) as int) as s, round(power(p_size, 2), 2) as pw, round(exp(p_size / 50.0), 6) as ex, p_size % 7 as mo from part",
 )
 sql("fn_conditional", "select c_custkey, coalesce(nullif(c_mktsegment, 'BUILDING'), 'none') as seg, case when c_acctbal < 0 then 'debt' when c_acctbal < 5000 then 'some' else 'rich' end as class, if(c_nationkey > 10, 1, 0) as flag, cast(nullif(c_nationkey, 3) as string) as nn from customer")
-sql("fn_cast", "select o_orderkey, cast(o_orderkey as string) as s, cast(o_totalprice as decimal(12, 2)) as d, cast(floor(o_totalprice) as bigint) as b, try_cast(o_orderpriority as int) as bad, cast(cast(o_orderdate as date) as string) as dt from orders")
+sql("fn_cast", "select o_orderkey, cast(o_orderkey as string) as s, cast(cast(o_totalprice as decimal(12, 2)) as string) as d, cast(floor(o_totalprice) as bigint) as b, try_cast(o_orderpriority as int) as bad, cast(cast(o_orderdate as date) as string) as dt from orders")
 sql(
     "fn_array",
     "select vec_id, size(embedding) as n, round(cast(element_at(embedding, 1) as double), 5) as e1, round(cast(array_max(embedding) as double), 5) as mx, size(filter(embedding, x -> x > 0)) as pos, round(aggregate(transform(embedding, x -> cast(x as double) * x), 0D, (a, b) -> a + b), 4) as norm, size(slice(embedding, 2, 5)) as sl, array_contains(array(label, 3), 3) as has, array_join(sort_array(array(label, 2, 1)), '-') as so, arrays_overlap(array(label), array(1, 2)) as ov from embeddings",
