@@ -17,7 +17,7 @@ def split(name: str) -> tuple[str, tuple | None]:
     m = _SPECIFIER.search(name)
     bare = name[: m.start()] if m else name
     parts = bare.endswith((".partitions", "$partitions"))
-    bare = bare[: -len(".partitions")] if parts else bare
+    bare = bare[: -len(".partitions")] if parts else bare.rstrip()
     if not m:
         return bare, PARTITIONS if parts else None
     if m["acid"]:
