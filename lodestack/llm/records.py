@@ -11,6 +11,7 @@ strong.
 
 from __future__ import annotations
 
+import contextlib
 import re
 import struct
 import sys
@@ -30,9 +31,22 @@ from lodestack.llm.memo import Memo
 from lodestack.llm.store import fresh_path, local_filesystem
 
 #: Chunks between spaces, and words, remembered by a worker, in each of two generations.
-REMEMBERED_CHUNKS, REMEMBERED_WORDS = 300_000, 150_000
-#: A chunk that is a word and perhaps a mark: its letters have one form under NFC, and lower-case one by one.
-_PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?|]?)")
+REMEMBERED_CHUNKS, REMEMBERED_WORDS = 700_000, 300_000
+#: Strings given to the library at once.
+AT_ONCE = 2048
+MARKS = frozenset(".,;:!?|")
+#: Letters with one form under NFC, which are lower-cased one by one.
+_LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+").fullmatch
+
+
+def _byte_letters() -> list[str]:
+    """The character for each byte in byte-level vocabularies: printable Latin-1 for itself, others from 256 on."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = iter(range(256, 512))
+    return [chr(b) if b in own else chr(next(rest)) for b in range(256)]
+
+
+BYTE_LETTERS = _byte_letters()
 #: Bytes buffered before they are written.
 BUFFER = 1 << 22
 _HEAD = struct.Struct("<QI")
@@ -112,37 +126,47 @@ class Tokens:
         plain = all(not x["lstrip"] and not x["rstrip"] and " " not in x["content"] and "\n" not in x["content"] for x in spec.get("added_tokens", []))
         self.whole = not (spaced and harmless and dropped and plain and spec.get("post_processor") is None)
         self.chunks = Memo(lambda chunk: self._ids([chunk])[0], REMEMBERED_CHUNKS)
-        self.words = Memo(lambda word: self._ids([word])[0], REMEMBERED_WORDS)
-        self.lower = any(s.get("type") == "Lowercase" for s in steps(spec.get("normalizer")))
+        self.words = Memo(self._word, REMEMBERED_WORDS)
+        lower = any(s.get("type") == "Lowercase" for s in steps(spec.get("normalizer")))
+        second = steps(spec.get("pre_tokenizer"))[1:]
+        #: Whether words can go straight to the model.
+        self.plain = lower and [s.get("type") for s in second] == ["ByteLevel"] and not second[0].get("add_prefix_space") and not second[0].get("use_regex")
+        self.marks = dict(zip(sorted(MARKS), self._ids(sorted(MARKS)), strict=True))
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        kind = "H" if self.width == 2 else "I"
-        found = [array(kind, e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        out = []
+        for k in range(0, len(texts), AT_ONCE):
+            out += [self._bytes(e.ids) for e in self.tokenizer.encode_batch_fast(texts[k : k + AT_ONCE], add_special_tokens=False)]
+        return out
+
+    def _bytes(self, ids: list[int]) -> bytes:
+        packed = array("H" if self.width == 2 else "I", ids)
         if sys.byteorder == "big":
-            for ids in found:
-                ids.byteswap()
-        return [ids.tobytes() for ids in found]
+            packed.byteswap()
+        return packed.tobytes()
+
+    def _word(self, word: str) -> bytes:
+        """Ids of lower-case letters: normaliser and pre-tokenizer would leave them as they are, and byte them."""
+        if not word.isascii():
+            word = "".join(map(BYTE_LETTERS.__getitem__, word.encode()))
+        return self._bytes([t.id for t in self.tokenizer.model.tokenize(word)])
 
     def _learn(self, chunks: list[str]) -> None:
-        """Ids of new chunks: words and marks meet at a boundary of the pre-tokenizer, so each is encoded once."""
-        plain, others, words = [], [], set()
+        """Ids of new chunks.  Letters and a mark meet at a boundary of the pre-tokenizer, so each is encoded once."""
+        others = []
+        words, put, letters = self.words, self.chunks.put, _LETTERS
         for chunk in chunks:
-            if self.lower and (m := _PLAIN.fullmatch(chunk)):
-                word, mark = m[1].lower(), m[2]
-                plain.append((chunk, word, mark))
-                words.add(word)
-                if mark:
-                    words.add(mark)
-            else:
-                others.append(chunk)
-        known = self.words
-        new = [w for w in words if w not in known and not known.renew(w)]
-        for w, ids in zip(new, self._ids(new), strict=True):
-            known.put(w, ids)
-        for chunk, word, mark in plain:
-            self.chunks.put(chunk, known[word] + known[mark] if mark else known[word])
+            if self.plain:
+                if chunk.isalpha():
+                    if chunk.isascii() or letters(chunk):
+                        put(chunk, words[chunk.lower()])
+                        continue
+                elif chunk and chunk[-1] in MARKS and (head := chunk[:-1]).isalpha() and (head.isascii() or letters(head)):
+                    put(chunk, words[head.lower()] + self.marks[chunk[-1]])
+                    continue
+            others.append(chunk)
         for chunk, ids in zip(others, self._ids(others), strict=True):
-            self.chunks.put(chunk, ids)
+            put(chunk, ids)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids, little-endian."""
@@ -151,11 +175,17 @@ class Tokens:
         split = [t.replace("\n", " ").split(" ") for t in texts]
         known = self.chunks
         found = [list(map(known.get, part)) for part in split]
-        gaps = [k for k, got in enumerate(found) if None in got]
-        fresh = {c for k in gaps for c, ids in zip(split[k], found[k], strict=True) if ids is None}
-        self._learn([c for c in fresh if not known.renew(c)])
-        for k in gaps:
-            found[k] = map(known.__getitem__, split[k])
+        gaps: list[tuple[list, int, str]] = []
+        for part, got in zip(split, found, strict=True):
+            if None in got:
+                i = -1
+                with contextlib.suppress(ValueError):
+                    while True:
+                        i = got.index(None, i + 1)
+                        gaps.append((got, i, part[i]))
+        self._learn([c for c in {c for _, _, c in gaps} if not known.renew(c)])
+        for got, i, chunk in gaps:
+            got[i] = known[chunk]
         return list(map(b"".join, found))
 
 
@@ -186,7 +216,9 @@ def _grouped(batch: pa.RecordBatch, most: int = 1 << 20) -> Iterator[tuple[list,
 
 
 def _write(folder: str, path: str, end_id: int | None):
-    """Write a partition's records to a file of this attempt; rows (part, at, key, file, offset, length, n_tokens).
+    """Write a partition's records to a file of this attempt; rows (part, key, file, offset, length, n_tokens, inside).
+
+    inside: the ids before the record in its file.
 
     A file is named by the attempt that wrote it: an attempt that is lost leaves one that no index row names.
     """
@@ -195,7 +227,7 @@ def _write(folder: str, path: str, end_id: int | None):
         own, part = tokens(path), TaskContext.get().partitionId()
         end = b"" if end_id is None else np.array([end_id], f"<u{own.width}").tobytes()
         name = f"{folder}/part-{part:06d}-{uuid.uuid4().hex}.rec"
-        offset = at = 0
+        offset = inside = 0
         with local_filesystem(name) as (files, local):
             stream = None
             for batch in batches:
@@ -209,33 +241,35 @@ def _write(folder: str, path: str, end_id: int | None):
                     offsets = offset + np.concatenate([[0], np.cumsum(sizes)[:-1]])
                     n = len(keys)
                     counts = (sizes - OVERHEAD) // own.width
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(n, part)), pa.array(np.arange(at, at + n)), pa.array(keys, pa.int64()), pa.array([name] * n), pa.array(offsets), pa.array(sizes), pa.array(counts)], ["part", "at", "key", "file", "offset", "length", "n_tokens"])
+                    ends = inside + np.cumsum(counts)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(n, part)), pa.array(keys, pa.int64()), pa.array([name] * n), pa.array(offsets), pa.array(sizes), pa.array(counts), pa.array(ends - counts)], ["part", "key", "file", "offset", "length", "n_tokens", "inside"])
                     offset += int(sizes.sum())
-                    at += n
+                    inside = int(ends[-1])
             if stream is not None:
                 stream.close()
 
     return work
 
 
+_READ = "file string, offset long, key long, start long, n_tokens long, ids_crc32 long"
+
+
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (file) to rows (file, offset, key, n_tokens, ids_crc32) of all records in them."""
+    """Rows (file, before) to a row for each record of the file; before: the ids of all records in earlier files."""
+    names = [x.split()[0] for x in _READ.split(", ")]
     for batch in batches:
-        for name in batch.column(0).to_pylist():
+        for name, start in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             with local_filesystem(name) as (files, local), files.open_input_stream(local, buffer_size=BUFFER) as stream:
                 rows: list[tuple] = []
                 for offset, payload in read_records(stream):
                     key, ids = unpack_ids(payload)
-                    rows.append((name, offset, key, len(ids), zlib.crc32(ids.astype("<u4").tobytes())))
+                    rows.append((name, offset, key, start, len(ids), zlib.crc32(ids.astype("<u4").tobytes())))
+                    start += len(ids)
                     if len(rows) == 4096:
-                        yield _rows(rows)
+                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names)
                         rows = []
                 if rows:
-                    yield _rows(rows)
-
-
-def _rows(rows: list[tuple]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], ["file", "offset", "key", "n_tokens", "ids_crc32"])
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names)
 
 
 @dataclass(frozen=True)
@@ -246,14 +280,17 @@ class Dataset:
     index_path: str
 
     def index(self, spark: SparkSession) -> DataFrame:
-        """One row for each record, with `start`: the ids of all records before it."""
+        """One row for each record: key, file, offset, length, n_tokens, start (the ids of all records before it)."""
         return spark.read.parquet(self.index_path)
 
+    def files(self, spark: SparkSession) -> DataFrame:
+        """One row for each file, with `before`: the ids of all records in earlier files."""
+        return self.index(spark).groupBy("file").agg(F.min("start").alias("before"))
+
     def scan(self, spark: SparkSession, tasks: int | None = None) -> DataFrame:
-        """Read all the files back: file, offset, key, n_tokens, ids_crc32; raises `Damaged` on any wrong checksum."""
-        names = self.index(spark).groupBy("file").agg(F.max("offset").alias("last"))
-        wanted = names.select("file").repartition(tasks or max(12, spark.sparkContext.defaultParallelism * 2), "file")
-        return wanted.mapInArrow(_read, "file string, offset long, key long, n_tokens long, ids_crc32 long")
+        """Read all the files back: file, offset, key, start, n_tokens, ids_crc32; raises `Damaged` on a wrong checksum."""
+        wanted = self.files(spark).repartition(tasks or max(12, spark.sparkContext.defaultParallelism * 2), "file")
+        return wanted.mapInArrow(_read, _READ)
 
 
 def write(frame: DataFrame, tokenizer_path: str, end_id: int | None = 1, text: str = "text", key: str = "doc_id", folder: str | None = None, parts: int | None = None) -> Dataset:
@@ -267,21 +304,20 @@ def write(frame: DataFrame, tokenizer_path: str, end_id: int | None = 1, text: s
     folder = folder or fresh_path(spark, "records")
     picked = frame.select(F.col(f"`{key}`").cast("long").alias("key"), F.col(f"`{text}`").cast("string").alias("text"))
     ordered = (picked.repartitionByRange(parts, "key") if parts else picked.repartitionByRange("key")).sortWithinPartitions("key")
-    schema = "part long, at long, key long, file string, offset long, length long, n_tokens long"
+    schema = "part long, key long, file string, offset long, length long, n_tokens long, inside long"
     raw = f"{folder}/written"
     ordered.mapInArrow(_write(folder, tokenizer_path, end_id), schema).write.parquet(raw)
     written = spark.read.schema(schema).parquet(raw)
-    # One number for each part (a running sum over as many rows as there are files), then sums inside the parts.
-    before = written.groupBy("part").agg(F.sum("n_tokens").alias("n")).select("part", (F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))).alias("before"))
-    inside = Window.partitionBy("part").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
-    index = written.join(before, "part").withColumn("start", F.coalesce("before", F.lit(0)) + F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)))
-    index.select("key", "file", "offset", "length", "n_tokens", F.col("start").cast("long").alias("start")).write.parquet(f"{folder}/index")
+    # A running sum over as many rows as there are files.
+    totals = written.groupBy("part").agg(F.sum("n_tokens").alias("n"))
+    before = totals.select("part", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    index = written.join(before, "part").select("key", "file", "offset", "length", "n_tokens", (F.col("before") + F.col("inside")).alias("start"))
+    index.write.parquet(f"{folder}/index")
     return Dataset(folder, f"{folder}/index")
 
 
 def round_trip(frame: DataFrame, tokenizer_path: str, end_id: int | None = 1, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """Write the records and read them back: key, start, n_tokens, ids_crc32, file, offset."""
+    """Write the records and read them back: key, start, n_tokens, ids_crc32, file, offset.  Null keys come back as -1."""
     spark = frame.sparkSession
-    made = write(frame, tokenizer_path, end_id, text, key)
-    back = made.scan(spark).withColumnRenamed("n_tokens", "n_read").drop("key")
-    return made.index(spark).join(back, ["file", "offset"], "left").select(F.col("key").alias(key), "start", F.col("n_read").alias("n_tokens"), "ids_crc32", F.regexp_extract("file", "[^/]*$", 0).alias("file"), "offset")
+    back = write(frame, tokenizer_path, end_id, text, key).scan(spark)
+    return back.select(F.col("key").alias(key), "start", "n_tokens", "ids_crc32", F.regexp_extract("file", "[^/]*$", 0).alias("file"), "offset")
