@@ -25,7 +25,7 @@ from lodestack.llm.store import fresh_path, local_filesystem, materialise
 VERSION = "WARC/1.1"
 DATE = "2024-01-01T00:00:00Z"
 LEVEL = 1
-CHUNK = 1 << 20
+CHUNK, FED = 1 << 20, 1 << 12
 _CONTROL = re.compile("[\x00-\x1f\x7f]")
 
 
@@ -88,20 +88,18 @@ def parse(data: bytes, offset: int = 0) -> Record:
 def read(stream) -> Iterator[Record]:
     """All records of a gzipped stream; offsets are those of their members."""
     unpacker, parts, at, start = zlib.decompressobj(31), [], 0, 0
-    held = b""
-    while True:
-        chunk = held or stream.read(CHUNK)
-        held = b""
-        if not chunk:
-            break
-        parts.append(unpacker.decompress(chunk))
-        at += len(chunk)
-        if unpacker.eof:
-            held = unpacker.unused_data
-            at -= len(held)
-            yield parse(b"".join(parts), start)
-            unpacker, parts, start = zlib.decompressobj(31), [], at
-    if parts and any(parts):
+    while chunk := stream.read(CHUNK):
+        view, here = memoryview(chunk), 0
+        while here < len(view):
+            fed = view[here : here + FED]  # what follows a member is copied, so little is fed at once
+            parts.append(unpacker.decompress(fed))
+            used = len(fed) - len(unpacker.unused_data)
+            here += used
+            at += used
+            if unpacker.eof:
+                yield parse(b"".join(parts), start)
+                unpacker, parts, start = zlib.decompressobj(31), [], at
+    if any(parts) or at > start:
         raise Malformed(f"cut short at {start}")
 
 
@@ -265,6 +263,7 @@ def derivatives(frame: DataFrame, page: str = "html", url: str = "url", key: str
         F.min("source_digest").alias("low"),
         F.max("source_digest").alias("high"),
     )
-    out = responses.join(pairs, responses.response_id == pairs.refers_to, "left")
+    # Spark takes the scan's size for that of its list of files, so it must not choose to send it to all executors.
+    out = responses.join(pairs.hint("merge"), responses.response_id == pairs.refers_to, "left")
     linked = F.coalesce((F.col("low") == F.col("payload_digest")) & (F.col("high") == F.col("payload_digest")) & F.col("metadata_id").isNotNull() & F.col("conversion_id").isNotNull(), F.lit(False))
     return out.select(F.col("key").alias(key), F.col("url").alias(url), "response_id", "metadata_id", "conversion_id", "payload_digest", "text_digest", "n_chars", linked.alias("linked"))
