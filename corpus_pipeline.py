@@ -20,31 +20,47 @@ from lodestack.llm.store import fresh_path
 ORACLE_SQL = None
 
 
+#: Texts pass through Python in most stages, and executors keep what earlier stages have touched: small Arrow batches,
+#: and fewer remembered runs than `encode_decode` has by itself.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
+REMEMBERED = 200_000
+
+
+def _prepared(spark: SparkSession) -> None:
+    for k, v in BATCHES.items():
+        spark.conf.set(k, v)
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the certified cutoffs of their language."""
+    _prepared(spark)
     return keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, the one with the smallest id."""
+    _prepared(spark)
     gone = near_duplicates(docs).where("not kept").select("doc_id")
     return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without passages of the benchmark."""
+    _prepared(spark)
     gone = contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with personal data replaced by its kind; n_chars follows the text."""
+    _prepared(spark)
     return redact(docs, find(docs)).withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars")))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of the ids and of what they decode to."""
-    return encode_decode(docs, tokenizer_path("piece_bpe_32k.model"))
+    _prepared(spark)
+    return encode_decode(docs, tokenizer_path("piece_bpe_32k.model"), remembered=REMEMBERED)
 
 
 STAGES = [("quality rules", quality), ("near-dedup", near_dedup), ("decontamination", decontaminate), ("PII", personal_data), ("SentencePiece", tokens)]

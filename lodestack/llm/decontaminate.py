@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestack.llm import textvec as tv
-from lodestack.llm.store import materialise
+from lodestack.llm.store import materialise, trimmed
 
 _WORD = np.zeros(256, bool)
 _WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
@@ -25,7 +25,7 @@ LADDER = (1, 2, 3, 4, 6, 8, 12, 16, 24, 32, 48, 64)
 #: Items that one run takes, and the words they may have; more are to be given in several runs.
 MOST_ITEMS, MOST_VOCABULARY = 20_000, 1 << 20
 #: Words worked on at once.
-MOST_WORDS = 1 << 19
+MOST_WORDS = 1 << 17
 
 
 @dataclass(frozen=True)
@@ -193,7 +193,7 @@ def latent_space(placed: DataFrame, kind: type, size: int, settings: Settings) -
     weights[0] = 0
     width = min(settings.rank + settings.extra, size)
     test = np.random.default_rng(settings.seed).standard_normal((size + 1, width)).astype(np.float32)
-    parts = tasks.mapInArrow(_sketch(kind, weights.astype(np.float32), test), "word long, vector binary")
+    parts = tasks.mapInArrow(trimmed(_sketch(kind, weights.astype(np.float32), test)), "word long, vector binary")
     summed = parts.repartition(8, "word").mapInArrow(_added, "word long, vector binary").toArrow()
     z, gram = np.zeros((size + 1, width)), np.zeros((width, width))
     for word, vector in zip(summed["word"].to_pylist(), summed["vector"], strict=True):
@@ -329,8 +329,8 @@ def contaminated(frame: DataFrame, benchmark: DataFrame, text: str = "text", key
     if not items.ids:
         return spark.createDataFrame([], schema)
     work, kind = _placed(items.vocabulary)
-    placed = materialise(frame.select(F.col(f"`{key}`").alias("key"), F.lower(F.col(f"`{text}`").cast("string")).alias("text")).mapInArrow(work, f"row long, key {kinds[key]}, words binary"), "placed")
+    placed = materialise(frame.select(F.col(f"`{key}`").alias("key"), F.lower(F.col(f"`{text}`").cast("string")).alias("text")).mapInArrow(trimmed(work), f"row long, key {kinds[key]}, words binary"), "placed")
     space = latent_space(placed, kind, len(items.vocabulary), settings)
-    found = placed.mapInArrow(_search(kind, items.words, space, settings), f"row long, key {kinds[key]}, item long, start long, end long, cosine double, overlap double, answer double")
+    found = placed.mapInArrow(trimmed(_search(kind, items.words, space, settings)), f"row long, key {kinds[key]}, item long, start long, end long, cosine double, overlap double, answer double")
     names = spark.createDataFrame([(i, v) for i, v in enumerate(items.ids)], f"item long, item_id {item_kind}")
     return found.join(F.broadcast(names), "item").select(F.col("key").alias(key), F.col("item_id").alias(item_key), F.col("start").alias("start_word"), F.col("end").alias("end_word"), "cosine", "overlap", "answer")

@@ -13,7 +13,7 @@ from pyspark.sql.window import Window
 from lodestack.llm import textvec as tv
 from lodestack.llm.bitmap import bit_column, contains, of_column
 from lodestack.llm.components import connected_components
-from lodestack.llm.store import materialise
+from lodestack.llm.store import materialise, trimmed
 
 WIDTH = 5
 BANDS, ROWS = 20, 5
@@ -146,7 +146,7 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) that hold on the full sets."""
     x = sets.select(F.col("node").alias("a"), F.col("packed").alias("x"))
     y = sets.select(F.col("node").alias("b"), F.col("packed").alias("y"))
-    return pairs.select("a", "b").join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_verified(percent), "a long, b long")
+    return pairs.select("a", "b").join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(trimmed(_verified(percent)), "a long, b long")
 
 
 def near_duplicates(frame: DataFrame, text: str = "text", key: str = "doc_id", width: int = WIDTH, bands: int = BANDS, rows: int = ROWS, percent: int = PERCENT) -> DataFrame:
@@ -164,7 +164,7 @@ def near_duplicates(frame: DataFrame, text: str = "text", key: str = "doc_id", w
     are verified too.  A pair of similarity 0.85 shares no bucket with a chance of about 8e-6 (20 bands of 5).
     """
     source = frame.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
-    summaries = materialise(source.mapInArrow(_summaries(bands, rows, width), "doc_id long, n long, mark1 long, mark2 long, keys array<long>"), "summaries")
+    summaries = materialise(source.mapInArrow(trimmed(_summaries(bands, rows, width)), "doc_id long, n long, mark1 long, mark2 long, keys array<long>"), "summaries")
     nodes = summaries.where("doc_id is not null and n > 0").groupBy("mark1", "mark2", "n").agg(F.min("doc_id").alias("node"), F.first("keys").alias("keys"))
     dealt = nodes.select("node", "n", F.posexplode("keys").alias("band", "bucket"))
     buckets = dealt.groupBy("band", "bucket").agg(F.count("*").alias("size")).where("size > 1")
@@ -174,7 +174,7 @@ def near_duplicates(frame: DataFrame, text: str = "text", key: str = "doc_id", w
     near = shared.join(heads, ["band", "bucket"]).where(f"node <> head.node and 100 * least(n, head.n) >= {percent} * greatest(n, head.n)")
     tried = materialise(near.select(F.least("node", "head.node").alias("a"), F.greatest("node", "head.node").alias("b")).distinct(), "pairs")
     bitmap = of_column(shared.select("node"), "node")
-    sets = materialise(source.withColumn("bit", bit_column("doc_id", len(bitmap) * 64)).mapInArrow(_packed_sets(bitmap, width), "node long, packed binary").where("node is not null"), "sets")
+    sets = materialise(source.withColumn("bit", bit_column("doc_id", len(bitmap) * 64)).mapInArrow(trimmed(_packed_sets(bitmap, width)), "node long, packed binary").where("node is not null"), "sets")
     links = materialise(_links(tried, sets, percent), "links")
     labels = connected_components(links)
 
@@ -216,7 +216,7 @@ def _prefix_pairs(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     shingles, 100 I >= percent (x + y - I), so I is at least A = percent (x + y) / (100 + percent) and the first
     shared shingle stands among the first x - A + 1 and y - A + 1.
     """
-    held = open_.join(sets, "node").select("node", "n", "component", "packed").mapInArrow(_unpacked, "node long, n long, component long, token long")
+    held = open_.join(sets, "node").select("node", "n", "component", "packed").mapInArrow(trimmed(_unpacked), "node long, n long, component long, token long")
     tokens = materialise(held, "tokens")
     common = tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
     found = materialise(tokens.join(common, "token"), "tokens")

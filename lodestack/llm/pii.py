@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestack.llm import textvec as tv
-from lodestack.llm.store import materialise
+from lodestack.llm.store import materialise, trimmed
 
 #: In the order in which spans that start together are listed; the method adds the last, and more of the others.
 KINDS = ("email", "ip", "card", "phone", "secret")
@@ -178,7 +178,7 @@ def find(frame: DataFrame, text: str = "text", key: str = "doc_id", rounds: int
     """
     kind = dict(frame.dtypes)[key]
     schema = f"row long, key {kind}, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, base array<struct<s:long,k:int,e:long>>, mentions array<struct<s:long,k:int,e:long,value:string,patterns:array<string>>>"
-    scanned = materialise(frame.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").cast("string").alias("text")).mapInArrow(_scan, schema), "scanned")
+    scanned = materialise(frame.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").cast("string").alias("text")).mapInArrow(trimmed(_scan), schema), "scanned")
     each = scanned.where(F.size("mentions") > 0).select("row", F.explode("mentions").alias("m"))
     trusted = score(each.select(F.col("m.value").alias("value"), F.col("m.k").alias("kind"), F.col("m.patterns").alias("patterns")), rounds, support, confidence)
     seeds = each.where("m.k >= 4").select("row", "m.s", "m.k", "m.e")
@@ -220,6 +220,6 @@ def redact(frame: DataFrame, spans: DataFrame, text: str = "text", key: str = "d
     others = [n for n in names if n != of[text]]
     rows = renamed.join(held, F.col(of[key]) == F.col("__key"), "left").select(F.col(of[text]).alias("text"), "spans_list", *others)
     kinds = dict(rows.dtypes)
-    changed = rows.where("spans_list is not null").mapInArrow(_replace, ", ".join(f"{c} {kinds[c]}" for c in ("text", *others)))
+    changed = rows.where("spans_list is not null").mapInArrow(trimmed(_replace), ", ".join(f"{c} {kinds[c]}" for c in ("text", *others)))
     same = rows.where("spans_list is null").drop("spans_list")
     return changed.unionByName(same).select(*(F.col("text" if n == of[text] else n).alias(c) for c, n in of.items()))

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestack.llm import textvec as tv
-from lodestack.llm.store import materialise
+from lodestack.llm.store import materialise, trimmed
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
@@ -78,7 +78,7 @@ def with_counts(frame: DataFrame, keep: Sequence[str], text: str = "text") -> Da
     """The kept columns and the counts of each row's whole text; null and empty texts have zeros."""
     kinds = dict(frame.dtypes)
     schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), *(f"{n} long" for n in COUNTS)])
-    return frame.select(*(F.col(f"`{c}`") for c in keep), F.col(f"`{text}`").cast("string").alias("__counted")).mapInArrow(_count_batches, schema)
+    return frame.select(*(F.col(f"`{c}`") for c in keep), F.col(f"`{text}`").cast("string").alias("__counted")).mapInArrow(trimmed(_count_batches), schema)
 
 
 def base_failed() -> Column:

@@ -19,11 +19,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestack.llm.memo import Memo
+from lodestack.llm.store import trimmed
 
 MARK = "▁"
 NEVER = 1 << 60
-#: Runs and segments remembered by a Python worker, in each of two generations.
-REMEMBERED_RUNS, REMEMBERED_SEGMENTS = 450_000, 150_000
+#: Runs remembered by a Python worker, in each of two generations (some 200 bytes each), and a third as many segments.
+REMEMBERED_RUNS = 450_000
 #: Characters of the longest segments whose agenda is a plain list.
 SHORT = 24
 
@@ -40,7 +41,7 @@ class Codec:
     searched for such pairs: (other character, mark) always; (letter, non-letter) and its reverse if they hold.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = REMEMBERED_RUNS):
         import sentencepiece
 
         self.library = lib = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -69,8 +70,8 @@ class Codec:
         self.dummy = MARK if lib.normalize("a") == f"{MARK}a" else ""
         #: Runs merged since the last check.
         self.fresh: list[tuple[str, tuple[int, ...]]] = []
-        self.segment = Memo(self._segment, REMEMBERED_SEGMENTS)
-        self.run = Memo(self._run, REMEMBERED_RUNS)
+        self.segment = Memo(self._segment, remembered // 3)
+        self.run = Memo(self._run, remembered)
 
     def agenda(self, text: str) -> list[str]:
         """Merge the characters of a segment: best score first, then leftmost, until no pair is a piece."""
@@ -170,14 +171,14 @@ class Codec:
         return (text[1:] if self.dummy and text.startswith(MARK) else text).replace(MARK, " ")
 
 
-_codecs: dict[str, Codec] = {}
+_codecs: dict[tuple[str, int], Codec] = {}
 
 
-def codec(path: str) -> Codec:
+def codec(path: str, remembered: int = REMEMBERED_RUNS) -> Codec:
     """One codec for each model in a Python worker."""
-    if path not in _codecs:
-        _codecs[path] = Codec(path)
-    return _codecs[path]
+    if (path, remembered) not in _codecs:
+        _codecs[path, remembered] = Codec(path, remembered)
+    return _codecs[path, remembered]
 
 
 #: Texts given to the library at once, by characters.
@@ -196,7 +197,7 @@ def _groups(texts: list[str]) -> Iterator[list[str]]:
         yield held
 
 
-def encode_decode(frame: DataFrame, model_path: str, text: str = "text", key: str = "doc_id", keep_ids: bool = False, keep_text: bool = False, check: str = "runs") -> DataFrame:
+def encode_decode(frame: DataFrame, model_path: str, text: str = "text", key: str = "doc_id", keep_ids: bool = False, keep_text: bool = False, check: str = "runs", remembered: int = REMEMBERED_RUNS) -> DataFrame:
     """Encode each whole text, decode the ids, and return digests of both.
 
     Returns key, n_tokens, ids_sha256, decoded_sha256; with keep_ids also `ids` (array of int), with keep_text
@@ -205,13 +206,13 @@ def encode_decode(frame: DataFrame, model_path: str, text: str = "text", key: st
 
     check: "runs" holds every run of characters between two marks that a batch has merged anew against the
     library (runs are independent, so that covers the texts); "texts" also encodes each whole text by the library.
-    A difference ends the job with `Mismatch`.
+    A difference ends the job with `Mismatch`.  remembered: runs that a worker remembers, which trades memory for time.
     """
     kind = dict(frame.dtypes)[key]
     schema = f"`{key}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep_ids + ", decoded string" * keep_text
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = codec(model_path)
+        own = codec(model_path, remembered)
         for batch in batches:
             rows: dict[str, list] = {"n": [], "ids": [], "text": [], "kept": [], "decoded": []}
             for group in _groups([x or "" for x in batch.column(1).to_pylist()]):
@@ -237,4 +238,4 @@ def encode_decode(frame: DataFrame, model_path: str, text: str = "text", key: st
                 arrays, names = [*arrays, pa.array(rows["decoded"], pa.string())], [*names, "decoded"]
             yield pa.RecordBatch.from_arrays(arrays, names)
 
-    return frame.select(F.col(f"`{key}`"), F.col(f"`{text}`").cast("string")).mapInArrow(work, schema)
+    return frame.select(F.col(f"`{key}`"), F.col(f"`{text}`").cast("string")).mapInArrow(trimmed(work), schema)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import contextlib
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,11 +32,47 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+#: Arrow batches of the jobs that `materialise` starts: small, as rows may be whole texts.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
+
+
+@contextlib.contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Settings for the jobs inside; afterwards the session has its own again."""
+    before = {k: spark.conf.get(k) for k in BATCHES}
+    for k, v in BATCHES.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def trimmed(work: Callable) -> Callable:
+    """A function for mapInArrow that gives freed memory back when its partition ends: idle workers stay alive."""
+
+    def run(batches: Iterator) -> Iterator:
+        import ctypes
+
+        import pyarrow
+
+        try:
+            yield from work(batches)
+        finally:
+            pyarrow.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return run
+
+
 def materialise(frame: DataFrame, name: str) -> DataFrame:
     """Write the rows to the shared folder and read them again: cuts lineage, survives lost executors."""
     spark = frame.sparkSession
     path = fresh_path(spark, name)
-    frame.write.parquet(path)
+    with small_batches(spark):
+        frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 
