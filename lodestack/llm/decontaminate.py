@@ -235,7 +235,9 @@ def _search(kind: type, words_of: list[np.ndarray], space: np.ndarray, settings:
     sizes = ladder[np.minimum(np.searchsorted(ladder, -(-lengths // BLOCK)), len(ladder) - 1)]
     items = np.stack([space[w].sum(axis=0) for w in words_of])
     norms = np.linalg.norm(items, axis=1)
-    by_size = {int(n): np.flatnonzero((sizes == n) & (norms > 0)) for n in np.unique(sizes)}
+    by_size = {int(n): np.flatnonzero((sizes == n) & (norms > 0)) for n in np.unique(sizes[norms > 0])}
+    # Of an item beyond the longest passage only a part can be in one.
+    covered = np.sqrt(np.minimum(1, sizes * BLOCK / np.maximum(lengths, 1)))
     units = (items / np.maximum(norms, 1e-12)[:, None]).astype(np.float32)
     masks = [_masks(w) for w in words_of]
     tails = [min(len(w), max(3, int(np.ceil(settings.answer_share * len(w))))) for w in words_of]
@@ -264,10 +266,11 @@ def _search(kind: type, words_of: list[np.ndarray], space: np.ndarray, settings:
                     continue
                 mine = by_size[n]
                 norm = np.linalg.norm(sums[n], axis=1)
-                some = np.flatnonzero(norm >= 0.5 * norms[mine].min())
+                least = 0.5 * norms[mine] * covered[mine]
+                some = np.flatnonzero(norm >= least.min())
                 cosines = (sums[n][some] @ units[mine].T) / np.maximum(norm[some], 1e-12)[:, None]
                 # A passage that holds the item has at least half of its weight.
-                j, i = np.nonzero((cosines >= settings.cosine) & (norm[some][:, None] >= 0.5 * norms[mine][None, :]))
+                j, i = np.nonzero((cosines >= settings.cosine * covered[mine][None, :]) & (norm[some][:, None] >= least[None, :]))
                 if not len(j):
                     continue
                 b, c = some[j], cosines[j, i]

@@ -144,7 +144,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             row += n
 
 
-def score(mentions: DataFrame, rounds: int = 3, support: int = 8, confidence: float = 0.9) -> DataFrame:
+def score(mentions: DataFrame, rounds: int = 3, support: int = 8, confidence: float = 0.8) -> DataFrame:
     """High-confidence patterns for each kind, from an iterated pattern-instance graph.
 
     mentions: (value string, kind int or -1, patterns array).  Values of a known kind are seeds.  In each round a
@@ -167,7 +167,7 @@ def score(mentions: DataFrame, rounds: int = 3, support: int = 8, confidence: fl
     return trusted
 
 
-def find(frame: DataFrame, text: str = "text", key: str = "doc_id", rounds: int = 3, support: int = 8, confidence: float = 0.9) -> DataFrame:
+def find(frame: DataFrame, text: str = "text", key: str = "doc_id", rounds: int = 3, support: int = 8, confidence: float = 0.8) -> DataFrame:
     """Spans of personal data in every whole text.
 
     Returns key, n_email, n_ip, n_card, n_phone (of the base patterns), base_sha256, spans (all of them as

@@ -152,9 +152,11 @@ class ShardStore:
         total = sum(s.bytes for s in run)
         path = f"{self.root}/data/{uuid.uuid4().hex}"
         source = self.spark.read.parquet(*(s.path for s in run))
-        source.coalesce(max(1, math.ceil(total / self.target))).write.parquet(path)
+        count, rows = max(1, math.ceil(total / self.target)), sum(s.rows for s in run)
+        # As many tasks as files are wanted, if the scan has them; where it has fewer, files are closed by their rows.
+        source.coalesce(count).write.option("maxRecordsPerFile", max(1, math.ceil(1.2 * rows / count))).parquet(path)
         gone = {s.path for s in run}
-        shard = Shard(path, self._bytes(path), sum(s.rows for s in run), manifest.version + 1)
+        shard = Shard(path, self._bytes(path), rows, manifest.version + 1)
         return self.commit(manifest, (*(s for s in manifest.shards if s.path not in gone), shard), tuple(sorted(gone)))
 
     def compact(self) -> Manifest:

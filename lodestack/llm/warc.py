@@ -113,7 +113,7 @@ def response(number: tuple[int, int], target: str | None, body: bytes, date: str
     return Record([*headers, ("Content-Type", "application/http; msgtype=response"), ("WARC-Payload-Digest", payload), ("WARC-Block-Digest", digest(block))], block)
 
 
-_DROPPED = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|iframe)\b.*?(?:</\1\s*>|\Z)|<head\b.*?(?:</head\s*>|(?=<body)|\Z)", re.S | re.I)
+_DROPPED = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|iframe|title)\b.*?(?:</\1\s*>|\Z)|<head\b.*?(?:</head\s*>|(?=<body)|\Z)", re.S | re.I)
 _BREAK = re.compile(r"</?(?:address|article|aside|blockquote|body|br|center|dd|details|div|dl|dt|fieldset|figcaption|figure|footer|form|h[1-6]|header|hr|html|li|main|nav|ol|option|p|pre|section|select|table|tbody|td|th|thead|tr|ul)\b[^>]*(?:>|\Z)", re.I)
 _TAG = re.compile(r"</?[a-zA-Z][^>]*(?:>|\Z)|<[!?][^>]*(?:>|\Z)")
 _TITLE = re.compile(r"<title[^>]*>(.*?)(?:</title|\Z)", re.S | re.I)

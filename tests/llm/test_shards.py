@@ -1,0 +1,62 @@
+import pytest
+from pyspark.sql import functions as F
+
+from lodestack.llm.shards import Conflict, ShardStore, compacted, tiers
+from lodestack.llm.shards import Shard as S
+
+from .conftest import multiset
+
+
+def store(spark, path, **options):
+    return ShardStore(spark, str(path), **{"least": 1, "ratio": 1e6, **options})
+
+
+def test_tiers():
+    shards = [S(str(i), b, 1, i) for i, b in enumerate((10, 100, 399, 400, 5000))]
+    assert {k: [s.path for s in v] for k, v in tiers(shards, 100, 4).items()} == {0: ["0"], 1: ["1", "2"], 2: ["3"], 3: ["4"]}
+
+
+def test_compaction(spark, tmp_path):
+    s = store(spark, tmp_path, fan_in=3)
+    for k in range(7):
+        s.append(spark.range(k * 10, k * 10 + 10))
+    before = s.manifest()
+    assert len(before.shards) == 7 and before.version == 7
+    old = s.read()
+    now = s.compact()
+    assert len(now.shards) < 3 and sum(x.rows for x in now.shards) == 70
+    assert sorted(r.id for r in s.read().collect()) == list(range(70)) == sorted(r.id for r in old.collect())
+    assert s.read(3).count() == 30
+    gone = s.vacuum()
+    assert len(gone) >= 7 and s.read().count() == 70
+    assert s.compact() == now and s.vacuum() == []
+
+
+def test_commit_is_exclusive(spark, tmp_path):
+    a, b = store(spark, tmp_path), store(spark, tmp_path)
+    base = a.manifest()
+    a.append(spark.range(3))
+    with pytest.raises(Conflict):
+        b.commit(base, ())
+    assert b.versions() == [1] and b.read().count() == 3
+    assert [n for n in (tmp_path / "manifests").iterdir() if not n.name.endswith((".json", ".crc"))] == []
+
+
+def test_target_size(spark, tmp_path):
+    frame = spark.range(20_000).select("id", F.sha2(F.col("id").cast("string"), 512).alias("t"))
+    s = store(spark, tmp_path, target=400_000, fan_in=4)
+    s.append_arrivals(frame.withColumn("a", F.col("id") % 4), "a")
+    assert len(s.manifest().shards) == 4
+    merged = s.compact().shards[0]
+    files = [f for f in (tmp_path / "data" / merged.path.rsplit("/", 1)[-1]).iterdir() if f.name.endswith(".parquet")]
+    assert len(files) == -(-merged.bytes // 400_000) or abs(len(files) - merged.bytes / 400_000) <= 2
+    assert s.read().count() == 20_000
+
+
+def test_odd_rows(spark, odd, empty, tmp_path):
+    s = compacted(odd, f"{tmp_path}/x", "doc_id", arrivals=5, least=1, ratio=1e6)
+    assert multiset(map(tuple, s.read().drop("shard").select(odd.columns).collect())) == multiset(map(tuple, odd.collect()))
+    e = compacted(empty, f"{tmp_path}/e", "doc_id")
+    assert e.read().count() == 0 and e.read().drop("shard").columns == empty.columns
+    with pytest.raises(ValueError):
+        store(spark, tmp_path / "n").read()
