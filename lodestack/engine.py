@@ -13,7 +13,7 @@ from lodestack.operators import security
 from lodestack.operators.security import Policies, Policy
 from lodestack.operators.table import Table, create_as
 from lodestack.plans.predicates import Parser, Unsupported, to_column
-from lodestack.sources.catalog import AlreadyExists, Catalog, CatalogError, NoSuchTable, NoSuchView, State, split_name
+from lodestack.sources.catalog import AlreadyExists, Catalog, CatalogError, NoSuchView, State, split_name
 from lodestack.sources.specifiers import ALLOW_NON_ACID, IMPORT_DATA, PARTITIONS, split
 
 __all__ = ["Engine", "Policies", "Policy"]
@@ -92,6 +92,12 @@ class Engine:
         escaped = text.replace("{", "{{").replace("}", "}}")
         return self.spark.sql(_RELATION.sub(put, escaped), **frames) if _RELATION.search(escaped) else self.spark.sql(text)
 
+    def run(self, text: str) -> DataFrame:
+        """Any statement: DDL, changes, transactions, SHOW, DESCRIBE, ANALYZE, or a query."""
+        from lodestack.statements import Statements
+
+        return Statements(self).run(text)
+
     def execute(self, text: str, groups: Sequence[str] = (), enforce_identity: bool = False) -> DataFrame:
         """A query's rows as one JSON column `records`, nulls included.
 
@@ -288,7 +294,3 @@ class Engine:
         before = self.catalog.manifest(name)[2].next_row_id
         t.append(rows)
         return t.row_ids().where(F.col("_row_id") >= before)
-
-    @staticmethod
-    def missing(name: str) -> NoSuchTable:
-        return NoSuchTable(f"no table {name}")
