@@ -1,0 +1 @@
+"""A Spark-native engine for typed, partitioned tables."""

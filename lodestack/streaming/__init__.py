@@ -1,0 +1 @@
+"""Tables are read and written in batches; there are no streaming operators."""
