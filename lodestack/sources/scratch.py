@@ -11,7 +11,7 @@ from pyspark.sql import SparkSession
 def scratch(spark: SparkSession, name: str) -> str:
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="lodestack-")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
