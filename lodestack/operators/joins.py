@@ -13,9 +13,10 @@ def range_join(points: DataFrame, ranges: DataFrame, value: str, low: str, high:
 
     Values are cut into bins of `width`; a range goes to each bin that it touches, a point to one, and the bins join by
     equality, so no nested loop is needed.  width should be about as long as the common range: much longer ranges are
-    copied to many bins.  Rows with a null bound or value join nothing.
+    copied to many bins.  A range also goes to the bin of its end, so that rounding of very large values loses nothing.
+    Rows with a null bound or value join nothing.
     """
-    binned = ranges.withColumn("__bin", F.explode(F.sequence(F.floor(F.col(low) / width), F.greatest(F.floor(F.col(low) / width), F.ceil(F.col(high) / width) - 1))))
+    binned = ranges.withColumn("__bin", F.explode(F.sequence(F.floor(F.col(low) / width), F.greatest(F.floor(F.col(low) / width), F.floor(F.col(high) / width)))))
     placed = points.withColumn("__bin", F.floor(F.col(value) / width))
     return placed.join(binned, "__bin").where((F.col(value) >= F.col(low)) & (F.col(value) < F.col(high))).drop("__bin")
 
