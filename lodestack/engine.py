@@ -19,6 +19,7 @@ from lodestack.sources.specifiers import ALLOW_NON_ACID, IMPORT_DATA, PARTITIONS
 __all__ = ["Engine", "Policies", "Policy"]
 
 VERSION = "1"
+SYSTEM_TABLES = ("system_schema.release", "information_schema.schemata", "information_schema.tables", "information_schema.columns")
 _RELATION = re.compile(r"\b(?P<word>from|join)(?P<space>\s+)(?P<name>(?:`[^`]+`|[A-Za-z_][\w]*)(?:\.(?:`[^`]+`|[A-Za-z_][\w$ ]*?))+)(?=\s|\)|;|,|$)", re.I)
 _GROUPS = "<groups>"
 
@@ -52,6 +53,8 @@ class Engine:
 
     def table(self, name: str, where: str | None = None, columns: Sequence[str] | None = None) -> DataFrame:
         """A table, a view or a partitions table, by name, as the user may see it."""
+        if name.lower() in SYSTEM_TABLES:
+            return self.system(name.lower())
         bare, specifier = split(name)
         if specifier == PARTITIONS:
             security.check_partitions(self._policy(bare))
@@ -83,7 +86,7 @@ class Engine:
 
         def put(m: re.Match) -> str:
             name = m["name"].replace("`", "")
-            if m["name"].split(".")[0].strip("`").lower() in ("parquet", "csv", "json", "orc", "text") or name.count(".") + name.count("/") < 2:
+            if name.lower() not in SYSTEM_TABLES and (m["name"].split(".")[0].strip("`").lower() in ("parquet", "csv", "json", "orc", "text") or name.count(".") + name.count("/") < 2):
                 return m[0]
             key = f"t{len(frames)}"
             frames[key] = self.table(name)
@@ -156,6 +159,23 @@ class Engine:
         """Rows of a query, fetched partition by partition."""
         return self.sql(text).toLocalIterator()
 
+    def system(self, name: str) -> DataFrame:
+        """System tables: the release, and what the catalog holds."""
+        if name == "system_schema.release":
+            return self.release()
+        state = self.catalog.state()
+        if name == "information_schema.schemata":
+            return self.spark.createDataFrame([(n.replace("/", "."),) for n in sorted(state.namespaces)], "schema_name string")
+        entries = [(n, "BASE TABLE") for n in sorted(state.tables)] + [(n, "VIEW") for n in sorted(state.views)]
+        if name == "information_schema.tables":
+            return self.spark.createDataFrame([(n.rpartition("/")[0].replace("/", "."), n.rpartition("/")[2], k) for n, k in entries], "table_schema string, table_name string, table_type string")
+        rows = []
+        for n, kind in entries:
+            columns = list(zip(state.views[n]["columns"], state.views[n]["types"], strict=True)) if kind == "VIEW" else [(c, t) for c, t, _ in self.catalog.describe(n)]
+            shown = security.visible(self.policies.of(n, self.user), [c for c, _ in columns])
+            rows += [(n.rpartition("/")[0].replace("/", "."), n.rpartition("/")[2], c, i + 1, t) for i, (c, t) in enumerate(columns) if c in shown]
+        return self.spark.createDataFrame(rows, "table_schema string, table_name string, column_name string, ordinal_position int, data_type string")
+
     def release(self) -> DataFrame:
         """The system table of the release."""
         return self.spark.createDataFrame([(VERSION, "")], "version string, hash string")
