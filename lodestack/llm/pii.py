@@ -138,8 +138,8 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 base[i] = [{"s": s, "k": k, "e": e} for s, k, e in found]
                 mentions[i] = [{"s": s, "k": k, "e": e, "value": hashlib.sha256(text[s:e].encode()).hexdigest()[:32], "patterns": patterns(text, s, e)} for s, k, e in [*found, *shaped(text, found)]]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(row, row + n)), batch.column(0).slice(a, n), *(pa.array(c) for c in counted), pa.array(shas), pa.array(base, pa.list_(_SPAN)), pa.array(mentions, pa.list_(_MENTION))],
-                ["row", "key", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "base", "mentions"],
+                [pa.array(np.arange(row, row + n)), batch.column(0).slice(a, n), batch.column(2).slice(a, n), *(pa.array(c) for c in counted), pa.array(shas), pa.array(base, pa.list_(_SPAN)), pa.array(mentions, pa.list_(_MENTION))],
+                ["row", "key", "text_mark", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "base", "mentions"],
             )
             row += n
 
@@ -171,14 +171,15 @@ def find(frame: DataFrame, text: str = "text", key: str = "doc_id", rounds: int
     """Spans of personal data in every whole text.
 
     Returns key, n_email, n_ip, n_card, n_phone (of the base patterns), base_sha256, spans (all of them as
-    kind:start:end in code points, by start, then kind) and spans_list (array of struct s, k, e; k indexes KINDS).
+    kind:start:end in code points, by start, then kind), spans_list (array of struct s, k, e; k indexes KINDS) and
+    text_mark (a hash of the text).
     Identifier-shaped tokens that stand in a context of high confidence are added with that context's kind, unless
     they overlap a base span.  Null and empty texts have no spans; repeated rows and equal or null keys stay rows of
     their own; an empty table gives an empty result; other columns are not read.
     """
     kind = dict(frame.dtypes)[key]
-    schema = f"row long, key {kind}, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, base array<struct<s:long,k:int,e:long>>, mentions array<struct<s:long,k:int,e:long,value:string,patterns:array<string>>>"
-    scanned = materialise(frame.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").cast("string").alias("text")).mapInArrow(trimmed(_scan), schema), "scanned")
+    schema = f"row long, key {kind}, text_mark long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, base array<struct<s:long,k:int,e:long>>, mentions array<struct<s:long,k:int,e:long,value:string,patterns:array<string>>>"
+    scanned = materialise(frame.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").cast("string").alias("text"), F.xxhash64(F.col(f"`{text}`").cast("string")).alias("mark")).mapInArrow(trimmed(_scan), schema), "scanned")
     each = scanned.where(F.size("mentions") > 0).select("row", F.explode("mentions").alias("m"))
     trusted = score(each.select(F.col("m.value").alias("value"), F.col("m.k").alias("kind"), F.col("m.patterns").alias("patterns")), rounds, support, confidence)
     seeds = each.where("m.k >= 4").select("row", "m.s", "m.k", "m.e")
@@ -192,7 +193,7 @@ def find(frame: DataFrame, text: str = "text", key: str = "doc_id", rounds: int
     def shown(x: Column) -> Column:
         return F.concat_ws(":", F.element_at(names, x.k + 1), x.s.cast("string"), x.e.cast("string"))
 
-    return out.select(F.col("key").alias(key), "n_email", "n_ip", "n_card", "n_phone", "base_sha256", F.array_join(F.transform("spans_list", shown), ",").alias("spans"), "spans_list")
+    return out.select(F.col("key").alias(key), "n_email", "n_ip", "n_card", "n_phone", "base_sha256", F.array_join(F.transform("spans_list", shown), ",").alias("spans"), "spans_list", "text_mark")
 
 
 def _replace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,13 +213,17 @@ def _replace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def redact(frame: DataFrame, spans: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """The rows with every span of theirs (from `find`) replaced by its kind, as <EMAIL>; keys must be unique."""
+    """The rows with every span of theirs (from `find`) replaced by its kind, as <EMAIL>.
+
+    Rows find their spans by key and text, so repeated rows and equal or null keys are no matter; null texts stay null.
+    """
     names = [f"__c{i}" for i in range(len(frame.columns))]
     renamed = frame.toDF(*names)
     of = dict(zip(frame.columns, names, strict=True))
-    held = spans.where(F.size("spans_list") > 0).select(F.col(f"`{key}`").alias("__key"), "spans_list")
+    held = spans.where(F.size("spans_list") > 0).select(F.col(f"`{key}`").alias("__key"), F.col("text_mark").alias("__mark"), "spans_list").dropDuplicates(["__key", "__mark"])
     others = [n for n in names if n != of[text]]
-    rows = renamed.join(held, F.col(of[key]) == F.col("__key"), "left").select(F.col(of[text]).alias("text"), "spans_list", *others)
+    same_row = F.col(of[key]).eqNullSafe(F.col("__key")) & (F.xxhash64(F.col(of[text])) == F.col("__mark"))
+    rows = renamed.join(held, same_row, "left").select(F.col(of[text]).alias("text"), "spans_list", *others)
     kinds = dict(rows.dtypes)
     changed = rows.where("spans_list is not null").mapInArrow(trimmed(_replace), ", ".join(f"{c} {kinds[c]}" for c in ("text", *others)))
     same = rows.where("spans_list is null").drop("spans_list")

@@ -56,7 +56,7 @@ def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     from lodestack.llm.pii import find
 
-    return find(table(spark, folder, "documents")).drop("spans_list")
+    return find(table(spark, folder, "documents")).drop("spans_list", "text_mark")
 
 
 @query("op9_decontaminate")

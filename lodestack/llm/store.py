@@ -20,7 +20,7 @@ def shared_root(spark: SparkSession) -> str:
     context = spark.sparkContext
     root = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not root:
-        if not context.master.startswith("local["):
+        if context.master != "local" and not context.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="checkpoints-")
         context.setCheckpointDir(root)
