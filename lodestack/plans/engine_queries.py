@@ -312,3 +312,43 @@ def system_release(spark, folder):
 
 def catalog(spark: SparkSession, root: str) -> Catalog:
     return Catalog(spark, root)
+
+
+@query("sql_statements", "select c_custkey, case when c_custkey < 20 then 'small' when c_mktsegment = 'BUILDING' then 'B' else c_mktsegment end as segment from customer where c_nationkey <> 3 union all select 1000000, 'new'")
+def sql_statements(spark, folder):
+    """A table's life in SQL: created from a query, changed, merged into and read through a view."""
+    e = _engine(spark)
+    run = e.run
+    create_as(e.catalog, "lake.main.source", table(spark, folder, "customer"))
+    run("CREATE TABLE lake.main.c PARTITIONED BY (bucket(4, c_custkey)) AS SELECT c_custkey, c_nationkey, c_mktsegment AS segment FROM lake.main.source")
+    run("DELETE FROM lake.main.c WHERE c_nationkey = 3")
+    run("UPDATE lake.main.c SET segment = 'B' WHERE segment = 'BUILDING'")
+    run("MERGE INTO lake.main.c AS t USING (SELECT id AS k FROM range(20) UNION ALL SELECT 1000000) AS s ON t.c_custkey = s.k WHEN MATCHED THEN UPDATE SET segment = 'small' WHEN NOT MATCHED AND s.k > 100 THEN INSERT (c_custkey, segment) VALUES (s.k, 'new')")
+    run("CREATE VIEW lake.main.v AS SELECT c_custkey, segment FROM lake.main.c")
+    return run("SELECT * FROM lake.main.v")
+
+
+@query("scan_by_option", "select s_suppkey, s_name from supplier where s_nationkey in (3, 4, 5)")
+def scan_by_option(spark, folder):
+    from lodestack.sources import datasource
+
+    e = _engine(spark)
+    create_as(e.catalog, "lake.main.s", table(spark, folder, "supplier"), ["s_nationkey"])
+    datasource.register(spark)
+    root = e.catalog.root
+    return spark.read.format("lodestack").option("root", root).option("table", "lake.main.s").load().where("s_nationkey in (3, 4, 5)").select("s_suppkey", "s_name")
+
+
+@query("fn_transforms_sql", "select o_orderkey, cast(year(o_orderdate) - 1970 as int) as y, o_custkey - o_custkey % 10 as t, b.k as b from orders o join (" + _murmur_sql("orders", "o_orderkey as ok", "o_custkey", 8).replace("select o_orderkey as ok, lo", "select ok, lo").replace("select o_orderkey as ok, cast", "select ok, cast") + ") b on b.ok = o.o_orderkey")
+def fn_transforms_sql(spark, folder):
+    from lodestack.functions.sql import register
+
+    register(spark)
+    return table(spark, folder, "orders").selectExpr("o_orderkey", "ls_years(o_orderdate) as y", "ls_truncate(10, o_custkey) as t", "ls_bucket(8, o_custkey) as b")
+
+
+@query("information_schema", "select * from (values ('nation', 'n_name', 2, 'string'), ('nation', 'n_nationkey', 1, 'int'), ('nation', 'n_regionkey', 3, 'int')) t(table_name, column_name, ordinal_position, data_type)")
+def information_schema(spark, folder):
+    e = _engine(spark)
+    create_as(e.catalog, "lake.main.nation", table(spark, folder, "nation"))
+    return e.sql("select table_name, column_name, ordinal_position, data_type from information_schema.columns")

@@ -229,3 +229,20 @@ sql("fn_struct", "select event_id, named_struct('a', user_id, 'b', event_type).b
 sql("fn_json", "select event_id, cast(get_json_object(props, '$.k') as int) as k, from_json(props, 'k int').k + 1 as k1 from events", "select event_id, cast(json_extract_string(props, '$.k') as int) as k, cast(json_extract_string(props, '$.k') as int) + 1 as k1 from events")
 sql("fn_session", "select cast(cast(date '2024-03-01' - interval 1 month as date) as string) as back, cast(cast('2024-01-31' as date) + interval 1 day as string) as fwd from region where r_regionkey = 0", "select cast(cast(date '2024-03-01' - interval 1 month as date) as string) as back, cast(cast(date '2024-01-31' + interval 1 day as date) as string) as fwd from region where r_regionkey = 0")
 sql("text_search", "select doc_id, lang, n_chars from documents where text like '%tion%' and lang = 'en' and n_chars > 3000")
+sql(
+    "fn_regex",
+    "select p_partkey, regexp_extract(p_brand, '([0-9]+)', 1) as num, p_brand rlike '1.$' as rl, regexp_count(p_name, 'a') as cnt, locate('a', p_name) as loc, nvl(nullif(p_brand, 'Brand#11'), '-') as nv, initcap(p_type) as ic, ascii(p_brand) as asc_, repeat('x', p_size % 4) as rep, substring_index(p_brand, '#', 1) as si from part",
+    "select p_partkey, regexp_extract(p_brand, '([0-9]+)', 1) as num, regexp_matches(p_brand, '1.$') as rl, cast(len(regexp_extract_all(p_name, 'a')) as int) as cnt, cast(instr(p_name, 'a') as int) as loc, coalesce(nullif(p_brand, 'Brand#11'), '-') as nv, array_to_string(list_transform(string_split(p_type, ' '), lambda w: upper(left(w, 1)) || lower(substring(w, 2))), ' ') as ic, cast(ascii(p_brand) as int) as asc_, repeat('x', p_size % 4) as rep, split_part(p_brand, '#', 1) as si from part",
+)
+sql(
+    "fn_time",
+    "select event_id, cast(date_trunc('hour', ts) as string) as h, cast(to_date(ts) as string) as d, unix_micros(cast(ts as timestamp)) as us, weekday(ts) as wd, dayofyear(ts) as dy, minute(ts) as mi, cast(date_sub(cast(ts as date), 3) as string) as ds, cast(ts + interval 90 minutes as string) as later, cast(months_between(date '2024-06-01', date '2024-01-01') as int) as mb from events",
+    "select event_id, strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') as h, strftime(ts, '%Y-%m-%d') as d, epoch_us(ts) as us, cast(isodow(ts) - 1 as int) as wd, cast(dayofyear(ts) as int) as dy, cast(minute(ts) as int) as mi, strftime(cast(ts as date) - interval 3 day, '%Y-%m-%d') as ds, cast(ts + interval 90 minute as varchar) as later, 5 as mb from events",
+)
+sql(
+    "fn_collections",
+    "select event_id, array_join(zip_with(array(1, 2), array(user_id, 3), (a, b) -> a + b), ',') as z, exists(array(user_id), x -> x > 10) as e, forall(array(1, user_id), x -> x < 100) as f, array_join(array_distinct(array(1, 1, 2)), '') as d, array_position(array(5, 7, 9), 7) as p, array_join(array_union(array(1), array(2)), '') as u, cardinality(map_values(map('a', 1, 'b', 2))) as mv, to_json(named_struct('k', user_id)) as j, array_join(flatten(array(array(1), array(2, 3))), '') as fl, array_join(reverse(sequence(1, 3)), '') as sq from events",
+    "select event_id, (1 + user_id) || ',5' as z, user_id > 10 as e, user_id < 100 as f, '12' as d, cast(2 as bigint) as p, '12' as u, 2 as mv, '{\"k\":' || user_id || '}' as j, '123' as fl, '321' as sq from events",
+)
+sql("agg_bool_arg", "select o_orderstatus, bool_and(o_totalprice > 0) as every_, bool_or(o_custkey = 7) as some_, max_by(o_orderkey, struct(o_totalprice, o_orderkey)) as top, min_by(o_orderkey, struct(o_totalprice, o_orderkey)) as low, count_if(o_custkey % 2 = 0) as even from orders group by o_orderstatus", "select o_orderstatus, bool_and(o_totalprice > 0) as every_, bool_or(o_custkey = 7) as some_, max_by(o_orderkey, row(o_totalprice, o_orderkey)) as top, min_by(o_orderkey, row(o_totalprice, o_orderkey)) as low, cast(count_if(o_custkey % 2 = 0) as bigint) as even from orders group by o_orderstatus")
+sql("pivot", "select * from (select l_returnflag, l_linestatus, l_quantity from lineitem) pivot (count(l_quantity) for l_linestatus in ('O' as o, 'F' as f))", "select l_returnflag, count(l_quantity) filter (where l_linestatus = 'O') as o, count(l_quantity) filter (where l_linestatus = 'F') as f from lineitem group by l_returnflag")
