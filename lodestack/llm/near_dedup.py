@@ -165,7 +165,8 @@ def near_duplicates(frame: DataFrame, text: str = "text", key: str = "doc_id", w
     """
     source = frame.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
     summaries = materialise(source.mapInArrow(trimmed(_summaries(bands, rows, width)), "doc_id long, n long, mark1 long, mark2 long, keys array<long>"), "summaries")
-    nodes = summaries.where("doc_id is not null and n > 0").groupBy("mark1", "mark2", "n").agg(F.min("doc_id").alias("node"), F.first("keys").alias("keys"))
+    # Written, so that the last join deals both its sides anew and a fingerprint of very many rows can be split.
+    nodes = materialise(summaries.where("doc_id is not null and n > 0").groupBy("mark1", "mark2", "n").agg(F.min("doc_id").alias("node"), F.first("keys").alias("keys")), "nodes")
     dealt = nodes.select("node", "n", F.posexplode("keys").alias("band", "bucket"))
     buckets = dealt.groupBy("band", "bucket").agg(F.count("*").alias("size")).where("size > 1")
     shared = materialise(dealt.join(buckets, ["band", "bucket"]), "buckets")
