@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 from collections.abc import Iterator
@@ -38,12 +39,20 @@ _NO_P = frozenset("address article aside blockquote center details div dl fields
 SHARE = 0.8
 
 
+#: Elements nested deeper become siblings, as in browsers.
+MOST_DEPTH = 512
+
+
 class Node:
-    __slots__ = ("beside", "name", "parent", "path", "weight")
+    """An element.  Its path is told by a hash of the generalised tags and classes from the root, and shown by the last
+    two, so that it stays short however deep and wordy a page is."""
+
+    __slots__ = ("beside", "key", "name", "parent", "path", "weight")
 
     def __init__(self, name: str, key: str, parent: Node | None, beside: bool):
-        self.name, self.parent, self.beside, self.weight = name, parent, beside, 0
-        self.path = key if parent is None else f"{parent.path}>{key}"
+        self.name, self.parent, self.beside, self.weight, self.key = name, parent, beside, 0, key[:80]
+        mark = hashlib.blake2b(f"{parent.path if parent else ''}>{key}".encode(), digest_size=8).hexdigest()
+        self.path = f"{parent.key if parent else ''}>{self.key}#{mark}"
 
 
 def _attributes(text: str) -> tuple[str, list[str], bool]:
@@ -182,6 +191,9 @@ def parse(page: str) -> tuple[Node, list[tuple[Node, str]]]:
         if not beside:
             within = any(x.name in ("article", "main") for x in stack)
             beside = name in BESIDE or name == "header" and not within
+        if len(stack) >= MOST_DEPTH:
+            close(len(stack) - 1)
+            top = stack[-1]
         stack.append(Node(name, key, top, beside))
         links += name == "a"
     for _ in range(len(stack)):
@@ -249,8 +261,8 @@ def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*batch.columns[2:], pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], [*batch.schema.names[2:], "text", "n_chars"])
 
 
-#: Hosts whose paths are sent to all executors; with more, pages are joined with them by host.
-MOST_SENT = 50_000
+#: Hosts whose paths are sent to all executors, and characters of these; with more, pages are joined with them by host.
+MOST_SENT, MOST_SENT_CHARS = 50_000, 16 << 20
 
 
 def host_paths(pages: DataFrame) -> DataFrame:
@@ -271,7 +283,8 @@ def extract(frame: DataFrame, page: str = "html", url: str = "url", key: str = "
     kinds = dict(frame.dtypes)
     named = frame.select(F.col(f"`{key}`").alias("key"), F.col(f"`{url}`").cast("string").alias("url"), host_of(F.col(f"`{url}`").cast("string")).alias("host"), F.col(f"`{page}`").cast("string").alias("html"))
     winners = materialise(host_paths(named).where(f"votes >= {least_share} * pages").select("host", "path"), "paths")
-    small = winners.limit(MOST_SENT + 1).count() <= MOST_SENT
+    count, chars = winners.agg(F.count("*"), F.sum(F.length("host") + F.length("path"))).first()
+    small = count <= MOST_SENT and (chars or 0) <= MOST_SENT_CHARS
     joined = named.join(F.broadcast(winners) if small else winners, "host", "left")
     schema = f"key {kinds[key]}, url string, text string, n_chars long"
     return joined.select("html", "path", "key", "url").mapInArrow(_extracted, schema).select(F.col("key").alias(key), F.col("url").alias(url), "text", "n_chars")

@@ -82,6 +82,8 @@ def test_main_text(page, text):
 
 def test_long_and_deep_pages():
     assert h.main_text("<div>" * 3000 + "deep" + "</div>" * 3000, None) == "deep"
+    assert h.main_text("<div class='a b'>" * 100_000 + "deep", None) == "deep"
+    assert len(h.parse("<div>x" * 2000)[1]) == 2000
     assert len(h.main_text("<article>" + "<p>word " * 20_000, None).split("\n\n")) == 20_000
     for page in ("<" * 50_000, "<a " + "x" * 100_000, "<p title='" + "a" * 100_000, "&" * 50_000):
         h.main_text(page, None)
