@@ -14,16 +14,15 @@ from lodestack.llm.pii import find, redact
 from lodestack.llm.quality import keep_good
 from lodestack.llm.registry import table, tokenizer_path
 from lodestack.llm.sentencepiece_codec import encode_decode
-from lodestack.llm.store import fresh_path
+from lodestack.llm.store import BATCHES, fresh_path, small_side
 
 #: Several stages decide by rules that are learnt, or hash, so SQL can't express them; tests hold them against brute force.
 ORACLE_SQL = None
 
 
-#: Texts pass through Python in most stages, and executors keep what earlier stages have touched: small Arrow batches,
-#: and fewer remembered runs than `encode_decode` has by itself.
-BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
-REMEMBERED = 200_000
+#: Texts pass through Python in most stages, and executors keep what earlier stages have touched: so small batches, and
+#: fewer remembered runs than `encode_decode` has by itself.
+REMEMBERED = 150_000
 
 
 def _prepared(spark: SparkSession) -> None:
@@ -40,14 +39,14 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, the one with the smallest id."""
     _prepared(spark)
-    gone = near_duplicates(docs).where("not kept").select("doc_id")
+    gone = small_side(near_duplicates(docs).where("not kept").select("doc_id"), "gone")
     return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without passages of the benchmark."""
     _prepared(spark)
-    gone = contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
+    gone = small_side(contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct(), "gone")
     return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
 
 
@@ -60,7 +59,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of the ids and of what they decode to."""
     _prepared(spark)
-    return encode_decode(docs, tokenizer_path("piece_bpe_32k.model"), remembered=REMEMBERED)
+    return encode_decode(docs, tokenizer_path("piece_bpe_32k.model"), remembered=REMEMBERED, forget=True)
 
 
 STAGES = [("quality rules", quality), ("near-dedup", near_dedup), ("decontamination", decontaminate), ("PII", personal_data), ("SentencePiece", tokens)]

@@ -17,6 +17,10 @@ class Memo(dict):
         self.put(key, value)
         return value
 
+    def forget(self) -> None:
+        self.clear()
+        self.older = {}
+
     def renew(self, key: str) -> bool:
         """Whether the older generation has the key, which then is among the latest again."""
         if (value := self.older.get(key)) is None:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestack.llm import textvec as tv
-from lodestack.llm.store import materialise, trimmed
+from lodestack.llm.store import materialise, small_side, trimmed
 
 #: In the order in which spans that start together are listed; the method adds the last, and more of the others.
 KINDS = ("email", "ip", "card", "phone", "secret")
@@ -221,6 +221,7 @@ def redact(frame: DataFrame, spans: DataFrame, text: str = "text", key: str = "d
     renamed = frame.toDF(*names)
     of = dict(zip(frame.columns, names, strict=True))
     held = spans.where(F.size("spans_list") > 0).select(F.col(f"`{key}`").alias("__key"), F.col("text_mark").alias("__mark"), "spans_list").dropDuplicates(["__key", "__mark"])
+    held = small_side(held, "spans")
     others = [n for n in names if n != of[text]]
     same_row = F.col(of[key]).eqNullSafe(F.col("__key")) & (F.xxhash64(F.col(of[text])) == F.col("__mark"))
     rows = renamed.join(held, same_row, "left").select(F.col(of[text]).alias("text"), "spans_list", *others)

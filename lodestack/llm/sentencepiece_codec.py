@@ -197,7 +197,7 @@ def _groups(texts: list[str]) -> Iterator[list[str]]:
         yield held
 
 
-def encode_decode(frame: DataFrame, model_path: str, text: str = "text", key: str = "doc_id", keep_ids: bool = False, keep_text: bool = False, check: str = "runs", remembered: int = REMEMBERED_RUNS) -> DataFrame:
+def encode_decode(frame: DataFrame, model_path: str, text: str = "text", key: str = "doc_id", keep_ids: bool = False, keep_text: bool = False, check: str = "runs", remembered: int = REMEMBERED_RUNS, forget: bool = False) -> DataFrame:
     """Encode each whole text, decode the ids, and return digests of both.
 
     Returns key, n_tokens, ids_sha256, decoded_sha256; with keep_ids also `ids` (array of int), with keep_text
@@ -206,7 +206,8 @@ def encode_decode(frame: DataFrame, model_path: str, text: str = "text", key: st
 
     check: "runs" holds every run of characters between two marks that a batch has merged anew against the
     library (runs are independent, so that covers the texts); "texts" also encodes each whole text by the library.
-    A difference ends the job with `Mismatch`.  remembered: runs that a worker remembers, which trades memory for time.
+    A difference ends the job with `Mismatch`.  remembered: runs that a worker remembers, which trades memory for time;
+    forget: drop them when a partition ends, so that idle workers are small.
     """
     kind = dict(frame.dtypes)[key]
     schema = f"`{key}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep_ids + ", decoded string" * keep_text
@@ -237,5 +238,8 @@ def encode_decode(frame: DataFrame, model_path: str, text: str = "text", key: st
             if keep_text:
                 arrays, names = [*arrays, pa.array(rows["decoded"], pa.string())], [*names, "decoded"]
             yield pa.RecordBatch.from_arrays(arrays, names)
+        if forget:
+            own.run.forget()
+            own.segment.forget()
 
     return frame.select(F.col(f"`{key}`"), F.col(f"`{text}`").cast("string")).mapInArrow(trimmed(work), schema)

@@ -32,8 +32,8 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-#: Arrow batches of the jobs that `materialise` starts: small, as rows may be whole texts.
-BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
+#: Batches of the jobs that `materialise` starts, in Arrow and of the Parquet reader: small, as rows may be whole texts.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "4m", "spark.sql.parquet.columnarReaderBatchSize": "512"}
 
 
 @contextlib.contextmanager
@@ -76,6 +76,26 @@ def materialise(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+#: Rows and bytes (in its Parquet files) of a join's side that may go to all executors.
+MOST_SENT_ROWS, MOST_SENT_BYTES = 500_000, 16 << 20
+
+
+def small_side(frame: DataFrame, name: str) -> DataFrame:
+    """The rows, written; with the hint to send them to all executors if they are few enough, counted and weighed.
+
+    Joins of texts with a short list then need no exchange of the texts; with a long list both sides are dealt."""
+    from pyspark.sql import functions as F
+
+    spark = frame.sparkSession
+    path = fresh_path(spark, name)
+    with small_batches(spark):
+        frame.write.parquet(path)
+    written = spark.read.schema(frame.schema).parquet(path)
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    size = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(target).getLength()
+    return F.broadcast(written) if size <= MOST_SENT_BYTES and written.count() <= MOST_SENT_ROWS else written
+
+
 def delete(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
