@@ -24,6 +24,8 @@ PASSAGE = 8
 LADDER = (1, 2, 3, 4, 6, 8, 12, 16, 24, 32, 48, 64)
 #: Items that one run takes, and the words they may have; more are to be given in several runs.
 MOST_ITEMS, MOST_VOCABULARY = 20_000, 1 << 20
+#: Neighbouring windows that are first held against an item as one.
+TOGETHER = 16
 #: Words worked on at once.
 MOST_WORDS = 1 << 17
 
@@ -246,7 +248,7 @@ def _search(kind: type, words_of: list[np.ndarray], space: np.ndarray, settings:
     spare = np.flatnonzero(norms == 0)
 
     def candidates(words: np.ndarray, first: np.ndarray, block: np.ndarray, begin: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
-        """Rows, items, first and last words and cosines; of a run of passages in a row, the most similar."""
+        """Rows, items, first and last words, cosines, and whether a run of neighbouring passages begins."""
         row_of = np.repeat(np.arange(len(first) - 1), np.diff(begin))
         total = len(row_of)
         held = np.flatnonzero(~weightless[words])
@@ -278,32 +280,44 @@ def _search(kind: type, words_of: list[np.ndarray], space: np.ndarray, settings:
                 b, i, c = b[order], mine[i[order]], c[order]
                 new = np.ones(len(b), bool)
                 new[1:] = (b[1:] != b[:-1] + 1) | (i[1:] != i[:-1]) | (row_of[b[1:]] != row_of[b[:-1]])
-                run = np.cumsum(new) - 1
-                best = np.lexsort((-c, run))
-                best = best[np.concatenate([[True], run[best][1:] != run[best][:-1]])]
-                b, i, c = b[best], i[best], c[best]
                 low = first[row_of[b]] + (b - begin[row_of[b]]) * BLOCK
-                yield row_of[b], i, low, low + n * BLOCK, c
+                yield row_of[b], i, low, low + n * BLOCK, c, new
         for i in spare.tolist():  # all its words are too common to weigh: every place is a candidate
             step = max(1, int(lengths[i]))
             for r in range(len(first) - 1):
                 low = np.arange(first[r], first[r + 1], step)
-                yield np.full(len(low), r), np.full(len(low), i), low, low + step, np.zeros(len(low))
+                yield np.full(len(low), r), np.full(len(low), i), low, low + step, np.zeros(len(low)), np.ones(len(low), bool)
+
+    def confirm(best: dict, words: np.ndarray, bounds: tuple[int, int], r: int, i: int, lows: list[int], width: int, cosines: list[float]) -> None:
+        """Hold all windows (first words, ascending, and width) of a run against an item; the best is kept."""
+        length, (begin, end) = int(lengths[i]), bounds
+        for k in range(0, len(lows), TOGETHER):
+            some = lows[k : k + TOGETHER]
+            # No window has a longer common subsequence than what holds them all.
+            if len(some) > 1 and common_subsequence(masks[i], length, words[max(begin, some[0]) : min(end, some[-1] + width)]) / length < settings.overlap:
+                continue
+            for low, cosine in zip(some, cosines[k : k + TOGETHER], strict=True):
+                if (r, i) in best and best[r, i][3] == 1:
+                    return
+                low, high = max(begin, low), min(end, low + width)
+                part = words[low:high]
+                share = common_subsequence(masks[i], length, part) / length
+                if share >= settings.overlap and ((r, i) not in best or share > best[r, i][3]):
+                    answer = common_subsequence(answers[i], tails[i], part) / tails[i]
+                    if answer >= settings.answer:
+                        best[r, i] = (low - begin, high - begin, cosine, share, answer)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, words, first in _groups(batches, kind):
             best: dict[tuple[int, int], tuple] = {}
             block, begin = _blocks(first, BLOCK)
-            for found in candidates(words, first, block, begin):
-                for r, i, low, high, cosine in zip(*(x.tolist() for x in found), strict=True):
+            for *found, new in candidates(words, first, block, begin):
+                starts = [*np.flatnonzero(new).tolist(), len(new)]
+                rows, which, lows, highs, cosines = (x.tolist() for x in found)
+                for a, b in zip(starts[:-1], starts[1:], strict=True):
+                    r, i = rows[a], which[a]
                     margin = int(lengths[i]) // 2 + BLOCK
-                    low, high = max(int(first[r]), low - margin), min(int(first[r + 1]), high + margin)
-                    part = words[low:high]
-                    share = common_subsequence(masks[i], int(lengths[i]), part) / int(lengths[i])
-                    if share >= settings.overlap and ((r, i) not in best or share > best[r, i][3]):
-                        answer = common_subsequence(answers[i], tails[i], part) / tails[i]
-                        if answer >= settings.answer:
-                            best[r, i] = (low - int(first[r]), high - int(first[r]), cosine, share, answer)
+                    confirm(best, words, (int(first[r]), int(first[r + 1])), r, i, [x - margin for x in lows[a:b]], highs[a] - lows[a] + 2 * margin, cosines[a:b])
             if best:
                 rows, which = zip(*best, strict=True)
                 picked = batch.select([0, 1]).take(pa.array(rows))
@@ -322,7 +336,7 @@ def contaminated(frame: DataFrame, benchmark: DataFrame, text: str = "text", key
 
     Texts are read once: their words become places in the benchmark's vocabulary (words that no item has can be in
     no common subsequence).  Passages of 64 words fit the latent space; passages about as long as each item, at
-    every eighth word, are held against the item there.  A candidate counts if the longest common subsequence has
+    every eighth word, are held against the item there.  Each candidate is checked; it counts if the longest common subsequence has
     `overlap` of the item's words and `answer` of its last `answer_share`.
     """
     spark: SparkSession = frame.sparkSession

@@ -82,3 +82,26 @@ def test_odd_rows(spark, odd, empty):
     assert contaminated(empty, benchmark).count() == 0
     assert contaminated(odd, benchmark.where("item_id = 2")).count() == 0
     assert contaminated(odd, spark.createDataFrame([], "item_id long, text string")).count() == 0
+
+
+def search(words_of, space, docs, df=None):
+    """Pairs (document, item) that the search finds with a given space; words are places, documents lists of them."""
+    import pyarrow as pa
+
+    from lodestack.llm import decontaminate as d
+
+    more = () if df is None else (df,)
+    run = d._search(np.uint32, [np.array(w, np.int32) for w in words_of], space, *more, Settings())
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(docs))), pa.array(range(len(docs))), pa.array([np.array(w, np.uint32).tobytes() for w in docs], pa.binary())], ["row", "key", "words"])
+    return {(r["row"], r["item"]) for out in run(iter([batch])) for r in out.to_pylist()}
+
+
+@pytest.mark.parametrize(("length", "weighted"), [(40, 4), (56, 4), (59, 6)])
+def test_all_windows_of_a_run_are_checked(length, weighted):
+    """Only the first words of the item weigh, so that all windows that hold them are as similar."""
+    rng = np.random.default_rng(length)
+    space = np.zeros((length + 1, 8), np.float32)
+    space[1 : weighted + 1] = rng.standard_normal((weighted, 8))
+    item = list(range(1, length + 1))
+    docs = [[0] * int(rng.integers(60, 200)) + item + [0] * int(rng.integers(60, 200)) for _ in range(200)]
+    assert search([item], space, docs) == {(k, 0) for k in range(200)}
