@@ -26,6 +26,8 @@ LADDER = (1, 2, 3, 4, 6, 8, 12, 16, 24, 32, 48, 64)
 MOST_ITEMS, MOST_VOCABULARY = 20_000, 1 << 20
 #: Neighbouring windows that are first held against an item as one.
 TOGETHER = 16
+#: Items whose rare words are looked up at once.
+LOOKED_UP = 64
 #: Words worked on at once.
 MOST_WORDS = 1 << 17
 
@@ -178,8 +180,9 @@ def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array([v.tobytes() for v in total.values()], pa.binary())], ["word", "vector"])
 
 
-def latent_space(placed: DataFrame, kind: type, size: int, settings: Settings) -> np.ndarray:
-    """A vector for each word (row 0: none): its TF-IDF weight times its row of the right singular vectors.
+def latent_space(placed: DataFrame, kind: type, size: int, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """A vector for each word (row 0: none): its TF-IDF weight times its row of the right singular vectors; and the
+    number of passages that hold it.
 
     One pass counts passages; a second makes, from all passages, the sketch of a randomised eigendecomposition of A'A
     (Nystrom: with Z = A'A T, A'A is about Z (T'Z)^-1 Z').  Sums of at most vocabulary x (rank + extra) numbers meet
@@ -208,7 +211,7 @@ def latent_space(placed: DataFrame, kind: type, size: int, settings: Settings) -
     good = values > max(values[-1], 1e-30) * 1e-10
     right, _, _ = np.linalg.svd(z @ (vectors[:, good] / np.sqrt(values[good])), full_matrices=False)
     right = right[:, : settings.rank]
-    return (right * weights[:, None]).astype(np.float32)
+    return (right * weights[:, None]).astype(np.float32), df
 
 
 def common_subsequence(masks: dict[int, int], length: int, words: np.ndarray) -> int:
@@ -229,7 +232,70 @@ def _masks(words: np.ndarray) -> dict[int, int]:
     return out
 
 
-def _search(kind: type, words_of: list[np.ndarray], space: np.ndarray, settings: Settings):
+def least_common(length: int, settings: Settings) -> int:
+    """The fewest words that are enough of an item."""
+    out = max(1, int(settings.overlap * length))
+    return out if out / length >= settings.overlap else out + 1
+
+
+@dataclass(frozen=True)
+class Rare:
+    """Each item's rarest words, so many that any common subsequence that is long enough has `hits` of them.
+
+    A subsequence of `need` words leaves out length - need of the item's words, so of length - need + hits words it has
+    at least `hits`, whichever they are.  The rarity of words decides only about the work, not about what is found.
+    blocks: for each LOOKED_UP items, where each word's items begin, and those items.
+    """
+
+    hits: np.ndarray
+    blocks: list[tuple[np.ndarray, np.ndarray]]
+
+    @classmethod
+    def of(cls, words_of: list[np.ndarray], df: np.ndarray, settings: Settings) -> Rare:
+        hits, chosen = np.ones(len(words_of), np.int64), []
+        for i, words in enumerate(words_of):
+            need = least_common(len(words), settings)
+            hits[i] = max(1, need // 4)
+            own, times = np.unique(words, return_counts=True)
+            order = np.argsort(df[own], kind="stable")
+            enough = int(np.searchsorted(np.cumsum(times[order]), len(words) - need + hits[i])) + 1
+            chosen.append(own[order[:enough]])
+        blocks = []
+        for k in range(0, len(chosen), LOOKED_UP):
+            some = chosen[k : k + LOOKED_UP]
+            words, items = np.concatenate(some).astype(np.int64), np.repeat(np.arange(k, k + len(some)), [len(x) for x in some])
+            order = np.argsort(words, kind="stable")
+            blocks.append((np.concatenate([[0], np.cumsum(np.bincount(words, minlength=len(df)))]).astype(np.int32), items[order].astype(np.int32)))
+        return cls(hits, blocks)
+
+    def runs(self, words: np.ndarray, row_of: np.ndarray, reach: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """Row, item, and the first and last start of windows of `reach` words that hold enough rare words."""
+        for begin, items in self.blocks:
+            at = np.flatnonzero(begin[words + 1] > begin[words])
+            counts = (begin[words[at] + 1] - begin[words[at]]).astype(np.int64)
+            if not len(at):
+                continue
+            place = np.repeat(at, counts)
+            item = items[np.arange(len(place)) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(begin[words[at]], counts)]
+            order = np.argsort(item, kind="stable")
+            place, item = place[order], item[order]
+            last = np.arange(len(place)) + self.hits[item] - 1
+            inside = np.flatnonzero(last < len(place))
+            end = last[inside]
+            fits = (item[end] == item[inside]) & (place[end] - place[inside] < reach[item[inside]]) & (row_of[place[end]] == row_of[place[inside]])
+            inside, end = inside[fits], end[fits]
+            if not len(inside):
+                continue
+            i, r = item[inside], row_of[place[inside]]
+            low, high = place[end] - reach[i] + 1, place[inside]
+            new = np.ones(len(i), bool)
+            new[1:] = (i[1:] != i[:-1]) | (r[1:] != r[:-1]) | (low[1:] > high[:-1])
+            first = np.flatnonzero(new)
+            stop = np.append(first[1:], len(i)) - 1
+            yield from zip(r[first].tolist(), i[first].tolist(), low[first].tolist(), high[stop].tolist(), strict=True)
+
+
+def _search(kind: type, words_of: list[np.ndarray], space: np.ndarray, df: np.ndarray, settings: Settings):
     """Rows (row, key, item, start, end, cosine, overlap, answer) of confirmed passages, the best for each item."""
     lengths = np.array([len(w) for w in words_of])
     ladder = np.array(LADDER)
@@ -245,7 +311,9 @@ def _search(kind: type, words_of: list[np.ndarray], space: np.ndarray, settings:
     tails = [min(len(w), max(3, int(np.ceil(settings.answer_share * len(w))))) for w in words_of]
     answers = [_masks(w[-t:]) for w, t in zip(words_of, tails, strict=True)]
     weightless = ~space.any(axis=1)
-    spare = np.flatnonzero(norms == 0)
+    rare = Rare.of(words_of, df, settings)
+    # As many words as the widest window around a candidate passage.
+    reach = np.maximum(sizes * BLOCK, lengths) + 2 * (lengths // 2 + BLOCK)
 
     def candidates(words: np.ndarray, first: np.ndarray, block: np.ndarray, begin: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
         """Rows, items, first and last words, cosines, and whether a run of neighbouring passages begins."""
@@ -271,7 +339,6 @@ def _search(kind: type, words_of: list[np.ndarray], space: np.ndarray, settings:
                 least = 0.5 * norms[mine] * covered[mine]
                 some = np.flatnonzero(norm >= least.min())
                 cosines = (sums[n][some] @ units[mine].T) / np.maximum(norm[some], 1e-12)[:, None]
-                # A passage that holds the item has at least half of its weight.
                 j, i = np.nonzero((cosines >= settings.cosine * covered[mine][None, :]) & (norm[some][:, None] >= least[None, :]))
                 if not len(j):
                     continue
@@ -282,13 +349,8 @@ def _search(kind: type, words_of: list[np.ndarray], space: np.ndarray, settings:
                 new[1:] = (b[1:] != b[:-1] + 1) | (i[1:] != i[:-1]) | (row_of[b[1:]] != row_of[b[:-1]])
                 low = first[row_of[b]] + (b - begin[row_of[b]]) * BLOCK
                 yield row_of[b], i, low, low + n * BLOCK, c, new
-        for i in spare.tolist():  # all its words are too common to weigh: every place is a candidate
-            step = max(1, int(lengths[i]))
-            for r in range(len(first) - 1):
-                low = np.arange(first[r], first[r + 1], step)
-                yield np.full(len(low), r), np.full(len(low), i), low, low + step, np.zeros(len(low)), np.ones(len(low), bool)
 
-    def confirm(best: dict, words: np.ndarray, bounds: tuple[int, int], r: int, i: int, lows: list[int], width: int, cosines: list[float]) -> None:
+    def confirm(best: dict, words: np.ndarray, bounds: tuple[int, int], r: int, i: int, lows: list[int], width: int, cosines: list[float] | None) -> None:
         """Hold all windows (first words, ascending, and width) of a run against an item; the best is kept."""
         length, (begin, end) = int(lengths[i]), bounds
         for k in range(0, len(lows), TOGETHER):
@@ -296,7 +358,7 @@ def _search(kind: type, words_of: list[np.ndarray], space: np.ndarray, settings:
             # No window has a longer common subsequence than what holds them all.
             if len(some) > 1 and common_subsequence(masks[i], length, words[max(begin, some[0]) : min(end, some[-1] + width)]) / length < settings.overlap:
                 continue
-            for low, cosine in zip(some, cosines[k : k + TOGETHER], strict=True):
+            for n, low in enumerate(some, k):
                 if (r, i) in best and best[r, i][3] == 1:
                     return
                 low, high = max(begin, low), min(end, low + width)
@@ -305,6 +367,11 @@ def _search(kind: type, words_of: list[np.ndarray], space: np.ndarray, settings:
                 if share >= settings.overlap and ((r, i) not in best or share > best[r, i][3]):
                     answer = common_subsequence(answers[i], tails[i], part) / tails[i]
                     if answer >= settings.answer:
+                        if cosines is None:
+                            vector = space[part].sum(axis=0)
+                            cosine = float(vector @ units[i] / max(np.linalg.norm(vector), 1e-12))
+                        else:
+                            cosine = cosines[n]
                         best[r, i] = (low - begin, high - begin, cosine, share, answer)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -318,6 +385,9 @@ def _search(kind: type, words_of: list[np.ndarray], space: np.ndarray, settings:
                     r, i = rows[a], which[a]
                     margin = int(lengths[i]) // 2 + BLOCK
                     confirm(best, words, (int(first[r]), int(first[r + 1])), r, i, [x - margin for x in lows[a:b]], highs[a] - lows[a] + 2 * margin, cosines[a:b])
+            for r, i, low, high in rare.runs(words, np.repeat(np.arange(len(first) - 1), np.diff(first)), reach):
+                if (r, i) not in best or best[r, i][3] < 1:
+                    confirm(best, words, (int(first[r]), int(first[r + 1])), r, i, list(range(low, high + 1, BLOCK)), int(reach[i]) + BLOCK - 1, None)
             if best:
                 rows, which = zip(*best, strict=True)
                 picked = batch.select([0, 1]).take(pa.array(rows))
@@ -337,7 +407,9 @@ def contaminated(frame: DataFrame, benchmark: DataFrame, text: str = "text", key
     Texts are read once: their words become places in the benchmark's vocabulary (words that no item has can be in
     no common subsequence).  Passages of 64 words fit the latent space; passages about as long as each item, at
     every eighth word, are held against the item there.  Each candidate is checked; it counts if the longest common subsequence has
-    `overlap` of the item's words and `answer` of its last `answer_share`.
+    `overlap` of the item's words and `answer` of its last `answer_share`.  So that nothing depends on the cosine, its
+    threshold or the weights, windows of twice an item's length that hold enough of its rarest words are checked the
+    same way: the result has every passage, up to that width, that the checks accept.
     """
     spark: SparkSession = frame.sparkSession
     kinds, items = dict(frame.dtypes), Items.of(benchmark, item_text, item_key)
@@ -347,7 +419,7 @@ def contaminated(frame: DataFrame, benchmark: DataFrame, text: str = "text", key
         return spark.createDataFrame([], schema)
     work, kind = _placed(items.vocabulary)
     placed = materialise(frame.select(F.col(f"`{key}`").alias("key"), F.lower(F.col(f"`{text}`").cast("string")).alias("text")).mapInArrow(trimmed(work), f"row long, key {kinds[key]}, words binary"), "placed")
-    space = latent_space(placed, kind, len(items.vocabulary), settings)
-    found = placed.mapInArrow(trimmed(_search(kind, items.words, space, settings)), f"row long, key {kinds[key]}, item long, start long, end long, cosine double, overlap double, answer double")
+    space, df = latent_space(placed, kind, len(items.vocabulary), settings)
+    found = placed.mapInArrow(trimmed(_search(kind, items.words, space, df, settings)), f"row long, key {kinds[key]}, item long, start long, end long, cosine double, overlap double, answer double")
     names = spark.createDataFrame([(i, v) for i, v in enumerate(items.ids)], f"item long, item_id {item_kind}")
     return found.join(F.broadcast(names), "item").select(F.col("key").alias(key), F.col("item_id").alias(item_key), F.col("start").alias("start_word"), F.col("end").alias("end_word"), "cosine", "overlap", "answer")

@@ -90,8 +90,8 @@ def search(words_of, space, docs, df=None):
 
     from lodestack.llm import decontaminate as d
 
-    more = () if df is None else (df,)
-    run = d._search(np.uint32, [np.array(w, np.int32) for w in words_of], space, *more, Settings())
+    df = np.ones(len(space)) if df is None else df
+    run = d._search(np.uint32, [np.array(w, np.int32) for w in words_of], space, df, Settings())
     batch = pa.RecordBatch.from_arrays([pa.array(range(len(docs))), pa.array(range(len(docs))), pa.array([np.array(w, np.uint32).tobytes() for w in docs], pa.binary())], ["row", "key", "words"])
     return {(r["row"], r["item"]) for out in run(iter([batch])) for r in out.to_pylist()}
 
@@ -105,3 +105,39 @@ def test_all_windows_of_a_run_are_checked(length, weighted):
     item = list(range(1, length + 1))
     docs = [[0] * int(rng.integers(60, 200)) + item + [0] * int(rng.integers(60, 200)) for _ in range(200)]
     assert search([item], space, docs) == {(k, 0) for k in range(200)}
+
+
+def accepted(item, words, width):
+    """Whether a window of so many words passes the overlap and answer checks."""
+    tail = min(len(item), max(3, int(np.ceil(0.3 * len(item)))))
+    whole, answer = _masks(np.array(item)), _masks(np.array(item[-tail:]))
+    parts = (np.array(words[k : k + width]) for k in range(max(1, len(words) - width + 1)))
+    return any(common_subsequence(whole, len(item), p) / len(item) >= 0.6 and common_subsequence(answer, tail, p) / tail >= 0.5 for p in parts)
+
+
+def altered_copies(rng, size, items, every):
+    """Documents of random words, each with a copy of an item in which every so-manieth word is another."""
+    docs = []
+    for k in range(300):
+        item = list(items[k % len(items)])
+        item[::every] = rng.integers(1, size, len(item[::every])).tolist()
+        before, after = (rng.integers(1, size, int(rng.integers(0, 80))).tolist() for _ in range(2))
+        docs.append(before + item + after)
+    return docs
+
+
+@pytest.mark.parametrize("every", [3, 5, 100])
+def test_search_equals_brute_force(every):
+    """Words of very different weights in a random space: whatever their cosine, all passages that pass are found."""
+    rng = np.random.default_rng(every)
+    size = 600
+    df = 1 + 3000 / np.arange(1, size + 1)
+    space = (rng.standard_normal((size, 96)) * rng.exponential(size=(size, 1))).astype(np.float32)
+    space[0] = space[1:20] = 0
+    items = [rng.choice(np.arange(1, size), n, p=df[1:] / df[1:].sum()).tolist() for n in rng.integers(9, 60, 30)]
+    docs = altered_copies(rng, size, items, every)
+    got = search(items, space, docs, df)
+    want = {(k, k % 30) for k, words in enumerate(docs) if accepted(items[k % 30], words, 2 * len(items[k % 30]))}
+    assert len(want) > 250 and want <= got
+    for k, i in got - want:  # surroundings may be somewhat wider
+        assert accepted(items[i], docs[k], 4 * len(items[i]) + 40)
