@@ -141,3 +141,20 @@ def test_search_equals_brute_force(every):
     assert len(want) > 250 and want <= got
     for k, i in got - want:  # surroundings may be somewhat wider
         assert accepted(items[i], docs[k], 4 * len(items[i]) + 40)
+
+
+def test_hot_copies_decide_nothing(spark):
+    """Copies of one document hold most words of all items, which so weigh nothing; the few other words are replaced."""
+    rng = random.Random(3)
+    items = [[f"w{i}x{k}" for k in range(34)] for i in range(20)]
+    hot = [w for item in items for w in item[2:]]
+    rng.shuffle(hot)
+    docs = [(1000 + k, " ".join(hot)) for k in range(80)]
+    docs += [(2000 + i, " ".join(item[:2])) for i, item in enumerate(items)]
+    for k in range(60):
+        passage = [f"other{j}" if j < 2 or j % 3 == 0 else w for j, w in enumerate(items[k % 20])]
+        docs.append((k, " ".join(f"p{rng.randrange(500)}" for _ in range(rng.randrange(90))) + " " + " ".join([*passage, "end", "of", "it"])))
+    documents = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    benchmark = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in contaminated(documents, benchmark).where("doc_id < 1000").collect()}
+    assert got == {(k, k % 20) for k in range(60)}
