@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +24,7 @@ BLOCK = 8
 PASSAGE = 8
 #: Sizes of the passages that are searched, in blocks: each is a sum of two smaller ones; longer items are found by parts.
 LADDER = (1, 2, 3, 4, 6, 8, 12, 16, 24, 32, 48, 64)
-#: Items that one run takes, and the words they may have; more are to be given in several runs.
+#: Items that are worked on together, and the distinct words they may have; more are worked off in several blocks.
 MOST_ITEMS, MOST_VOCABULARY = 20_000, 1 << 20
 #: Neighbouring windows that are first held against an item as one.
 TOGETHER = 16
@@ -63,18 +65,30 @@ class Items:
     words: list[np.ndarray]
 
     @classmethod
-    def of(cls, benchmark: DataFrame, text: str, key: str) -> Items:
-        rows = benchmark.select(F.col(f"`{key}`").alias("key"), F.lower(F.col(f"`{text}`").cast("string")).alias("text")).limit(MOST_ITEMS + 1).toArrow()
-        if rows.num_rows > MOST_ITEMS:
-            raise ValueError(f"more than {MOST_ITEMS} items; give them in several runs")
-        hashed, first = word_hashes(*tv.buffers(rows["text"]))
-        vocabulary = np.unique(hashed)
-        if len(vocabulary) > MOST_VOCABULARY:
-            raise ValueError(f"items of more than {MOST_VOCABULARY} words; give them in several runs")
-        places = np.searchsorted(vocabulary, hashed).astype(np.int32) + 1
-        ids, words = rows["key"].to_pylist(), [places[a:b] for a, b in zip(first[:-1], first[1:], strict=True)]
-        kept = [i for i, w in enumerate(words) if len(w)]
-        return cls([ids[i] for i in kept], vocabulary, [words[i] for i in kept])
+    def blocks(cls, benchmark: DataFrame, text: str, key: str) -> Iterator[Items]:
+        """The items that have words, in blocks within both bounds (an item with more words is a block by itself)."""
+        rows = benchmark.select(F.col(f"`{key}`").alias("key"), F.lower(F.col(f"`{text}`").cast("string")).alias("text")).toLocalIterator()
+        ids, hashed, known = [], [], set()
+        while some := list(islice(rows, 1000)):
+            every, first = word_hashes(*tv.buffers(pa.array([r["text"] for r in some], pa.string())))
+            for k, row in enumerate(some):
+                if first[k] == first[k + 1]:
+                    continue
+                own = every[first[k] : first[k + 1]]
+                fresh = set(own.tolist()) - known
+                if ids and (len(ids) == MOST_ITEMS or len(known) + len(fresh) > MOST_VOCABULARY):
+                    yield cls._made(ids, hashed)
+                    ids, hashed, known, fresh = [], [], set(), set(own.tolist())
+                ids.append(row["key"])
+                hashed.append(own)
+                known |= fresh
+        if ids:
+            yield cls._made(ids, hashed)
+
+    @classmethod
+    def _made(cls, ids: list, hashed: list[np.ndarray]) -> Items:
+        vocabulary = np.unique(np.concatenate(hashed))
+        return cls(ids, vocabulary, [np.searchsorted(vocabulary, h).astype(np.int32) + 1 for h in hashed])
 
 
 def _placed(vocabulary: np.ndarray):
@@ -404,7 +418,7 @@ def contaminated(frame: DataFrame, benchmark: DataFrame, text: str = "text", key
     repeated documents and items match each for itself; an empty corpus or benchmark gives an empty result; other
     columns are not read.
 
-    Texts are read once: their words become places in the benchmark's vocabulary (words that no item has can be in
+    Texts are read once for each block of items: their words become places in the benchmark's vocabulary (words that no item has can be in
     no common subsequence).  Passages of 64 words fit the latent space; passages about as long as each item, at
     every eighth word, are held against the item there.  Each candidate is checked; it counts if the longest common subsequence has
     `overlap` of the item's words and `answer` of its last `answer_share`.  So that nothing depends on the cosine, its
@@ -412,14 +426,25 @@ def contaminated(frame: DataFrame, benchmark: DataFrame, text: str = "text", key
     same way: the result has every passage, up to that width, that the checks accept.
     """
     spark: SparkSession = frame.sparkSession
-    kinds, items = dict(frame.dtypes), Items.of(benchmark, item_text, item_key)
-    item_kind = dict(benchmark.dtypes)[item_key]
+    kinds, item_kind = dict(frame.dtypes), dict(benchmark.dtypes)[item_key]
     schema = f"`{key}` {kinds[key]}, `{item_key}` {item_kind}, start_word long, end_word long, cosine double, overlap double, answer double"
-    if not items.ids:
+
+    def found(items: Items) -> DataFrame:
+        work, kind = _placed(items.vocabulary)
+        placed = materialise(frame.select(F.col(f"`{key}`").alias("key"), F.lower(F.col(f"`{text}`").cast("string")).alias("text")).mapInArrow(trimmed(work), f"row long, key {kinds[key]}, words binary"), "placed")
+        space, df = latent_space(placed, kind, len(items.vocabulary), settings)
+        rows = placed.mapInArrow(trimmed(_search(kind, items.words, space, df, settings)), f"row long, key {kinds[key]}, item long, start long, end long, cosine double, overlap double, answer double")
+        names = spark.createDataFrame([(i, v) for i, v in enumerate(items.ids)], f"item long, item_id {item_kind}")
+        return rows.join(F.broadcast(names), "item").select(F.col("key").alias(key), F.col("item_id").alias(item_key), F.col("start").alias("start_word"), F.col("end").alias("end_word"), "cosine", "overlap", "answer")
+
+    blocks = Items.blocks(benchmark, item_text, item_key)
+    first, second = next(blocks, None), next(blocks, None)
+    if first is None:
         return spark.createDataFrame([], schema)
-    work, kind = _placed(items.vocabulary)
-    placed = materialise(frame.select(F.col(f"`{key}`").alias("key"), F.lower(F.col(f"`{text}`").cast("string")).alias("text")).mapInArrow(trimmed(work), f"row long, key {kinds[key]}, words binary"), "placed")
-    space, df = latent_space(placed, kind, len(items.vocabulary), settings)
-    found = placed.mapInArrow(trimmed(_search(kind, items.words, space, df, settings)), f"row long, key {kinds[key]}, item long, start long, end long, cosine double, overlap double, answer double")
-    names = spark.createDataFrame([(i, v) for i, v in enumerate(items.ids)], f"item long, item_id {item_kind}")
-    return found.join(F.broadcast(names), "item").select(F.col("key").alias(key), F.col("item_id").alias(item_key), F.col("start").alias("start_word"), F.col("end").alias("end_word"), "cosine", "overlap", "answer")
+    if second is None:
+        return found(first)
+    # The results of a block are written before the next, so that the driver holds few blocks at once.
+    each = [materialise(found(first), "found"), materialise(found(second), "found")]
+    del first, second
+    each += [materialise(found(items), "found") for items in blocks]
+    return reduce(DataFrame.unionByName, each)

@@ -158,3 +158,16 @@ def test_hot_copies_decide_nothing(spark):
     benchmark = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
     got = {(r.doc_id, r.item_id) for r in contaminated(documents, benchmark).where("doc_id < 1000").collect()}
     assert got == {(k, k % 20) for k in range(60)}
+
+
+@pytest.mark.parametrize("bound", [("MOST_ITEMS", 7), ("MOST_VOCABULARY", 150)])
+def test_large_benchmarks_are_worked_off_in_blocks(planted, monkeypatch, bound):
+    from lodestack.llm import decontaminate as d
+
+    documents, benchmark, truth = planted
+    monkeypatch.setattr(d, *bound)
+    blocks = list(d.Items.blocks(benchmark, "text", "item_id"))
+    assert len(blocks) > 2 and sorted(i for b in blocks for i in b.ids) == list(range(30))
+    chosen = benchmark.where("item_id < 18")
+    got = [(r.doc_id, r.item_id) for r in contaminated(documents, chosen).collect()]
+    assert sorted(got) == sorted((k, i) for k, i in truth if i < 18)
