@@ -32,6 +32,9 @@ SIGNS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored sponsors promo promotion cookie cookies consent gdpr notice notices newsletter subscribe subscription sidebar sidebars menu menus nav navbar navigation breadcrumb breadcrumbs footer share sharing social related recommended recommendations comment comments commentlist disqus reply replies respond popup modal overlay widget widgets toolbar pagination pager login signup search skip alert masthead topbar hidden complementary contentinfo".split()
 )
 CONTAINERS = frozenset("html body div section article main td table tbody tr center ul ol dl blockquote details figure".split())
+#: Containers that may stand around a whole article; others are parts of one.
+AROUND = CONTAINERS - frozenset("ul ol dl blockquote details figure".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: A start tag of the first closes an open one of the second.
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _NO_P = frozenset("address article aside blockquote center details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
@@ -202,8 +205,24 @@ def parse(page: str) -> tuple[Node, list[tuple[Node, str]]]:
     return root, blocks
 
 
+def _has_heading(node: Node, children: dict[int, dict[int, Node]]) -> bool:
+    """Whether it is, or holds, a heading with text that is not all links."""
+    todo = [node]
+    while todo:
+        node = todo.pop()
+        if node.weight:
+            if node.name in HEADINGS:
+                return True
+            todo += children.get(id(node), {}).values()
+    return False
+
+
 def best_container(root: Node, blocks: list[tuple[Node, str]]) -> str:
-    """The path of the deepest container that has most of the page's text; empty if there is none."""
+    """The path of the deepest container that has most of the page's text; empty if there is none.
+
+    The search ends at an `article` or `main`, and goes on inside a container only if what it leaves outside is
+    boilerplate: links, or containers of another tag or class without a heading.
+    """
     children: dict[int, dict[int, Node]] = {}
     for owner, _ in blocks:
         node = owner
@@ -211,11 +230,18 @@ def best_container(root: Node, blocks: list[tuple[Node, str]]) -> str:
             children.setdefault(id(node.parent), {})[id(node)] = node
             node = node.parent
     here = root
-    while True:
-        inner = [c for c in children.get(id(here), {}).values() if c.name in CONTAINERS and c.weight >= SHARE * here.weight]
-        if not inner or not here.weight:
-            return here.path
-        here = max(inner, key=lambda c: c.weight)
+    while here.weight and here.name not in ("article", "main"):
+        all_ = list(children.get(id(here), {}).values())
+        inner = [c for c in all_ if c.name in AROUND and c.weight >= SHARE * here.weight]
+        if not inner:
+            break
+        best = max(inner, key=lambda c: c.weight)
+        outside = [c for c in all_ if c is not best and c.weight]
+        # Weight that is in no child is text of its own.
+        if here.weight > sum(c.weight for c in all_) or any(c.name not in AROUND or c.key == best.key or _has_heading(c, children) for c in outside):
+            break
+        here = best
+    return here.path
 
 
 def inside(owner: Node, path: str) -> bool:

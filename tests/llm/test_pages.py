@@ -80,6 +80,29 @@ def test_main_text(page, text):
     assert h.main_text(page, None) == text
 
 
+BODY = "words of the long body " * 30
+WHOLE = [
+    ("<article><h1>Title</h1><p>lead</p><div class=body><p>{0}</p></div></article>", "Title\n\nlead\n\n{0}"),
+    ("<div class=post><h1>Title</h1><div class=body><p>{0}</p></div></div>", "Title\n\n{0}"),
+    ("<div class=post><div class=head><h1>Title</h1></div><div class=body><p>{0}</p></div></div>", "Title\n\n{0}"),
+    ("<article><p>lead</p><ul><li>{0}<li>b</ul><p>end</p></article>", "lead\n\n{0}\n\nb\n\nend"),
+    ("<div><p>lead</p><blockquote>{0}</blockquote></div>", "lead\n\n{0}"),
+    ("<div><p>lead</p><table><tr><td>{0}</td></tr><tr><td>b</td></tr></table></div>", "lead\n\n{0}\n\nb"),
+    ("<div><section><p>one</p></section><section><p>{0}</p></section></div>", "one\n\n{0}"),
+    ("<div><div class=intro><p>lead</p></div><ul><li>{0}</ul></div>", "lead\n\n{0}"),
+    ("<main>lead<div><p>{0}</p></div></main><div><p>beside</p></div>", "lead\n\n{0}"),
+    ("<div class=top><h1><a href=/>Site</a></h1></div><div class=body><p>{0}</p></div><div class=end><p>all rights</p></div>", "{0}"),
+]
+
+
+@pytest.mark.parametrize(("page", "text"), WHOLE)
+def test_the_article_is_kept_whole(spark, page, text):
+    page, text = (x.format(BODY.strip()) for x in (f"<body>{page}</body>", text))
+    assert h.main_text(page, None) == text
+    frame = spark.createDataFrame([(i, f"http://h.com/{i}", page) for i in range(3)], "page_id long, url string, html string")
+    assert {r.text for r in h.extract(frame).collect()} == {text}
+
+
 def test_long_and_deep_pages():
     assert h.main_text("<div>" * 3000 + "deep" + "</div>" * 3000, None) == "deep"
     assert h.main_text("<div class='a b'>" * 100_000 + "deep", None) == "deep"
