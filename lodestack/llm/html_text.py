@@ -19,7 +19,8 @@ _TOKEN = re.compile(
     r"|<(?P<end2>/?)(?P<name2>[a-zA-Z][^\s/>]*)(?P<attributes2>[^>]*)(?:>|\Z)",
     re.S,
 )
-_ATTRIBUTE = re.compile(r"""(class|id|role|style|hidden|aria-hidden)(?=[\s=/>]|\Z)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]++)(?:\s*+=\s*+(?:"([^"]*)"|'([^']*)'|([^\s"'>]++)))?""")
+_TOLD_BY = frozenset("class id role style hidden aria-hidden".split())
 _LETTERS = re.compile("[a-z]+")
 _DIGITS = re.compile("[0-9]+")
 _RAW = {name: re.compile(rf"</{name}(?=[\s/>]|\Z)", re.I) for name in ("script", "style", "textarea", "title", "xmp", "iframe", "noscript", "noembed", "noframes")}
@@ -42,18 +43,25 @@ _NO_P = frozenset("address article aside blockquote center details div dl fields
 SHARE = 0.8
 
 
+#: An element that signs tell from the article is kept if it has more than MOST of the page's text, unless an `article`
+#: or `main` outside has ENOUGH.
+MOST, ENOUGH = 0.5, 0.2
+#: How often a page is read again to look inside a kept one.
+ROUNDS = 8
 #: Elements nested deeper become siblings, as in browsers.
 MOST_DEPTH = 512
 
 
 class Node:
     """An element.  Its path is told by a hash of the generalised tags and classes from the root, and shown by the last
-    two, so that it stays short however deep and wordy a page is."""
+    two, so that it stays short however deep and wordy a page is.  beside: its text is left out; doubt: the innermost
+    element that is left out by a sign alone, over: the next around that, held: the text in it, without links."""
 
-    __slots__ = ("beside", "key", "name", "parent", "path", "weight")
+    __slots__ = ("beside", "doubt", "held", "key", "name", "over", "parent", "path", "weight")
 
     def __init__(self, name: str, key: str, parent: Node | None, beside: bool):
         self.name, self.parent, self.beside, self.weight, self.key = name, parent, beside, 0, key[:80]
+        self.doubt, self.over, self.held = None, None, 0
         mark = hashlib.blake2b(f"{parent.path if parent else ''}>{key}".encode(), digest_size=8).hexdigest()
         self.path = f"{parent.key if parent else ''}>{self.key}#{mark}"
 
@@ -62,7 +70,9 @@ def _attributes(text: str) -> tuple[str, list[str], bool]:
     """The generalised class key, words of class, id and role, and whether the element is hidden."""
     classes, words, hidden = [], [], False
     for m in _ATTRIBUTE.finditer(text):
-        name, value = m[1].lower(), html.unescape(m[2] or m[3] or m[4] or "").lower()
+        if (name := m[1].lower()) not in _TOLD_BY:
+            continue
+        value = html.unescape(m[2] or m[3] or m[4] or "").lower()
         if name == "class":
             classes = sorted({_DIGITS.sub("#", c) for c in value.split()})[:3]
         if name in ("class", "id", "role"):
@@ -77,8 +87,35 @@ def _attributes(text: str) -> tuple[str, list[str], bool]:
 def parse(page: str) -> tuple[Node, list[tuple[Node, str]]]:
     """The root, and the blocks of text outside of elements that stand beside the article, each with its element.
 
-    White space in a block is one space; character references are decoded; a `br` is white space.
+    White space in a block is one space; character references are decoded; a `br` is white space.  A sign alone
+    doesn't put an element aside that holds most of the text, nor all text of a page.
     """
+    kept: set[int] = set()
+    for k in range(ROUNDS + 1):
+        root, blocks, doubted, articles = _parse(page, kept)
+        held = {at: node.held for at, node in doubted.items() if node.held > 0}
+        total = root.weight + sum(n for at, n in held.items() if doubted[at].over is None)
+        new = {at for at, n in held.items() if n > MOST * total}
+        if sum(a.weight for a in articles) >= ENOUGH * total:
+            new = set()
+        elif k < ROUNDS:
+            new = {at for at in new if doubted[at].over is None}
+        if not new and not blocks:
+            new = set(held)
+        if not new:
+            break
+        kept |= new
+    else:
+        root, blocks, _, _ = _parse(page, kept)
+    return root, blocks
+
+
+def _parse(page: str, kept: set[int]) -> tuple[Node, list[tuple[Node, str]], dict[int, Node], list[Node]]:
+    """The root and blocks, the elements that are left out by signs (of those not in kept; by the order of their tags),
+    and the outermost `article` and `main` elements of what is left."""
+    doubted: dict[int, Node] = {}
+    articles: list[Node] = []
+    tags = 0
     root = Node("", "", None, False)
     stack = [root]
     blocks: list[tuple[Node, str]] = []
@@ -105,6 +142,11 @@ def parse(page: str) -> tuple[Node, list[tuple[Node, str]]]:
         nonlocal owner, linked
         top = stack[-1]
         if top.beside or not raw:
+            doubt = top.doubt
+            if doubt is not None and (n := len(raw.strip())):
+                while doubt is not None:
+                    doubt.held += -n if links else n
+                    doubt = doubt.over
             return
         if not pieces:
             if raw.isspace():
@@ -185,24 +227,36 @@ def parse(page: str) -> tuple[Node, list[tuple[Node, str]]]:
         if name not in INLINE:
             flush()
         top = stack[-1]
-        key, beside = name, top.beside
+        key, hidden, sign = name, False, False
         if attributes:
             more, words, hidden = _attributes(attributes)
             key += more
-            if not beside and name not in ("html", "body", "main"):
-                beside = hidden or not SIGNS.isdisjoint(words)
-        if not beside:
+            if name in ("html", "body", "main"):
+                hidden = False
+            else:
+                sign = not SIGNS.isdisjoint(words)
+        aside, within = top.beside and top.doubt is None or hidden or name in BESIDE, True
+        if not aside and name in ("header", "article", "main"):
             within = any(x.name in ("article", "main") for x in stack)
-            beside = name in BESIDE or name == "header" and not within
+            aside = name == "header" and not within
         if len(stack) >= MOST_DEPTH:
             close(len(stack) - 1)
             top = stack[-1]
-        stack.append(Node(name, key, top, beside))
+        tags += 1
+        node = Node(name, key, top, aside or top.beside)
+        if not aside:
+            node.doubt = top.doubt
+            if sign and tags not in kept:
+                node.beside, node.doubt, node.over = True, node, top.doubt
+                doubted[tags] = node
+            elif not node.beside and not within:
+                articles.append(node)
+        stack.append(node)
         links += name == "a"
     for _ in range(len(stack)):
         close(max(0, len(stack) - 1))
     flush()
-    return root, blocks
+    return root, blocks, doubted, articles
 
 
 def _has_heading(node: Node, children: dict[int, dict[int, Node]]) -> bool:

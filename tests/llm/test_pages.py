@@ -103,6 +103,25 @@ def test_the_article_is_kept_whole(spark, page, text):
     assert {r.text for r in h.extract(frame).collect()} == {text}
 
 
+SIGNED = [
+    ("<div class='site-content has-sidebar'><article><h1>T</h1><p>{0}</p></article><div class=sidebar>side</div></div>", "T\n\n{0}"),
+    ("<div class='no-comments'><p>{0}</p></div><p class=share>Share</p>", "{0}"),
+    ("<article class='related-topic'><p>{0}</p></article>", "{0}"),
+    ("<span class=widget>{0}</span>", "{0}"),
+    ("<article><p title='the hidden lake' data-x=hidden data-class='ad'>{0}</p></article>", "{0}"),
+    ("<article><p hidden=''>no</p><p aria-hidden=true>no</p><p>{0}</p></article>", "{0}"),
+    ("<div class=promo><p>one</p></div><div class=promo><p>two</p></div><div class=promo><p>six</p></div>", "one\n\ntwo\n\nsix"),
+    ("<div class='has-sidebar'><article><p>{0}</p></article><div id=comments><p>{0}</p><p>{0}</p></div></div>", "{0}"),
+    ("<article><p>{0}</p></article><div id=comments><p>{0}</p><p>{0}</p></div>", "{0}"),
+]
+
+
+@pytest.mark.parametrize(("page", "text"), SIGNED)
+def test_signs_never_discard_most_of_a_page(page, text):
+    page, text = (x.format(BODY.strip()) for x in (f"<body>{page}</body>", text))
+    assert h.main_text(page, None) == text
+
+
 def test_long_and_deep_pages():
     assert h.main_text("<div>" * 3000 + "deep" + "</div>" * 3000, None) == "deep"
     assert h.main_text("<div class='a b'>" * 100_000 + "deep", None) == "deep"
