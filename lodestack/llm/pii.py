@@ -30,6 +30,8 @@ _NOT_DIGIT = re.compile("[^0-9]")
 _KEY = re.compile(r"(?<![A-Za-z0-9])(?=[0-9]*[a-f])(?=[a-f]*[0-9])(?:[0-9a-f]{64}|[0-9a-f]{40}|[0-9a-f]{32})(?![A-Za-z0-9])")
 #: Tokens shaped like identifiers: six or more such characters with a digit among them.
 _SHAPED = re.compile(r"[A-Za-z0-9_+/=@][A-Za-z0-9_+/=.@-]{4,}[A-Za-z0-9_+/=]")
+#: Identifiers written in groups: digits, with or without capitals before them, or four capitals; one space between.
+_SPACED = re.compile(r"(?<![A-Za-z0-9])[A-Z]{0,4}+[0-9]{2,}+(?: (?:[A-Z]{0,4}+[0-9]++|[A-Z]{4})(?![A-Za-z0-9]))+")
 _ITEM = re.compile(r"[^\W\d_]+|\d+|[^\w\s]|_")
 #: Characters of context looked at on either side.
 CONTEXT = 48
@@ -76,18 +78,44 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def shaped(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """(start, kind or -1, end) of seeds of secrets and of other identifier-shaped tokens off the taken spans."""
+    """(start, kind or -1, end) of seeds of secrets and of other identifier-shaped tokens off the taken spans.
+
+    All keys of a token are seeds, and what is left of it on either side may be shaped like an identifier too.
+    """
     out = []
     busy = sorted((a, b) for a, _, b in taken)
+
+    def free(a: int, b: int, k: int) -> bool:
+        while k < len(busy) and busy[k][1] <= a:
+            k += 1
+        return k == len(busy) or busy[k][0] >= b
+
     k = 0
     for m in _SHAPED.finditer(text):
         a, b = m.span()
         while k < len(busy) and busy[k][1] <= a:
             k += 1
-        if k < len(busy) and busy[k][0] < b or not any(c.isdigit() for c in m[0]):
+        if not any(c.isdigit() for c in m[0]):
             continue
-        key = _KEY.search(m[0])
-        out.append((a + key.start(), 4, a + key.end()) if key else (a, -1, b))
+        at = a
+        for key in _KEY.finditer(m[0]):
+            start, end = a + key.start(), a + key.end()
+            if free(start, end, k):
+                out.append((start, 4, end))
+            out += [(x.start(), -1, x.end()) for x in _SHAPED.finditer(text, at, start) if any(c.isdigit() for c in x[0]) and free(*x.span(), k)]
+            at = end
+        if at == a:
+            if free(a, b, k):
+                out.append((a, -1, b))
+        else:
+            out += [(x.start(), -1, x.end()) for x in _SHAPED.finditer(text, at, b) if any(c.isdigit() for c in x[0]) and free(*x.span(), k)]
+    k = 0
+    for m in _SPACED.finditer(text):
+        a, b = m.span()
+        while k < len(busy) and busy[k][1] <= a:
+            k += 1
+        if b - a - m[0].count(" ") >= 6 and free(a, b, k):
+            out.append((a, -1, b))
     return out
 
 
@@ -173,7 +201,7 @@ def find(frame: DataFrame, text: str = "text", key: str = "doc_id", rounds: int
     Returns key, n_email, n_ip, n_card, n_phone (of the base patterns), base_sha256, spans (all of them as
     kind:start:end in code points, by start, then kind), spans_list (array of struct s, k, e; k indexes KINDS) and
     text_mark (a hash of the text).
-    Identifier-shaped tokens that stand in a context of high confidence are added with that context's kind, unless
+    Identifier-shaped tokens, and such groups with single spaces, that stand in a context of high confidence are added with that context's kind, unless
     they overlap a base span.  Null and empty texts have no spans; repeated rows and equal or null keys stay rows of
     their own; an empty table gives an empty result; other columns are not read.
     """

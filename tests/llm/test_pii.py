@@ -113,3 +113,37 @@ def test_redact(spark, odd):
     frame = frame.union(frame.where("doc_id = 1")).union(spark.createDataFrame([(1, "x@y.zz", "e"), (None, "q x@y.zz", "f")], frame.schema))
     got = sorted(map(tuple, pii.redact(frame, pii.find(frame)).collect()), key=str)
     assert got == [(1, "<EMAIL>", "e"), (1, "mail é <EMAIL> now", "a"), (1, "mail é <EMAIL> now", "a"), (2, None, "b"), (3, "", "c"), (4, "clean", None), (5, "key = <SECRET> <PHONE>", "d"), (None, "q <EMAIL>", "f")]
+
+
+@pytest.mark.parametrize("between", ["..", "/", "=", "@", "_x:", "+"])
+def test_all_keys_of_a_token(spark, between):
+    one, two = "0a" * 20, "b1" * 16
+    text = f"diff {one}{between}{two} end"
+    assert [text[a:b] for a, k, b in pii.shaped(text, []) if k == 4] == [one, two]
+    frame = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert pii.redact(frame, pii.find(frame)).first().text == f"diff <SECRET>{between}<SECRET> end"
+
+
+def test_parts_beside_keys_are_candidates():
+    text = f"user-4711x/{'0a' * 20}/{'b1' * 16}/ref2024z, 1.2.3.4/{'c2' * 16}"
+    got = [(k, text[a:b]) for a, k, b in pii.shaped(text, pii.base_spans(text))]
+    assert [v for k, v in got if k == 4] == ["0a" * 20, "b1" * 16, "c2" * 16]
+    assert [v for k, v in got if k < 0] == ["user-4711x/", "/ref2024z"]
+
+
+def test_contexts_discover_spaced_groups(spark):
+    rng = random.Random(8)
+    rows = [(i, f"some words reach me at +1 (0{rng.randrange(10, 99)}) 555-{1000 + i} and more") for i in range(60)]
+    hidden = ["123 45 6789", "DE89 3704 0044 0532 0130 00", "GB29 NWBK 6016 1331 9268 19", "ZX-1234567q"]
+    rows += [(100 + i, f"before we reach me at {v} thanks") for i, v in enumerate(hidden)]
+    rows.append((999, "rooms 123 45 6789 are free"))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: [tuple(x) for x in r.spans_list] for r in pii.find(frame).where("doc_id >= 100").collect()}
+    for i, v in enumerate(hidden):
+        assert (len("before we reach me at "), 3, len("before we reach me at ") + len(v)) in got[100 + i], v
+    assert got[999] == []
+
+
+def test_spaced_groups_are_linear():
+    for text in ("12 " * 100_000, "AB12 CD" * 50_000, "12 ABCDE " * 50_000, ("0a" * 16 + "/") * 5_000):
+        pii.shaped(text, pii.base_spans(text))
