@@ -21,6 +21,12 @@ class Memo(dict):
         self.clear()
         self.older = {}
 
+    def recall(self, key: str):
+        """The remembered value, which then is among the latest again, or None."""
+        if (value := self.get(key)) is None and (value := self.older.get(key)) is not None:
+            self.put(key, value)
+        return value
+
     def renew(self, key: str) -> bool:
         """Whether the older generation has the key, which then is among the latest again."""
         if (value := self.older.get(key)) is None:
@@ -28,6 +34,12 @@ class Memo(dict):
         self.put(key, value)
         return True
 
+    def put_all(self, values: dict) -> None:
+        if len(self) + len(values) > self.most:
+            self.older = dict(self)
+            self.clear()
+        self.update(values)
+
     def put(self, key: str, value) -> None:
         if len(self) >= self.most:
             self.older = dict(self)

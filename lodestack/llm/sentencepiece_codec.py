@@ -9,22 +9,31 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from heapq import heapify, heappop, heappush
 from itertools import chain
 from operator import add
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodestack.llm.agenda import Agenda
 from lodestack.llm.memo import Memo
 from lodestack.llm.store import trimmed
 
 MARK = "▁"
+#: Stands for a mark that follows upon another, so that a run's marks aren't cut.
+HELD = "\x01"
+_REPEATED = re.compile(f"{MARK}{{2,}}")
+#: Letters of the first blocks, which a character class can tell fast, and a search for what lies beyond.
+NEAR = "".join(c for c in map(chr, range(0x250)) if c.isalpha())
+_FAR = re.compile(f"[^\\x00-\u024f{MARK}]").search
 NEVER = 1 << 60
-#: Runs remembered by a Python worker, in each of two generations (some 200 bytes each), and a third as many segments.
-REMEMBERED_RUNS = 450_000
+#: Runs, and segments, remembered by a Python worker, in each of two generations (some 150 bytes each).
+REMEMBERED_RUNS = 500_000
 #: Characters of the longest segments whose agenda is a plain list.
 SHORT = 24
 
@@ -57,21 +66,26 @@ class Codec:
         self.bytes = {self.pieces[i]: i for i in range(count) if lib.is_byte(i)}
         self.byte_of = {i: int(p[3:5], 16) for p, i in self.bytes.items()}
         self.names = [str(i) for i in range(count)]
+        self.decimal = pa.array(self.names, pa.large_string())
+        #: How ids are packed.
+        self.kind = "<u2" if count <= 1 << 16 else "<u4"
         self.unknown = lib.unk_id()
         self.silent = {i for i in range(count) if lib.is_control(i)}
         pairs = {(a, b) for p in self.ids for a, b in zip(p, p[1:], strict=False)}
         if any(a != MARK and b == MARK for a, b in pairs):
-            self.cut = None
+            self.cut = self.cut_near = None
         elif any(a != MARK and a.isalpha() != b.isalpha() for a, b in pairs):
-            self.cut = re.compile(f"{MARK}*[^{MARK}]*")
+            self.cut = self.cut_near = re.compile(f"{MARK}*[^{MARK}]*")
         else:
             others = "".join(c for c in map(chr, range(0x110000)) if c.isalnum() and not c.isalpha())
             self.cut = re.compile(rf"{MARK}*(?:[^\W_{others}]+|(?:(?!{MARK})[\W_{others}])+)|{MARK}+")
+            self.cut_near = re.compile(f"{MARK}*(?:[{NEAR}]+|[^{NEAR}{MARK}]+)|{MARK}+")
         self.dummy = MARK if lib.normalize("a") == f"{MARK}a" else ""
+        self.many = Agenda(self.ids, self.levels)
         #: Runs merged since the last check.
-        self.fresh: list[tuple[str, tuple[int, ...]]] = []
-        self.segment = Memo(self._segment, remembered // 3)
-        self.run = Memo(self._run, remembered)
+        self.fresh: list[tuple[str, bytes]] = []
+        self.segment = Memo(None, remembered)
+        self.run = Memo(None, remembered)
 
     def agenda(self, text: str) -> list[str]:
         """Merge the characters of a segment: best score first, then leftmost, until no pair is a piece."""
@@ -107,7 +121,8 @@ class Codec:
                 heappush(heap, (level, k, s))
         return [s for s in symbols if s]
 
-    def _segment(self, text: str) -> tuple[int, ...]:
+    def _segment(self, text: str) -> bytes:
+        """A segment's ids, packed."""
         out: list[int] = []
         for symbol in self.agenda(text):
             if (i := self.ids.get(symbol)) is not None:
@@ -116,36 +131,124 @@ class Codec:
                 out += [self.bytes[f"<0x{b:02X}>"] for b in symbol.encode()]
             else:
                 out.append(self.unknown)
-        return tuple(out)
-
-    def _run(self, text: str) -> tuple[int, ...]:
-        """The ids of a mark and what stands from there to the next (given without the mark)."""
-        ids = self.segment[MARK + text] if text.isalpha() else self._cut(MARK + text)
-        self.fresh.append((text, ids))
-        return ids
+        return np.array(out, self.kind).tobytes()
+
+    def _merged(self, segments: list[str]) -> list[bytes]:
+        """The packed ids of segments."""
+        return [self._segment(s) if v is None else v for s, v in zip(segments, self.many.merge(segments, self.kind), strict=True)]
+
+    def _segments(self, cuts: Iterable[list[str]], words: list[str]) -> tuple[dict[str, bytes], dict[str, bytes]]:
+        """The packed ids of all segments in the cuts, and of words, each after a mark: as these are runs too, they are
+        remembered as such.  What isn't remembered is merged at once."""
+        parts: dict = dict.fromkeys(chain.from_iterable(cuts))
+        now, before, runs, older = self.segment, self.segment.older, self.run, self.run.older
+        new = []
+        for p in parts:
+            if p[0] == MARK and p[1:].isalpha():
+                v = runs.get(p[1:]) or older.get(p[1:])
+            else:
+                v = now.get(p) or before.get(p)
+            if v is None:
+                new.append(p)
+            parts[p] = v
+        wanted = dict.fromkeys([MARK + w for w in words])
+        wanted.update(dict.fromkeys(new))
+        merged = dict(zip(wanted, self._merged(list(wanted)), strict=True))
+        for p in new:
+            parts[p] = merged[p]
+        now.put_all({p: parts[p] for p in new if p[0] != MARK or not p[1:].isalpha()})
+        found = {w: merged[MARK + w] for w in words}
+        runs.put_all({p[1:]: parts[p] for p in new if p[0] == MARK and p[1:].isalpha()})
+        return parts, found
+
+    def _learn(self, runs: list[str]) -> dict[str, bytes]:
+        """The packed ids of new runs; a run stands between two marks, with the first one of these, and marks that follow
+        upon it are written as `HELD`."""
+        cuts = {r: self._cuts(MARK + r.replace(HELD, MARK)) for r in runs if not r.isalpha()}
+        known, out = self._segments(cuts.values(), [r for r in runs if r.isalpha()])
+        for r, cut in cuts.items():
+            out[r] = known[cut[0]] if len(cut) == 1 else b"".join([known[p] for p in cut])
+        self.run.put_all(out)
+        self.fresh += out.items()
+        return out
 
     def check_fresh(self) -> None:
         """Hold all runs merged since the last call against the library, which puts a mark before each."""
-        texts = [text.replace(MARK, " ") for text, _ in self.fresh if text]
-        for (text, own), theirs in zip([x for x in self.fresh if x[0]], self.library.encode(texts, num_threads=1), strict=True):
-            if list(own) != theirs:
-                raise Mismatch(f"ids differ from the library's for {text[:80]!r}")
+        fresh = [x for x in self.fresh if x[0]]
+        theirs = self.library.encode([r.replace(HELD, " ") for r, _ in fresh], num_threads=1)
+        lengths = np.fromiter(map(len, theirs), np.int64, len(theirs))
+        flat = np.fromiter(chain.from_iterable(theirs), np.int64, int(lengths.sum()))
+        own = np.frombuffer(b"".join([v for _, v in fresh]), self.kind)
+        sizes = np.fromiter((len(v) for _, v in fresh), np.int64, len(fresh)) // np.dtype(self.kind).itemsize
+        if not np.array_equal(lengths, sizes) or not np.array_equal(flat, own):
+            for (r, v), ids in zip(fresh, theirs, strict=True):
+                if np.frombuffer(v, self.kind).tolist() != ids:
+                    raise Mismatch(f"ids differ from the library's for {r[:80]!r}")
         self.fresh.clear()
 
-    def _cut(self, text: str) -> tuple[int, ...]:
-        segment = self.segment
-        return tuple(i for part in self.cut.findall(text) if part for i in segment[part])
+    def _cuts(self, text: str) -> list[str]:
+        """The segments of normalised text."""
+        if self.cut is None:
+            return [text]
+        cut = self.cut if _FAR(text) else self.cut_near
+        return [part for part in cut.findall(text) if part]
+
+    def _apart(self, normal: str) -> np.ndarray:
+        """The ids of a normalised text, segment by segment."""
+        known, _ = self._segments([parts := self._cuts(normal)], [])
+        return np.frombuffer(b"".join(map(known.__getitem__, parts)), self.kind)
+
+    def encode_many(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after another, and where each text's begin (one more than texts)."""
+        normals = self.library.normalize(texts)
+        bodies: list[str | None] = []
+        apart: dict[int, np.ndarray] = {}
+        for k, normal in enumerate(normals):
+            if self.cut is None or not normal.startswith(MARK) or HELD in normal:
+                if normal:
+                    apart[k] = self._apart(normal)
+                bodies.append(None)
+            else:
+                if MARK + MARK in normal:
+                    normal = _REPEATED.sub(lambda m: MARK + HELD * (len(m[0]) - 1), normal)
+                bodies.append(normal[1:])
+        split = pc.split_pattern(pa.array(bodies, pa.large_string()), MARK)
+        coded = split.flatten().dictionary_encode()
+        runs, at = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        values = list(map(self.run.get, runs))
+        gaps = [(k, r) for k, (r, v) in enumerate(zip(runs, values, strict=True)) if v is None]
+        new = []
+        for k, r in gaps:
+            if (v := self.run.recall(r)) is None:
+                new.append(r)
+            else:
+                values[k] = v
+        if new:
+            learnt = self._learn(new)
+            for k, r in gaps:
+                if values[k] is None:
+                    values[k] = learnt[r]
+        size = np.dtype(self.kind).itemsize
+        lengths = np.fromiter(map(len, values), np.int64, len(values)) // size
+        lists = pa.LargeListArray.from_arrays(np.concatenate([[0], np.cumsum(lengths)]), pa.array(np.frombuffer(b"".join(values), self.kind)))
+        ids = lists.take(pa.array(at)).flatten().to_numpy() if len(at) else np.zeros(0, self.kind)
+        upto = np.concatenate([[0], np.cumsum(lengths[at])])
+        begin = upto[np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(split), 0).to_numpy())])]
+        if apart:
+            pieces = [apart[k] if k in apart else ids[begin[k] : begin[k + 1]] for k in range(len(texts))]
+            ids, begin = np.concatenate(pieces), np.concatenate([[0], np.cumsum([len(p) for p in pieces])])
+        return ids, begin
 
     def encode(self, text: str) -> list[int]:
-        normal = self.library.normalize(text)
-        if self.cut is None:
-            return list(self._segment(normal))
-        head, *rest = normal.split(MARK)
-        if all(rest):
-            ids = list(chain.from_iterable(map(self.run.__getitem__, rest)))
-        else:  # marks in a row belong together, and to what follows them
-            ids = [i for part in re.findall(f"{MARK}+[^{MARK}]*", normal[len(head) :]) for i in self.run[part[1:]]]
-        return [*self._cut(head), *ids] if head else ids
+        return self.encode_many([text])[0].tolist()
+
+    def digests(self, ids: np.ndarray, begin: np.ndarray) -> list[str]:
+        """The SHA-256 of each text's ids as decimals joined by commas."""
+        lists = pa.LargeListArray.from_arrays(pa.array(begin, pa.int64()), self.decimal.take(pa.array(ids)))
+        _, offsets, data = pc.binary_join(lists, pa.scalar(",", pa.large_string())).buffers()
+        bounds = np.frombuffer(offsets, np.int64)[: len(begin)].tolist()
+        held = memoryview(data) if data is not None else b""
+        return [hashlib.sha256(held[a:b]).hexdigest() for a, b in zip(bounds, bounds[1:], strict=False)]
 
     def decimals(self, ids: list[int]) -> str:
         return ",".join(map(self.names.__getitem__, ids))
@@ -182,7 +285,7 @@ def codec(path: str, remembered: int = REMEMBERED_RUNS) -> Codec:
 
 
 #: Texts given to the library at once, by characters.
-CHECKED_CHARS = 1 << 20
+CHECKED_CHARS = 1 << 21
 
 
 def _groups(texts: list[str]) -> Iterator[list[str]]:
@@ -217,14 +320,16 @@ def encode_decode(frame: DataFrame, model_path: str, text: str = "text", key: st
         for batch in batches:
             rows: dict[str, list] = {"n": [], "ids": [], "text": [], "kept": [], "decoded": []}
             for group in _groups([x or "" for x in batch.column(1).to_pylist()]):
-                theirs = own.library.encode(group, num_threads=1) if check == "texts" or own.cut is None or not own.dummy else [None] * len(group)
-                for body, other in zip(group, theirs, strict=True):
-                    ids = own.encode(body)
-                    if other is not None and ids != other:
-                        raise Mismatch(f"ids differ from the library's for a text of {len(body)} characters: {body[:80]!r}")
+                every, begin = own.encode_many(group)
+                bounds = begin.tolist()
+                rows["n"] += np.diff(begin).tolist()
+                rows["ids"] += own.digests(every, begin)
+                theirs = own.library.encode(group, num_threads=1) if check == "texts" or own.cut is None or not own.dummy else None
+                for k, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False)):
+                    ids = every[a:b].tolist()
+                    if theirs is not None and ids != theirs[k]:
+                        raise Mismatch(f"ids differ from the library's for a text of {len(group[k])} characters: {group[k][:80]!r}")
                     decoded = own.library.decode(ids) if ids else ""
-                    rows["n"].append(len(ids))
-                    rows["ids"].append(hashlib.sha256(own.decimals(ids).encode()).hexdigest())
                     rows["text"].append(hashlib.sha256(decoded.encode()).hexdigest())
                     if keep_ids:
                         rows["kept"].append(ids)

@@ -49,7 +49,8 @@ def test_cuts_never_part_a_piece():
 
 def test_check_notices_a_difference():
     codec = Codec(PIECES)
-    codec.fresh.append(("the", (5, 6)))
+    codec.encode_many(["a"])
+    codec.fresh.append(("the", np.array([5, 6], codec.kind).tobytes()))
     with pytest.raises(Mismatch):
         codec.check_fresh()
 
