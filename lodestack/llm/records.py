@@ -1,8 +1,8 @@
 """Token ids as length-delimited binary records, with a separate offset index for shuffled reads.
 
 A record file is a run of frames: length of the payload (u64), masked CRC-32 of those eight bytes (u32), payload,
-masked CRC-32 of the payload (u32), all little-endian.  A payload is the document's key (i64), a byte that is 2 or 4,
-and the ids as unsigned integers of so many bytes.  The index is a Parquet table with one row for each record: key,
+masked CRC-32 of the payload (u32), all little-endian.  A payload is the document's key (i64), a byte that is 2 or 4
+(plus 128 if the key is null), and the ids as unsigned integers of 2 or 4 bytes.  The index is a Parquet table with one row for each record: key,
 file, offset and length of the frame, number of ids, and the number of ids before it.
 
 Masking rotates a checksum right by 15 bits and adds 0xA282EAD8, so that checksums of data holding checksums stay
@@ -23,12 +23,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodestack.llm.memo import Memo
-from lodestack.llm.store import fresh_path, local_filesystem
+from lodestack.llm.store import drop, fresh_path, local_filesystem, materialise, trimmed
 
 #: Chunks between spaces, and words, remembered by a worker, in each of two generations.
 REMEMBERED_CHUNKS, REMEMBERED_WORDS = 700_000, 300_000
@@ -52,6 +53,8 @@ BUFFER = 1 << 22
 _HEAD = struct.Struct("<QI")
 _TAIL = struct.Struct("<I")
 _KEY = struct.Struct("<qB")
+#: Added to the byte of the width in records of rows without a key.
+NO_KEY = 0x80
 #: Bytes of a record beside its ids.
 OVERHEAD = _HEAD.size + _TAIL.size + _KEY.size
 
@@ -93,13 +96,13 @@ def read_record(stream, offset: int) -> bytes:
 
 
 def frame_ids(key: int | None, ids: bytes, width: int) -> bytes:
-    """The record of ids that are little-endian integers of `width` bytes; a null key is stored as -1."""
-    return frame_record(_KEY.pack(-1 if key is None else key, width) + ids)
+    """The record of ids that are little-endian integers of `width` bytes."""
+    return frame_record(_KEY.pack(key or 0, width | NO_KEY * (key is None)) + ids)
 
 
-def unpack_ids(payload: bytes) -> tuple[int, np.ndarray]:
+def unpack_ids(payload: bytes) -> tuple[int | None, np.ndarray]:
     key, width = _KEY.unpack_from(payload)
-    return key, np.frombuffer(payload, f"<u{width}", offset=_KEY.size)
+    return None if width & NO_KEY else key, np.frombuffer(payload, f"<u{width & ~NO_KEY}", offset=_KEY.size)
 
 
 class Tokens:
@@ -125,7 +128,8 @@ class Tokens:
         dropped = first.get("type") == "Split" and first.get("behavior") == "Removed" and first.get("invert") and first["pattern"].get("Regex", "").endswith("[^\\s\\p{L}\\p{N}]+")
         plain = all(not x["lstrip"] and not x["rstrip"] and " " not in x["content"] and "\n" not in x["content"] for x in spec.get("added_tokens", []))
         self.whole = not (spaced and harmless and dropped and plain and spec.get("post_processor") is None)
-        self.chunks = Memo(lambda chunk: self._ids([chunk])[0], REMEMBERED_CHUNKS)
+        self.chunks = Memo(None, REMEMBERED_CHUNKS)
+        self.model = self.tokenizer.model
         self.words = Memo(self._word, REMEMBERED_WORDS)
         lower = any(s.get("type") == "Lowercase" for s in steps(spec.get("normalizer")))
         second = steps(spec.get("pre_tokenizer"))[1:]
@@ -149,44 +153,55 @@ class Tokens:
         """Ids of lower-case letters: normaliser and pre-tokenizer would leave them as they are, and byte them."""
         if not word.isascii():
             word = "".join(map(BYTE_LETTERS.__getitem__, word.encode()))
-        return self._bytes([t.id for t in self.tokenizer.model.tokenize(word)])
+        return self._bytes([t.id for t in self.model.tokenize(word)])
 
-    def _learn(self, chunks: list[str]) -> None:
+    def _learn(self, chunks: list[str]) -> dict[str, bytes]:
         """Ids of new chunks.  Letters and a mark meet at a boundary of the pre-tokenizer, so each is encoded once."""
-        others = []
-        words, put, letters = self.words, self.chunks.put, _LETTERS
+        others, out = [], {}
+        words, letters, marks = self.words, _LETTERS, self.marks
         for chunk in chunks:
             if self.plain:
                 if chunk.isalpha():
                     if chunk.isascii() or letters(chunk):
-                        put(chunk, words[chunk.lower()])
+                        out[chunk] = words[chunk.lower()]
                         continue
                 elif chunk and chunk[-1] in MARKS and (head := chunk[:-1]).isalpha() and (head.isascii() or letters(head)):
-                    put(chunk, words[head.lower()] + self.marks[chunk[-1]])
+                    out[chunk] = words[head.lower()] + marks[chunk[-1]]
                     continue
             others.append(chunk)
-        for chunk, ids in zip(others, self._ids(others), strict=True):
-            put(chunk, ids)
+        out.update(zip(others, self._ids(others), strict=True))
+        self.chunks.put_all(out)
+        return out
+
+    def encode_many(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after another, and where each text's begin (one more than texts).  Nulls have none."""
+        kind = f"<u{self.width}"
+        if self.whole:
+            parts = [np.frombuffer(x, kind) for x in self._ids([t or "" for t in texts.to_pylist()])]
+            return np.concatenate([np.zeros(0, kind), *parts]), np.concatenate([[0], np.cumsum([len(p) for p in parts], dtype=np.int64)])
+        split = pc.split_pattern(pc.replace_substring(texts.cast(pa.large_string()), "\n", " "), " ")
+        coded = split.flatten().dictionary_encode()
+        chunks, at = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy()
+        values = list(map(self.chunks.get, chunks))
+        gaps = [k for k, v in enumerate(values) if v is None]
+        recall = self.chunks.older.get
+        for k in gaps:
+            values[k] = recall(chunks[k])
+        self.chunks.put_all({chunks[k]: values[k] for k in gaps if values[k] is not None})
+        gaps = [k for k in gaps if values[k] is None]
+        learnt = self._learn([chunks[k] for k in gaps])
+        for k in gaps:
+            values[k] = learnt[chunks[k]]
+        lengths = np.fromiter(map(len, values), np.int64, len(values)) // self.width
+        lists = pa.LargeListArray.from_arrays(np.concatenate([[0], np.cumsum(lengths)]), pa.array(np.frombuffer(b"".join(values), kind)))
+        ids = lists.take(pa.array(at)).flatten().to_numpy() if len(at) else np.zeros(0, kind)
+        upto = np.concatenate([[0], np.cumsum(lengths[at])])
+        return ids, upto[np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(split), 0).to_numpy())])]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids, little-endian."""
-        if self.whole:
-            return self._ids(texts)
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        known = self.chunks
-        found = [list(map(known.get, part)) for part in split]
-        gaps: list[tuple[list, int, str]] = []
-        for part, got in zip(split, found, strict=True):
-            if None in got:
-                i = -1
-                with contextlib.suppress(ValueError):
-                    while True:
-                        i = got.index(None, i + 1)
-                        gaps.append((got, i, part[i]))
-        self._learn([c for c in {c for _, _, c in gaps} if not known.renew(c)])
-        for got, i, chunk in gaps:
-            got[i] = known[chunk]
-        return list(map(b"".join, found))
+        ids, begin = self.encode_many(pa.array(texts, pa.large_string()))
+        return [ids[a:b].tobytes() for a, b in zip(begin.tolist(), begin[1:].tolist(), strict=False)]
 
 
 _tokens: dict[str, Tokens] = {}
@@ -201,21 +216,43 @@ def tokens(path: str) -> Tokens:
     return _tokens[path]
 
 
-def _grouped(batch: pa.RecordBatch, most: int = 1 << 20) -> Iterator[tuple[list, list[str]]]:
-    keys, texts, size = [], [], 0
-    for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-        text = text.as_py() or ""
-        keys.append(key)
-        texts.append(text)
-        size += len(text)
-        if size >= most:
-            yield keys, texts
-            keys, texts, size = [], [], 0
-    if keys:
-        yield keys, texts
+def _encoded(path: str, bounds: np.ndarray):
+    """Rows (key, text) to rows (part, key, ids): the packed ids, and the part of the order that the key belongs to.
+
+    Part p holds the keys from bound p - 1 up to bound p, both included: rows of a key that is the bound of several parts
+    may stand in any of these, and are dealt out by a checksum of their ids.  Null keys stand before all others.
+    """
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = tokens(path)
+        for batch in batches:
+            for k, stop in _runs(batch.column(1)):
+                some = batch.slice(k, stop - k)
+                ids, begin = own.encode_many(some.column(1))
+                packed = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(some), [None, pa.py_buffer(begin.astype(np.int64) * own.width), pa.py_buffer(ids)]).cast(pa.binary())
+                keys = some.column(0).fill_null(_LOWEST).to_numpy()
+                low, high = np.searchsorted(bounds, keys, "left"), np.searchsorted(bounds, keys, "right")
+                for i in np.flatnonzero(high > low):
+                    low[i] += zlib.crc32(ids[begin[i] : begin[i + 1]].tobytes()) % (high[i] - low[i] + 1)
+                yield pa.RecordBatch.from_arrays([pa.array(low, pa.int32()), some.column(0), packed], ["part", "key", "ids"])
+
+    return work
 
 
-def _write(folder: str, path: str, end_id: int | None):
+_LOWEST = -(1 << 63)
+
+
+def _runs(texts: pa.Array, most: int = 1 << 21) -> Iterator[tuple[int, int]]:
+    """Runs of whole texts of about `most` bytes; a longer text stands alone."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(ends):
+        stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, "right")))
+        yield at, stop
+        at = stop
+
+
+def _write(folder: str, width: int, end_id: int | None):
     """Write a partition's records to a file of this attempt; rows (part, key, file, offset, length, n_tokens, inside).
 
     inside: the ids before the record in its file.
@@ -224,29 +261,31 @@ def _write(folder: str, path: str, end_id: int | None):
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, part = tokens(path), TaskContext.get().partitionId()
-        end = b"" if end_id is None else np.array([end_id], f"<u{own.width}").tobytes()
+        part = TaskContext.get().partitionId()
+        end = b"" if end_id is None else np.array([end_id], f"<u{width}").tobytes()
         name = f"{folder}/part-{part:06d}-{uuid.uuid4().hex}.rec"
         offset = inside = 0
-        with local_filesystem(name) as (files, local):
+        with local_filesystem(name) as (files, local), contextlib.ExitStack() as held:
             stream = None
             for batch in batches:
-                for keys, texts in _grouped(batch):
-                    if stream is None:
-                        files.create_dir(local.rpartition("/")[0], recursive=True)
-                        stream = files.open_output_stream(local, buffer_size=BUFFER)
-                    records = [frame_ids(k, ids + end, own.width) for k, ids in zip(keys, own.encode(texts), strict=True)]
-                    stream.write(b"".join(records))
-                    sizes = np.array([len(r) for r in records], np.int64)
-                    offsets = offset + np.concatenate([[0], np.cumsum(sizes)[:-1]])
-                    n = len(keys)
-                    counts = (sizes - OVERHEAD) // own.width
-                    ends = inside + np.cumsum(counts)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(n, part)), pa.array(keys, pa.int64()), pa.array([name] * n), pa.array(offsets), pa.array(sizes), pa.array(counts), pa.array(ends - counts)], ["part", "key", "file", "offset", "length", "n_tokens", "inside"])
-                    offset += int(sizes.sum())
-                    inside = int(ends[-1])
-            if stream is not None:
-                stream.close()
+                if not len(batch):
+                    continue
+                if stream is None:
+                    files.create_dir(local.rpartition("/")[0], recursive=True)
+                    stream = held.enter_context(files.open_output_stream(local, buffer_size=BUFFER))
+                keys = batch.column(1).to_pylist()
+                sizes = np.empty(len(keys), np.int64)
+                for i, (key, ids) in enumerate(zip(keys, batch.column(2), strict=True)):
+                    record = frame_ids(key, ids.as_buffer().to_pybytes() + end, width)
+                    stream.write(record)
+                    sizes[i] = len(record)
+                offsets = offset + np.cumsum(sizes) - sizes
+                counts = (sizes - OVERHEAD) // width
+                ends = inside + np.cumsum(counts)
+                n = len(keys)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, part)), batch.column(1), pa.array([name] * n), pa.array(offsets), pa.array(sizes), pa.array(counts), pa.array(ends - counts)], ["part", "key", "file", "offset", "length", "n_tokens", "inside"])
+                offset += int(sizes.sum())
+                inside = int(ends[-1])
 
     return work
 
@@ -256,20 +295,20 @@ _READ = "file string, offset long, key long, start long, n_tokens long, ids_crc3
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (file, before) to a row for each record of the file; before: the ids of all records in earlier files."""
-    names = [x.split()[0] for x in _READ.split(", ")]
+    names, kinds = zip(*((x.split()[0], pa.string() if x.endswith("string") else pa.int64()) for x in _READ.split(", ")), strict=True)
     for batch in batches:
         for name, start in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             with local_filesystem(name) as (files, local), files.open_input_stream(local, buffer_size=BUFFER) as stream:
                 rows: list[tuple] = []
                 for offset, payload in read_records(stream):
                     key, ids = unpack_ids(payload)
-                    rows.append((name, offset, key, start, len(ids), zlib.crc32(ids.astype("<u4").tobytes())))
+                    rows.append((name, offset, key, start, len(ids), zlib.crc32(ids.astype("<u4"))))
                     start += len(ids)
                     if len(rows) == 4096:
-                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names)
+                        yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*rows, strict=True), kinds, strict=True)], names)
                         rows = []
                 if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names)
+                    yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
 
 @dataclass(frozen=True)
@@ -293,31 +332,42 @@ class Dataset:
         return wanted.mapInArrow(_read, _READ)
 
 
+def _bounds(keys: DataFrame, parts: int) -> np.ndarray:
+    """The keys between parts of about equal numbers of rows (by a sketch of the key column alone)."""
+    places = [k / parts for k in range(1, parts)]
+    found = keys.agg(F.percentile_approx("key", F.lit(places), max(10_000, 20 * parts))).first()[0] if places else None
+    return np.array(found or [], np.int64)
+
+
 def write(frame: DataFrame, tokenizer_path: str, end_id: int | None = 1, text: str = "text", key: str = "doc_id", folder: str | None = None, parts: int | None = None) -> Dataset:
     """Write the ids of every whole text, followed by end_id, in ascending order of the key.
 
-    Files follow each other by name, records in a file by key; rows with equal keys follow each other in any order,
-    null keys come first and are stored as -1.  Null and empty texts have the end id only.  An empty table gives an
-    empty index and no files; other columns are not read.
+    Files (as many as `parts`, or else as the session's shuffle partitions; fewer for few rows) follow each other by
+    name, records in a file by key; rows with equal keys follow each other in any order, and may fill several files;
+    null keys come first and stay null.  Null and empty texts have the end id only.  An empty table gives an empty index
+    and no files; other columns are not read.
+
+    Texts are encoded where they are read, and only their ids are dealt out by key.
     """
     spark = frame.sparkSession
     folder = folder or fresh_path(spark, "records")
     picked = frame.select(F.col(f"`{key}`").cast("long").alias("key"), F.col(f"`{text}`").cast("string").alias("text"))
-    ordered = (picked.repartitionByRange(parts, "key") if parts else picked.repartitionByRange("key")).sortWithinPartitions("key")
+    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    encoded = picked.mapInArrow(trimmed(_encoded(tokenizer_path, _bounds(picked.select("key"), parts))), "part int, key long, ids binary")
+    ordered = encoded.repartitionById(parts, "part").sortWithinPartitions("key")
     schema = "part long, key long, file string, offset long, length long, n_tokens long, inside long"
-    raw = f"{folder}/written"
-    ordered.mapInArrow(_write(folder, tokenizer_path, end_id), schema).write.parquet(raw)
-    written = spark.read.schema(schema).parquet(raw)
+    written = materialise(ordered.mapInArrow(trimmed(_write(folder, tokens(tokenizer_path).width, end_id)), schema), "written")
     # A running sum over as many rows as there are files.
     totals = written.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     before = totals.select("part", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
     index = written.join(before, "part").select("key", "file", "offset", "length", "n_tokens", (F.col("before") + F.col("inside")).alias("start"))
     index.write.parquet(f"{folder}/index")
+    drop(written)
     return Dataset(folder, f"{folder}/index")
 
 
 def round_trip(frame: DataFrame, tokenizer_path: str, end_id: int | None = 1, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """Write the records and read them back: key, start, n_tokens, ids_crc32, file, offset.  Null keys come back as -1."""
+    """Write the records and read them back: key, start, n_tokens, ids_crc32, file, offset."""
     spark = frame.sparkSession
     back = write(frame, tokenizer_path, end_id, text, key).scan(spark)
     return back.select(F.col("key").alias(key), "start", "n_tokens", "ids_crc32", F.regexp_extract("file", "[^/]*$", 0).alias("file"), "offset")

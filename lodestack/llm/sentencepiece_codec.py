@@ -214,7 +214,7 @@ class Codec:
                 bodies.append(normal[1:])
         split = pc.split_pattern(pa.array(bodies, pa.large_string()), MARK)
         coded = split.flatten().dictionary_encode()
-        runs, at = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        runs, at = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy()
         values = list(map(self.run.get, runs))
         gaps = [(k, r) for k, (r, v) in enumerate(zip(runs, values, strict=True)) if v is None]
         new = []

@@ -73,7 +73,9 @@ def materialise(frame: DataFrame, name: str) -> DataFrame:
     path = fresh_path(spark, name)
     with small_batches(spark):
         frame.write.parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+    out = spark.read.schema(frame.schema).parquet(path)
+    out.written_to = path
+    return out
 
 
 #: Rows and bytes (in its Parquet files) of a join's side that may go to all executors.
@@ -102,6 +104,13 @@ def delete(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def drop(*frames: DataFrame) -> None:
+    """Delete what `materialise` and `small_side` wrote for these frames: nothing must read them any more."""
+    for frame in frames:
+        if (path := getattr(frame, "written_to", None)) is not None:
+            delete(frame.sparkSession, path)
+
+
 @contextlib.contextmanager
 def local_filesystem(uri: str) -> Iterator[tuple[Any, str]]:
     """The file system and path of a URI, opened in an executor's Python."""

@@ -122,7 +122,7 @@ def test_round_trip(spark, odd):
     rows = sorted(((r.doc_id, r.text or "") for r in odd.collect()), key=lambda r: (r[0] is not None, r[0] or 0))
     made = records.write(odd, WORDS, end_id=1, parts=3)
     got = sorted(made.scan(spark).collect(), key=lambda r: r.start)
-    assert [r.key for r in got] == [-1 if i is None else i for i, _ in rows]
+    assert [r.key for r in got] == [i for i, _ in rows]
     at = 0
     for r in got:
         assert r.start == at
@@ -130,7 +130,7 @@ def test_round_trip(spark, odd):
     want = []
     for i, t in rows:
         ids = [*WORDS_LIBRARY.encode(t, add_special_tokens=False).ids, 1]
-        want.append((-1 if i is None else i, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        want.append((i, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
     assert multiset((r.key, r.n_tokens, r.ids_crc32) for r in got) == multiset(want)
     one = next(r for r in made.index(spark).collect() if r.key == 8)
     with open(one.file.removeprefix("file:"), "rb") as f:
