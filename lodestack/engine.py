@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator, Mapping, Sequence
 from typing import Any
 
@@ -13,6 +12,7 @@ from lodestack.operators import security
 from lodestack.operators.security import Policies, Policy
 from lodestack.operators.table import Table, create_as
 from lodestack.plans.predicates import Parser, Unsupported, to_column
+from lodestack.sources import names
 from lodestack.sources.catalog import AlreadyExists, Catalog, CatalogError, NoSuchView, State, split_name
 from lodestack.sources.specifiers import ALLOW_NON_ACID, IMPORT_DATA, PARTITIONS, split
 
@@ -20,7 +20,6 @@ __all__ = ["Engine", "Policies", "Policy"]
 
 VERSION = "1"
 SYSTEM_TABLES = ("system_schema.release", "information_schema.schemata", "information_schema.tables", "information_schema.columns")
-_RELATION = re.compile(r"\b(?P<word>from|join)(?P<space>\s+)(?P<name>(?:`[^`]+`|[A-Za-z_][\w]*)(?:\.(?:`[^`]+`|[A-Za-z_][\w$ ]*?))+)(?=\s|\)|;|,|$)", re.I)
 _GROUPS = "<groups>"
 
 
@@ -80,20 +79,19 @@ class Engine:
         return out
 
     def sql(self, text: str) -> DataFrame:
-        """Spark SQL over tables and views named by three parts or more, after FROM and JOIN; CTE names stay as they
-        are, and so do Spark's own tables and file paths."""
-        frames: dict[str, DataFrame] = {}
+        """Spark SQL over the engine's tables and views, which are named by three parts or more, and the system tables.
 
-        def put(m: re.Match) -> str:
-            name = m["name"].replace("`", "")
-            if name.lower() not in SYSTEM_TABLES and (m["name"].split(".")[0].strip("`").lower() in ("parquet", "csv", "json", "orc", "text") or name.count(".") + name.count("/") < 2):
-                return m[0]
-            key = f"t{len(frames)}"
-            frames[key] = self.table(name)
-            return f"{m['word']}{m['space']}{{{key}}}"
+        Spark's parser finds the names, so texts, comments, columns and names of common table expressions stay as they
+        are, and so do Spark's own tables and file paths.
+        """
+        return names.run(self.spark, text, self._own, self.table)
 
-        escaped = text.replace("{", "{{").replace("}", "}}")
-        return self.spark.sql(_RELATION.sub(put, escaped), **frames) if _RELATION.search(escaped) else self.spark.sql(text)
+    @staticmethod
+    def _own(parts: tuple[str, ...]) -> str | None:
+        name = ".".join(parts)
+        if name.lower() in SYSTEM_TABLES:
+            return name.lower()
+        return name if parts[0].lower() not in names.FORMATS and name.count(".") + name.count("/") > 1 else None
 
     def run(self, text: str) -> DataFrame:
         """Any statement: DDL, changes, transactions, SHOW, DESCRIBE, ANALYZE, or a query."""
@@ -233,16 +231,16 @@ class Engine:
         """A view over a query; its columns can be renamed (as many as the query has) and commented."""
         namespace, short = split_name(name)
         found = self.sql(text)
-        names = list(columns) if columns is not None else found.columns
-        if len(names) != len(found.columns):
-            raise CatalogError(f"the view names {len(names)} columns, the query has {len(found.columns)}")
-        if len(set(names)) < len(names):
+        shown = list(columns) if columns is not None else found.columns
+        if len(shown) != len(found.columns):
+            raise CatalogError(f"the view names {len(shown)} columns, the query has {len(found.columns)}")
+        if len(set(shown)) < len(shown):
             raise CatalogError("two columns of the view have one name")
-        unknown = set(comments or {}) - set(names)
+        unknown = set(comments or {}) - set(shown)
         if unknown:
             raise CatalogError(f"no column {unknown.pop()}")
         key = f"{namespace}/{short}"
-        entry = {"text": text, "columns": names, "types": [t for _, t in found.dtypes], "comments": dict(comments or {}), "comment": comment, "properties": dict(properties or {})}
+        entry = {"text": text, "columns": shown, "types": [t for _, t in found.dtypes], "comments": dict(comments or {}), "comment": comment, "properties": dict(properties or {})}
 
         def edit(s: State) -> None:
             if namespace not in s.namespaces:
