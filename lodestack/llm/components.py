@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestack.llm.store import materialise
+from lodestack.llm.store import drop, materialise
 
 
 def _contract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -45,17 +45,21 @@ def connected_components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     """The component (its smallest node) of every node in links (a long, b long).
 
     Links may repeat, stand in either direction and join a node with itself; rows with a null are left out.
-    Returns (node, component) for all nodes but those that are linked with themselves only.
+    Returns (node, component), written, for all nodes but those that are linked with themselves only.
     """
     clean = links.where("a is not null and b is not null and a <> b").select(F.col("a").cast("long"), F.col("b").cast("long"))
     now = materialise(clean.mapInPandas(_contract, "a long, b long").distinct(), "links")
     mark = None
     for _ in range(most_rounds):
-        now = materialise(_star(now), "links")
+        now, before = materialise(_star(now), "links"), now
+        drop(before)
         new = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if new == mark:
             break
         mark = new
     else:
         raise RuntimeError("components did not settle")
-    return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("component"))).distinct()
+    both = now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("component")))
+    out = materialise(both.distinct(), "labels")
+    drop(now)
+    return out

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -13,14 +15,16 @@ from pyspark.sql.window import Window
 from lodestack.llm import textvec as tv
 from lodestack.llm.bitmap import bit_column, contains, of_column
 from lodestack.llm.components import connected_components
-from lodestack.llm.store import materialise, trimmed
+from lodestack.llm.store import drop, materialise, trimmed
 
 WIDTH = 5
 BANDS, ROWS = 20, 5
 #: Links need 100 * intersection >= PERCENT * union.
 PERCENT = 85
-#: Shingles worked on at once.
-MOST_SHINGLES = 1 << 16
+#: Shingles, and bytes of text, worked on at once.
+MOST_SHINGLES, MOST_BYTES = 1 << 15, 1 << 18
+#: 64-bit words of a parity sketch.
+SKETCH = 16
 
 
 def shingle_sets(data: np.ndarray, offs: np.ndarray, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
@@ -81,10 +85,22 @@ def fingerprints(sets: np.ndarray, begin: np.ndarray) -> np.ndarray:
     return out
 
 
+def parities(sets: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """A sketch of each set: elements are dealt over 64 * SKETCH places, and a bit says whether a place got an odd number.
+
+    Two sketches differ in at most as many bits as the sets have elements that the other one lacks.
+    """
+    out = np.zeros((len(begin) - 1, SKETCH), np.uint64)
+    mixed = tv.mix(sets ^ tv.U64(0x2545F4914F6CDD1D))
+    owner = np.repeat(np.arange(len(begin) - 1), np.diff(begin))
+    np.bitwise_xor.at(out, (owner, (mixed >> tv.U64(6)).astype(np.int64) % SKETCH), tv.U64(1) << (mixed & tv.U64(63)))
+    return out
+
+
 def _summaries(bands: int, rows: int, width: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b, data, offs in tv.slices(batch.column(1), 1 << 20):
+            for a, b, data, offs in tv.slices(batch.column(1), MOST_BYTES):
                 sets, begin = shingle_sets(data, offs, width)
                 n = np.diff(begin)
                 keys, marks = np.zeros((b - a, bands), np.uint64), fingerprints(sets, begin)
@@ -108,8 +124,11 @@ def _summaries(bands: int, rows: int, width: int):
     return work
 
 
+_PARITIES = [f"p{k}" for k in range(SKETCH)]
+
+
 def _packed_sets(bitmap: np.ndarray, width: int):
-    """Sets of those texts whose id may be in the bitmap."""
+    """Sets, and their sketches, of those texts whose id may be in the bitmap."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -117,10 +136,11 @@ def _packed_sets(bitmap: np.ndarray, width: int):
             if not len(chosen):
                 continue
             picked = batch.take(pa.array(chosen))
-            for a, b, data, offs in tv.slices(picked.column(1), 1 << 20):
+            for a, b, data, offs in tv.slices(picked.column(1), MOST_BYTES):
                 sets, begin = shingle_sets(data, offs, width)
                 packed = pa.LargeBinaryArray.from_buffers(pa.large_binary(), b - a, [None, pa.py_buffer((begin * 8).astype(np.int64)), pa.py_buffer(sets)])
-                yield pa.RecordBatch.from_arrays([picked.column(0).slice(a, b - a), packed.cast(pa.binary())], ["node", "packed"])
+                sketch = parities(sets, begin).view(np.int64)
+                yield pa.RecordBatch.from_arrays([picked.column(0).slice(a, b - a), packed.cast(pa.binary()), *(pa.array(sketch[:, k]) for k in range(SKETCH))], ["node", "packed", *_PARITIES])
 
     return work
 
@@ -159,9 +179,10 @@ def near_duplicates(frame: DataFrame, text: str = "text", key: str = "doc_id", w
 
     Steps: (1) one pass makes set sizes, fingerprints and band keys; equal sets are one node.  (2) In each bucket of
     a band all nodes are held against one of them, which shares the most buckets, never all pairs.  (3) What full
-    sets confirm is joined by union-find.  (4) Buckets still holding more than one component go through an exact
-    prefix filter: two sets can only be similar enough if they share one of their rarest shingles; the pairs found
-    are verified too.  A pair of similarity 0.85 shares no bucket with a chance of about 8e-6 (20 bands of 5).
+    sets confirm is joined by union-find.  (4) Buckets still holding more than one component go through exact filters: two
+    sets can only be similar enough if they share one of their rarest shingles and if sketches of 1024 bits don't differ
+    too much (which keeps pages of one template, that share most shingles but not enough, from meeting in pairs); the
+    pairs found are verified too.  Intermediate tables go when they have been read.  A pair of similarity 0.85 shares no bucket with a chance of about 8e-6 (20 bands of 5).
     """
     source = frame.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
     summaries = materialise(source.mapInArrow(trimmed(_summaries(bands, rows, width)), "doc_id long, n long, mark1 long, mark2 long, keys array<long>"), "summaries")
@@ -175,17 +196,20 @@ def near_duplicates(frame: DataFrame, text: str = "text", key: str = "doc_id", w
     near = shared.join(heads, ["band", "bucket"]).where(f"node <> head.node and 100 * least(n, head.n) >= {percent} * greatest(n, head.n)")
     tried = materialise(near.select(F.least("node", "head.node").alias("a"), F.greatest("node", "head.node").alias("b")).distinct(), "pairs")
     bitmap = of_column(shared.select("node"), "node")
-    sets = materialise(source.withColumn("bit", bit_column("doc_id", len(bitmap) * 64)).mapInArrow(trimmed(_packed_sets(bitmap, width)), "node long, packed binary").where("node is not null"), "sets")
+    sets = materialise(source.withColumn("bit", bit_column("doc_id", len(bitmap) * 64)).mapInArrow(trimmed(_packed_sets(bitmap, width)), f"node long, packed binary, {', '.join(f'{p} long' for p in _PARITIES)}").where("node is not null"), "sets")
     links = materialise(_links(tried, sets, percent), "links")
-    labels = connected_components(links)
+    first = connected_components(links)
 
     # Buckets of more than one component.
-    labelled = shared.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    labelled = shared.join(first, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = labelled.groupBy("band", "bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("band", "bucket")
     open_ = materialise(labelled.join(mixed, ["band", "bucket"], "left_semi").select("node", "n", "component").distinct(), "open")
-    more = materialise(_prefix_pairs(open_, sets, percent).join(tried, ["a", "b"], "left_anti"), "pairs")
-    extra = _links(more, sets, percent)
-    labels = materialise(connected_components(links.unionByName(extra)), "labels")
+    drop(shared, first)
+    more = _prefix_pairs(open_, sets, tried, percent)
+    extra = materialise(_links(more, sets, percent), "links")
+    drop(tried, open_, more, sets)
+    labels = connected_components(links.unionByName(extra))
+    drop(links, extra)
 
     grouped = nodes.select("mark1", "mark2", "n", "node").join(labels, "node", "left").select("mark1", "mark2", "n", F.coalesce("component", "node").alias("component_id"))
     out = summaries.select("doc_id", "n", "mark1", "mark2").join(grouped, ["mark1", "mark2", "n"], "left")
@@ -210,23 +234,35 @@ def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at = stop
 
 
-def _prefix_pairs(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """All pairs (a, b) of open nodes of unlike components that an exact prefix filter doesn't rule out.
+def _prefix_pairs(open_: DataFrame, sets: DataFrame, tried: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of open nodes of unlike components, not among those tried, that exact filters don't rule out.
 
     Shingles that one open node alone has come first in the order, then rare ones.  With I shared of x and y
     shingles, 100 I >= percent (x + y - I), so I is at least A = percent (x + y) / (100 + percent) and the first
-    shared shingle stands among the first x - A + 1 and y - A + 1.
+    shared shingle stands among the first x - A + 1 and y - A + 1.  For the smaller set of a pair (y <= x) that is less
+    than for the larger one, so each node has a longer list of places as the larger and a shorter one as the smaller;
+    nodes meet by shingle and by steps of size, of which a pair can be at most one apart.  Before a pair leaves that
+    join, the sketches must leave it possible: x + y - 2 I elements are in one set only, so as many bits may differ.
     """
-    held = open_.join(sets, "node").select("node", "n", "component", "packed").mapInArrow(trimmed(_unpacked), "node long, n long, component long, token long")
+    held = open_.join(sets.select("node", "packed"), "node").select("node", "n", "component", "packed").mapInArrow(trimmed(_unpacked), "node long, n long, component long, token long")
     tokens = materialise(held, "tokens")
     common = tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
     found = materialise(tokens.join(common, "token"), "tokens")
+    drop(tokens)
     # A node with more shingles of its own than a partner of any size allows has no place left in its prefix.
     kept = found.groupBy("node").agg(F.count("*").alias("c"), F.first("n").alias("m")).where(f"(m - c) * 100 <= (100 - {percent}) * m").select("node", "c")
     order = Window.partitionBy("node").orderBy("df", "token")
     ranked = found.join(kept, "node").withColumn("place", F.row_number().over(order) - 1 + F.col("n") - F.col("c")).where(f"place * 100 <= (100 - {percent}) * n")
-    ranked = materialise(ranked.select("node", "n", "component", "token", "place"), "prefixes")
-    x, y = ranked.alias("x"), ranked.alias("y")
+    ranked = ranked.join(sets.select("node", *_PARITIES), "node").withColumn("step", F.floor(F.log(F.col("n")) / -math.log(percent / 100)))
+    ranked = materialise(ranked.select("node", "n", "component", "token", "place", "step", *_PARITIES), "prefixes")
+    drop(found)
+    x = ranked.withColumn("step", F.explode(F.array(F.col("step"), F.col("step") - 1, F.col("step") + 1))).alias("x")
+    y = ranked.where(f"place <= n - ceil(2 * n * {percent} / (100.0 + {percent}) - 1e-9)").alias("y")
     least = F.ceil((F.col("x.n") + F.col("y.n")) * percent / (100.0 + percent) - 1e-9)
-    hit = (F.col("x.token") == F.col("y.token")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.component") != F.col("y.component")) & (F.col("x.place") <= F.col("x.n") - least) & (F.col("y.place") <= F.col("y.n") - least)
-    return x.join(y, hit).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+    larger = (F.col("x.n") > F.col("y.n")) | (F.col("x.n") == F.col("y.n")) & (F.col("x.node") > F.col("y.node"))
+    apart = reduce(lambda a, b: a + b, (F.bit_count(F.col(f"x.{p}").bitwiseXOR(F.col(f"y.{p}"))) for p in _PARITIES))
+    hit = (F.col("x.token") == F.col("y.token")) & (F.col("x.step") == F.col("y.step")) & larger & (F.col("x.component") != F.col("y.component")) & (F.col("x.place") <= F.col("x.n") - least) & (F.col("y.place") <= F.col("y.n") - least) & (apart <= F.col("x.n") + F.col("y.n") - 2 * least)
+    pairs = x.join(y, hit).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+    out = materialise(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+    drop(ranked)
+    return out

@@ -5,6 +5,7 @@ from itertools import combinations
 import numpy as np
 import pytest
 
+from lodestack.llm import near_dedup
 from lodestack.llm import textvec as tv
 from lodestack.llm.components import connected_components
 from lodestack.llm.near_dedup import near_duplicates, superminhash
@@ -127,3 +128,38 @@ def test_components(spark):
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(links, "a long, b long").repartition(5)).collect()}
     assert got == {x: find(x) for x in list(parent)}
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def template_pages(count=160, blocks=14, chosen=11, words=40):
+    """Pages that share most blocks of one template, no two of them similar enough by chance alone."""
+    rng = random.Random(11)
+    text = [" ".join(f"b{k}w{rng.randrange(10**6)}" for _ in range(words)) for k in range(blocks)]
+    return [(i, " ".join([*(text[k] for k in sorted(rng.sample(range(blocks), chosen))), f"page {i} of its own"])) for i in range(count)]
+
+
+def test_pages_of_a_template_do_not_meet_in_pairs(spark, monkeypatch):
+    pages = template_pages()
+    counts = []
+    plain = near_dedup.materialise
+
+    def counted(frame, name):
+        out = plain(frame, name)
+        if name == "pairs":
+            counts.append(out.count())
+        return out
+
+    monkeypatch.setattr(near_dedup, "materialise", counted)
+    got = [tuple(r) for r in near_duplicates(spark.createDataFrame(pages, "doc_id long, text string")).collect()]
+    assert multiset(got) == multiset(brute(pages))
+    assert len(counts) == 2  # those tried with a head of their bucket, and those that the filters leave
+    assert counts[1] < len(pages) * (len(pages) - 1) / 2 / 20
+
+
+def test_sketches_bound_the_difference():
+    rng = np.random.default_rng(2)
+    some = rng.integers(1, 1 << 62, 900, dtype=np.uint64)
+    for k in (0, 1, 40, 300, 800):
+        a, b = np.sort(some[k:]), np.sort(some[: len(some) - k // 2])
+        x, y = near_dedup.parities(np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)]))
+        apart = int(np.bitwise_count(x ^ y).sum())
+        assert apart <= k + k // 2 and (apart > 0) == (k > 0)
