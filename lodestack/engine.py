@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Iterator, Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lodestack.operators import security
 from lodestack.operators.security import Policies, Policy
@@ -23,6 +24,24 @@ SYSTEM_TABLES = ("system_schema.release", "information_schema.schemata", "inform
 _GROUPS = "<groups>"
 
 
+def _json_form(column: Column, kind: T.DataType) -> Column:
+    """A value with maps, at any depth, as lists of key and value (as JSON's objects have texts for keys)."""
+    if isinstance(kind, T.MapType):
+        entry = lambda e: F.struct(_json_form(e["key"], kind.keyType).alias("key"), _json_form(e["value"], kind.valueType).alias("value"))
+        return F.transform(F.map_entries(column), entry)
+    if isinstance(kind, T.ArrayType):
+        return F.transform(column, lambda e: _json_form(e, kind.elementType)) if _has_map(kind) else column
+    if isinstance(kind, T.StructType) and _has_map(kind):
+        return F.when(column.isNotNull(), F.struct(*(_json_form(column[f.name], f.dataType).alias(f.name) for f in kind.fields)))
+    return column
+
+
+def _has_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return _has_map(kind.elementType)
+    return isinstance(kind, T.MapType) or isinstance(kind, T.StructType) and any(_has_map(f.dataType) for f in kind.fields)
+
+
 class Engine:
     """Queries run with the rights of `user`; `policies` say which rows and columns that user sees."""
 
@@ -102,6 +121,7 @@ class Engine:
     def execute(self, text: str, groups: Sequence[str] = (), enforce_identity: bool = False) -> DataFrame:
         """A query's rows as one JSON column `records`, nulls included.
 
+        Numbers, texts, lists and rows have their JSON forms, bytes are base64, maps lists of key and value.
         `<groups>` in the text becomes the caller's groups, as quoted texts; with enforce_identity the text must have
         it and there must be groups.
         """
@@ -109,10 +129,8 @@ class Engine:
             raise PermissionError(f"the query must name {_GROUPS}, and the caller must have groups")
         quoted = ",".join("'" + g.replace("'", "''") + "'" for g in groups)
         rows = self.sql(text.replace(_GROUPS, quoted))
-        for f in rows.schema.fields:
-            if f.dataType.typeName() in ("binary", "struct", "map"):
-                raise CatalogError(f"column {f.name} of type {f.dataType.simpleString()} has no JSON form here")
-        return rows.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("records"))
+        # Bytes as base64, a row as an object, a map as a list of entries (its keys may be other than texts).
+        return rows.select(F.to_json(F.struct(*(_json_form(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in rows.schema.fields)), {"ignoreNullFields": "false"}).alias("records"))
 
     def select(self, text: str) -> DataFrame:
         """The restricted language: `SELECT columns FROM table [WHERE ...] [ORDER BY columns] [LIMIT n]`.
@@ -162,15 +180,26 @@ class Engine:
         if name == "system_schema.release":
             return self.release()
         state = self.catalog.state()
+
+        def columns_of(n: str) -> list[tuple[str, str]]:
+            return list(zip(state.views[n]["columns"], state.views[n]["types"], strict=True)) if n in state.views else [(c, t) for c, t, _ in self.catalog.describe(n)]
+
+        def policy_of(n: str) -> Policy | None:
+            try:
+                return self.policies.of(n, self.user)
+            except PermissionError:  # a policy that can't be read hides the table
+                return None
+
         if name == "information_schema.schemata":
             return self.spark.createDataFrame([(n.replace("/", "."),) for n in sorted(state.namespaces)], "schema_name string")
         entries = [(n, "BASE TABLE") for n in sorted(state.tables)] + [(n, "VIEW") for n in sorted(state.views)]
+        each = [(n, k, policy_of(n), columns_of(n)) for n, k in entries]
+        each = [e for e in each if e[2] is not None and not security.hides_all(e[2], [c for c, _ in e[3]])]
         if name == "information_schema.tables":
-            return self.spark.createDataFrame([(n.rpartition("/")[0].replace("/", "."), n.rpartition("/")[2], k) for n, k in entries], "table_schema string, table_name string, table_type string")
+            return self.spark.createDataFrame([(n.rpartition("/")[0].replace("/", "."), n.rpartition("/")[2], k) for n, k, _, _ in each], "table_schema string, table_name string, table_type string")
         rows = []
-        for n, kind in entries:
-            columns = list(zip(state.views[n]["columns"], state.views[n]["types"], strict=True)) if kind == "VIEW" else [(c, t) for c, t, _ in self.catalog.describe(n)]
-            shown = security.visible(self.policies.of(n, self.user), [c for c, _ in columns])
+        for n, _, policy, columns in each:
+            shown = security.visible(policy, [c for c, _ in columns])
             rows += [(n.rpartition("/")[0].replace("/", "."), n.rpartition("/")[2], c, i + 1, t) for i, (c, t) in enumerate(columns) if c in shown]
         return self.spark.createDataFrame(rows, "table_schema string, table_name string, column_name string, ordinal_position int, data_type string")
 
@@ -186,9 +215,11 @@ class Engine:
         if specifier and specifier[0] == IMPORT_DATA:
             from lodestack.sources.catalog import FILE_PATH
 
+            security.check_insert(self._policy(bare), [f.name for f in self.catalog.manifest(bare)[2].fields])
             return Table(self.catalog, bare).import_table(rows.select(*specifier[1], FILE_PATH))
         if specifier:
             raise CatalogError(f"can't insert into {name}")
+        security.check_insert(self._policy(name), rows.columns)
         return Table(self.catalog, name).append(rows)
 
     def create_table_as(self, name: str, rows: DataFrame, partitioning: Sequence[str] = (), sorted_by: Sequence[str] = ()) -> Table:
@@ -197,6 +228,7 @@ class Engine:
     def delete(self, name: str, where: str | None = None) -> int:
         bare, specifier = split(name)
         if specifier and specifier[0] == ALLOW_NON_ACID and len(specifier) > 1 and specifier[1] == PARTITIONS[0]:
+            security.check_drop(self._policy(bare))
             return Table(self.catalog, bare).drop_partitions(where or "true", allow_non_acid=True)
         if "/".join(split_name(bare)) in self.catalog.state().views:
             raise CatalogError("rows can't be deleted from a view")
@@ -219,12 +251,14 @@ class Engine:
     def drop_partition(self, name: str, where: str) -> int:
         """ALTER TABLE ... DROP PARTITION: the name must carry the specifier allow_non_acid."""
         bare, specifier = split(name)
+        security.check_drop(self._policy(bare))
         return Table(self.catalog, bare).drop_partitions(where, allow_non_acid=bool(specifier) and specifier[0] == ALLOW_NON_ACID)
 
     # Views
 
     def _view_rows(self, view: dict) -> DataFrame:
-        rows = self.as_user(view.get("owner", "")).sql(view["text"]) if view.get("owner") else self.sql(view["text"])
+        """A view's query has the rights of its owner, the user that made it; the policy on the view itself is the caller's."""
+        rows = self.as_user(view["owner"]).sql(view["text"]) if "owner" in view else self.sql(view["text"])
         return rows.toDF(*view["columns"])
 
     def create_view(self, name: str, text: str, columns: Sequence[str] | None = None, comments: Mapping[str, str] | None = None, comment: str | None = None, replace: bool = False, if_not_exists: bool = False, properties: Mapping[str, str] | None = None) -> None:
@@ -240,7 +274,7 @@ class Engine:
         if unknown:
             raise CatalogError(f"no column {unknown.pop()}")
         key = f"{namespace}/{short}"
-        entry = {"text": text, "columns": shown, "types": [t for _, t in found.dtypes], "comments": dict(comments or {}), "comment": comment, "properties": dict(properties or {})}
+        entry = {"text": text, "columns": shown, "types": [t for _, t in found.dtypes], "comments": dict(comments or {}), "comment": comment, "properties": dict(properties or {}), "owner": self.user}
 
         def edit(s: State) -> None:
             if namespace not in s.namespaces:

@@ -265,5 +265,23 @@ def carry(transform: Transform, operator: str, value: Any, kind: T.DataType) ->
         return operator, apply_value(transform, value, kind)
     if transform.kind == "bucket" or operator not in ("<", "<=", ">", ">="):
         return None
+    if operator in ("<", ">"):
+        value = _next_to(value, kind, -1 if operator == "<" else 1)
     key = apply_value(transform, value, kind)
     return ("<=" if operator[0] == "<" else ">="), key
+
+
+def _next_to(value: Any, kind: T.DataType, step: int) -> Any:
+    """The closest value of a discrete type below (-1) or above (1); the value itself where that can't be told."""
+    try:
+        if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)) and type(value) is int:
+            return value + step
+        if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)) and isinstance(value, dt.datetime):
+            return value + dt.timedelta(microseconds=step)
+        if isinstance(kind, T.DateType) and isinstance(value, dt.date):
+            return value + dt.timedelta(days=step)
+        if isinstance(kind, T.DecimalType) and isinstance(value, (int, Decimal)) and Decimal(value).scaleb(kind.scale) % 1 == 0:
+            return Decimal(value) + Decimal(step).scaleb(-kind.scale)
+    except OverflowError:
+        pass
+    return value

@@ -2,23 +2,39 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodestack.plans.predicates import And, Compare, In
+
+
+#: A range touches at most this many bins of its level, and each level's bins are as many times as wide as the last's.
+BINS = 16
+
 
 def range_join(points: DataFrame, ranges: DataFrame, value: str, low: str, high: str, width: float) -> DataFrame:
     """Rows of points and ranges with low <= value < high.
 
-    Values are cut into bins of `width`; a range goes to each bin that it touches, a point to one, and the bins join by
-    equality, so no nested loop is needed.  width should be about as long as the common range: much longer ranges are
-    copied to many bins.  A range also goes to the bin of its end, so that rounding of very large values loses nothing.
-    Rows with a null bound or value join nothing.
+    Values are cut into bins; a range goes to each bin that it touches, a point to one, and the bins join by equality, so
+    no nested loop is needed.  Bins are `width` wide, which should be about the length of common ranges; ranges of more
+    than BINS bins go to bins of a higher level, each level's being BINS times as wide, so that no range is copied more
+    than BINS + 2 times.  A point goes to a bin of each level that there are ranges of (a range of a million widths is on
+    level 4).  A range also goes to the bin of its end, so that rounding of very large values loses nothing.  Rows with
+    a null bound or value join nothing.
     """
-    binned = ranges.withColumn("__bin", F.explode(F.sequence(F.floor(F.col(low) / width), F.greatest(F.floor(F.col(low) / width), F.floor(F.col(high) / width)))))
-    placed = points.withColumn("__bin", F.floor(F.col(value) / width))
-    return placed.join(binned, "__bin").where((F.col(value) >= F.col(low)) & (F.col(value) < F.col(high))).drop("__bin")
+    length = (F.col(high).cast("double") - F.col(low).cast("double")) / width
+    level = F.greatest(F.lit(0), F.ceil(F.log(F.greatest(length, F.lit(1.0))) / math.log(BINS) - 1).cast("int"))
+    placed_ranges = ranges.where(f"`{low}` < `{high}`").withColumn("__level", level)
+    levels = sorted(r[0] for r in placed_ranges.select("__level").distinct().collect())
+    wide = F.lit(float(width)) * F.pow(F.lit(float(BINS)), F.col("__level"))
+    first, last = F.floor(F.col(low) / wide), F.floor(F.col(high) / wide)
+    binned = placed_ranges.withColumn("__bin", F.explode(F.sequence(first, F.greatest(first, last))))
+    placed = points.withColumn("__level", F.explode(F.array(*(F.lit(k) for k in levels)))) if levels else points.withColumn("__level", F.lit(0))
+    placed = placed.withColumn("__bin", F.floor(F.col(value) / wide))
+    return placed.join(binned, ["__level", "__bin"]).where((F.col(value) >= F.col(low)) & (F.col(value) < F.col(high))).drop("__bin", "__level")
 
 
 def salted_join(hot: DataFrame, other: DataFrame, keys: Sequence[str], how: str = "inner", salts: int = 16) -> DataFrame:
@@ -51,3 +67,19 @@ def filtered_join(large: DataFrame, small: DataFrame, left_key: str, right_key:
         low, high = small.agg(F.min(right_key), F.max(right_key)).first()
         kept = large.where(F.col(left_key).between(low, high))
     return kept.join(small, F.col(left_key) == F.col(right_key))
+
+
+def table_join(table, other: DataFrame, column: str, key: str, columns: Sequence[str] | None = None, most_values: int = 10_000) -> DataFrame:
+    """An inner equi-join of one of the engine's tables with a smaller side, whose keys choose the table's files.
+
+    Up to `most_values` distinct keys of the other side become a condition on the column, which the scan carries over to
+    partition keys (of transforms too), and pushes to the Parquet reader; beyond that, the range of its keys does.
+    """
+    keys = [r[0] for r in other.select(F.col(f"`{key}`")).where(f"`{key}` is not null").distinct().limit(most_values + 1).collect()]
+    if len(keys) <= most_values:
+        where = In(column, tuple(keys))
+    else:
+        low, high = other.agg(F.min(f"`{key}`"), F.max(f"`{key}`")).first()
+        where = And((Compare(column, ">=", low), Compare(column, "<=", high)))
+    rows = table.scan(where, columns)
+    return rows.join(other, rows[column] == other[key])

@@ -58,6 +58,15 @@ def visible(policy: Policy, columns: Sequence[str]) -> list[str]:
     return out
 
 
+def hides_all(policy: Policy, columns: Sequence[str]) -> bool:
+    """Whether a user sees no column of a table, so that not even its name is shown."""
+    try:
+        visible(policy, columns)
+    except PermissionError:
+        return True
+    return False
+
+
 def secured(rows: DataFrame, policy: Policy, columns: Sequence[str] | None = None, name: str = "the table") -> DataFrame:
     """Rows that pass all filters (on unmasked values), then masks in place of columns."""
     chosen = list(columns) if columns is not None else visible(policy, rows.columns)
@@ -81,6 +90,19 @@ def check_update(policy: Policy) -> None:
         raise PermissionError("access denied: UPDATE on a table with row filters or column masks")
 
 
+def check_drop(policy: Policy) -> None:
+    """Whole partitions go with rows that filters may hide, and by keys that masks may hide."""
+    if policy.masks or policy.row_filters or policy.denied or policy.allowed:
+        raise PermissionError("access denied: dropping partitions of a table with row filters, masks or hidden columns")
+
+
+def check_insert(policy: Policy, columns: Sequence[str]) -> None:
+    """Rows can be added, but not to columns that the user may not see."""
+    for c in columns:
+        if c in policy.denied or policy.allowed and c not in policy.allowed:
+            raise PermissionError(f"access denied: INSERT into column {c}")
+
+
 def check_partitions(policy: Policy) -> None:
     if policy.row_filters:
         raise PermissionError("access denied: the partitions table of a table with row filters")

@@ -14,8 +14,9 @@ from pyspark.sql import types as T
 from lodestack.functions.transforms import apply
 from lodestack.plans import predicates as P
 from lodestack.sources.catalog import FILE_PATH, ROW_ID, Catalog, CatalogError, DataFile, Manifest
+from lodestack.sources.scratch import scratch
 
-NON_ACID = "Beware, dropping partitions is not isolated from other writers' rows: pass allow_non_acid=True"
+NON_ACID = "partitions are dropped without regard to rows that others are adding to them: allow_non_acid must say that this is meant"
 _FILE = "_file"
 
 
@@ -121,8 +122,9 @@ class Table:
     def _write(self, manifest: Manifest, rows: DataFrame, exact: bool = True) -> list[DataFile]:
         """Write rows (the table's columns and row ids) as new files.
 
-        exact: rows are dealt by partition key first, so that a partition gets few files; each task then writes its
-        rows by key and sort key.
+        exact: rows are dealt by partition key first, so that a partition gets few files; a key of very many rows is
+        split among tasks (by adaptive execution, at its advisory size).  Each task then writes its rows by key and sort
+        key.
         """
         keys = [f.name for f in manifest.key_fields()]
         physical = rows.select(*(F.col(f"`{f.name}`").cast(f.kind).alias(f.physical) for f in manifest.fields), ROW_ID)
@@ -131,7 +133,7 @@ class Table:
             physical = physical.withColumn(name, apply(t, F.col(f.physical), f.kind))
         sort = [manifest.field(c).physical for c in manifest.sorted_by]
         if keys and exact:
-            physical = physical.repartition(*keys)
+            physical = physical.hint("rebalance", *(F.col(k) for k in keys))
         elif sort and not keys:
             physical = physical.repartitionByRange(*sort)
         if keys or sort:
@@ -227,8 +229,18 @@ class Table:
         """MERGE: `on` and the clauses are SQL over `t` (this table) and `s`.
 
         The first clause of a kind whose condition holds counts.  Only files with a match are rewritten; rows that are
-        inserted get new files.  A target row with two matches raises MergeError.
+        inserted get new files.  A target row with two matches raises MergeError.  The source is evaluated once: it is
+        written to the shared folder, and all steps read that.
         """
+        kept = scratch(self.spark, "source")
+        names_of = [f"c{i}" for i in range(len(source.columns))]
+        source.toDF(*names_of).write.parquet(kept)
+        try:
+            self._merge(self.spark.read.parquet(kept).toDF(*source.columns), on, matched, not_matched)
+        finally:
+            self.catalog.files.delete(kept)
+
+    def _merge(self, source: DataFrame, on: str, matched: Sequence[WhenMatched], not_matched: Sequence[WhenNotMatched]) -> None:
         _, ident, manifest = self.catalog.manifest(self.name)
         for clause in matched:
             if clause.action not in ("update", "delete"):
@@ -372,6 +384,19 @@ def key_texts(path: str, count: int) -> list[str | None]:
     return [None if t == _NULL else t for t in texts]
 
 
+def key_text(value: Any) -> str | None:
+    """A key as Spark spells it in the name of a folder."""
+    import datetime as dt
+
+    if value is None or isinstance(value, str):
+        return value
+    if isinstance(value, bool):
+        return str(value).lower()
+    if isinstance(value, dt.datetime):
+        return str(value.replace(tzinfo=None)).rstrip("0").rstrip(".") if value.microsecond else str(value.replace(tzinfo=None))
+    return str(value)
+
+
 def from_text(text: str | None, kind: T.DataType) -> Any:
     import datetime as dt
     from decimal import Decimal

@@ -57,10 +57,20 @@ sql("filter_ne", "select c_custkey from customer where nullif(c_mktsegment, 'BUI
 sql("filter_or_same_col", "select p_partkey, p_size from part where p_size = 0 or p_size > 10 and p_size <= 20 or p_size = 49")
 sql("filter_or_multi_col", "select p_partkey, p_size from part where p_size = 3 or p_retailprice > 1800 or p_brand = 'Brand#11'")
 sql("filter_is_null", "select c_custkey, nullif(c_nationkey, 5) is null as gone from customer where nullif(c_nationkey, 5) is null or nullif(c_nationkey, 7) is not null and c_acctbal < 0")
-sql("filter_like_substring", "select p_partkey, p_name from part where p_name like '%1%'")
-sql("filter_like_other", "select p_partkey, p_name, p_type from part where p_name like 'p%' and p_type not like '%x_y%' or p_name like '%9'")
+sql("filter_like_substring", "select p_partkey, p_name from part where p_name like '%ing%'")
+sql("filter_like_other", "select p_partkey, p_name, p_type from part where p_name like 'red%' and p_type not like '%R_MO' or p_name like '%a_vil' or p_name like 'hot %r'")
 sql("filter_fn_post", "select p_partkey from part where cos(p_size) > 0.3 and length(p_name) > 3 and substr(p_brand, 1, 3) in ('Bra', 'bra')")
 sql("filter_nan", "select event_id from events where (case when value > 0.9 then cast('NaN' as double) else value end) > 0.8")
+_NAN = "(case when value > 9 then cast('NaN' as double) else value end)"
+sql("filter_nan_eq", f"select event_id from events where {_NAN} = cast('NaN' as double)")
+sql("filter_nan_ne", f"select event_id from events where {_NAN} <> cast('NaN' as double) and event_id < 5000")
+sql("filter_nan_lt", f"select event_id, value from events where {_NAN} < cast('NaN' as double) and {_NAN} >= 5")
+sql("filter_boolean_literal", "select c_custkey from customer where (c_acctbal > 5000) = true and (c_nationkey = 3) <> true")
+sql("filter_char_literal", "select o_orderkey from orders where cast(o_orderstatus as char(1)) = 'F' and o_orderpriority in ('1-URGENT', '5-LOW')")
+sql("filter_binary_literal", "select c_custkey from customer where cast(c_mktsegment as binary) = X'4255494C44494E47' or cast(c_mktsegment as binary) > X'4D'", "select c_custkey from customer where c_mktsegment = 'BUILDING' or c_mktsegment > 'M'")
+sql("filter_timestamp_literal", f"select event_id from events where ts >= {TS.format('2024-01-01 06:00:00')} and ts < {TS.format('2024-01-01 18:30:00.5')}", "select event_id from events where ts >= timestamp '2024-01-01 06:00:00' and ts < timestamp '2024-01-01 18:30:00.5'")
+sql("filter_not_boolean", "select p_partkey from part where not (p_size > 10 and p_brand <> 'Brand#11') and not p_name like '%bolt'")
+sql("filter_in_many", "select l_orderkey, l_linenumber from lineitem where l_orderkey in (" + ", ".join(str(7 * k) for k in range(400)) + ")")
 sql("filter_always_false", "select l_orderkey from lineitem where l_quantity > 10 and l_quantity < 5")
 sql("filter_decimal_date", "select o_orderkey from orders where cast(o_totalprice as decimal(12, 2)) >= 1500.25 and cast(o_orderdate as date) between date '1996-02-02' and date '1996-08-22'")
 
@@ -72,7 +82,7 @@ sql("join_right", "select c.c_custkey, cast(o.o_orderkey as string) as o_orderke
 sql("join_full", "select cast(a.k as string) as a_key, cast(b.k as string) as b_key from (select c_custkey as k from customer where c_acctbal > 5000) a full outer join (select o_custkey as k from orders where o_totalprice > 300000 group by o_custkey) b on a.k = b.k")
 sql("join_cross", "select r.r_name, n.n_name from region r cross join nation n")
 sql("join_semi", "select c.c_custkey from customer c semi join orders o on c.c_custkey = o.o_custkey and o.o_totalprice > 200000")
-sql("join_anti", "select c.c_custkey from customer c anti join orders o on c.c_custkey = o.o_custkey")
+sql("join_anti", "select c.c_custkey from customer c anti join orders o on c.c_custkey = o.o_custkey and o.o_totalprice > 400000")
 sql("join_self", "select a.o_custkey, count(*) as n from orders a join orders b on a.o_custkey = b.o_custkey and a.o_orderkey < b.o_orderkey group by a.o_custkey")
 sql("join_null_keys", "select count(*) as n from (select nullif(c_nationkey, 3) as k from customer) a join (select nullif(n_nationkey, 3) as k from nation) b on a.k = b.k")
 sql("join_multiway", "select r.r_name, count(*) as n, round(sum(o.o_totalprice), 2) as total from region r join nation n on n.n_regionkey = r.r_regionkey join customer c on c.c_nationkey = n.n_nationkey join orders o on o.o_custkey = c.c_custkey group by r.r_name")
@@ -125,7 +135,7 @@ def join_dynamic_filter(spark: SparkSession, folder: str) -> DataFrame:
 
 sql("subquery_exists", "select c_custkey from customer c where exists (select 1 from orders o where o.o_custkey = c.c_custkey and o.o_orderpriority = '1-URGENT') and c_acctbal > 0")
 sql("subquery_in", "select s_suppkey from supplier where s_nationkey in (select n_nationkey from nation where n_regionkey = 2)")
-sql("subquery_correlated_scalar", "select p_brand, p_partkey from part p1 where (select count(*) from part p2 where p2.p_brand = p1.p_brand and (p2.p_size > 40 and p2.p_retailprice > 1000 or p2.p_size < 3 and p2.p_type = p1.p_type)) > 3 and p1.p_size between 10 and 15")
+sql("subquery_correlated_scalar", "select p_brand, p_partkey, p_size from part p1 where p_size > (select avg(p_size) + 10 from part p2 where p2.p_brand = p1.p_brand and p2.p_retailprice > 100) and (select count(*) from part p3 where p3.p_type = p1.p_type and p3.p_size < 30) > 2")
 sql("cte", "with big as (select o_custkey, sum(o_totalprice) as total from orders group by o_custkey), top as (select * from big where total > 1000000) select count(*) as n, round(max(total), 2) as most from top")
 
 # Aggregates
@@ -148,11 +158,11 @@ def agg_collect(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "orders").groupBy("o_custkey").agg(F.array_join(F.sort_array(F.collect_list("o_orderkey")).cast("array<string>"), ",").alias("keys"))
 
 
-@query("agg_approx_distinct", "select true as close_parts, true as close_users")
+@query("agg_approx_distinct", "select l_linenumber, count(distinct l_partkey) as parts, count(distinct l_orderkey) as orders, true as close from lineitem group by l_linenumber")
 def agg_approx_distinct(spark: SparkSession, folder: str) -> DataFrame:
-    parts = table(spark, folder, "lineitem").agg(F.approx_count_distinct("l_partkey", 0.02).alias("a"), F.countDistinct("l_partkey").alias("b"))
-    users = table(spark, folder, "events").agg(F.approx_count_distinct("user_id", 0.02).alias("c"), F.countDistinct("user_id").alias("d"))
-    return parts.crossJoin(users).select((F.abs(F.col("a") / F.col("b") - 1) < 0.1).alias("close_parts"), (F.abs(F.col("c") / F.col("d") - 1) < 0.1).alias("close_users"))
+    """Sketches beside exact counts, with whether they are within a tenth."""
+    exact = table(spark, folder, "lineitem").groupBy("l_linenumber").agg(F.countDistinct("l_partkey").alias("parts"), F.countDistinct("l_orderkey").alias("orders"), F.approx_count_distinct("l_partkey", 0.02).alias("a"), F.approx_count_distinct("l_orderkey", 0.02).alias("b"))
+    return exact.select("l_linenumber", "parts", "orders", ((F.abs(F.col("a") / F.col("parts") - 1) < 0.1) & (F.abs(F.col("b") / F.col("orders") - 1) < 0.1)).alias("close"))
 
 
 # Windows
@@ -162,13 +172,13 @@ sql("win_row_number", "select o_orderkey, row_number() over (partition by o_cust
 sql("win_lag_lead", "select event_id, cast(lag(event_id, 1) over (partition by user_id order by event_id) as string) as before, lead(event_id, 2, -1) over (partition by user_id order by event_id) as after from events")
 sql("win_rows_frame", "select event_id, round(sum(value) over (partition by user_id order by event_id rows between 3 preceding and current row), 4) as s, count(*) over (partition by user_id order by event_id rows between unbounded preceding and 1 following) as n from events")
 sql("win_range_frame", "select o_orderkey, count(*) over (partition by o_orderstatus order by o_custkey range between 5 preceding and 5 following) as n from orders")
-sql("win_ntile", "select s_suppkey, ntile(7) over (order by s_suppkey) as t from supplier")
+sql("win_ntile", "select c_custkey, ntile(7) over (partition by c_nationkey order by c_acctbal, c_custkey) as t from customer")
 sql("win_first_last", "select event_id, first_value(event_id) over (partition by user_id order by event_id) as f, last_value(event_id) over (partition by user_id order by event_id rows between unbounded preceding and unbounded following) as l, nth_value(event_id, 2) over (partition by user_id order by event_id rows between unbounded preceding and unbounded following) as second from events")
 sql("win_conversation", "select conv_id, turn, role, lag(role) over (partition by conv_id order by turn) as before from conversations")
 
 # Sorting
 
-sql("sort_nulls", "select row_number() over (order by k asc nulls first, c_custkey) as at_first, row_number() over (order by k desc nulls last, c_custkey) as at_last, c_custkey from (select nullif(c_nationkey, 4) as k, c_custkey from customer) t")
+sql("sort_nulls", "select c_custkey, cast(k as string) as k, row_number() over (partition by c_mktsegment order by k asc nulls first, c_custkey) as at_first, row_number() over (partition by c_mktsegment order by k desc nulls last, c_custkey) as at_last from (select nullif(c_nationkey, 4) as k, c_custkey, c_mktsegment from customer) t")
 sql("topk", "select o_orderkey, o_totalprice from orders order by o_totalprice desc, o_orderkey limit 10")
 sql("offset_limit", "select p_partkey from part order by p_retailprice, p_partkey limit 15 offset 30")
 
@@ -218,7 +228,7 @@ sql(
     "select vec_id, size(embedding) as n, round(cast(element_at(embedding, 1) as double), 5) as e1, round(cast(array_max(embedding) as double), 5) as mx, size(filter(embedding, x -> x > 0)) as pos, round(aggregate(transform(embedding, x -> cast(x as double) * x), 0D, (a, b) -> a + b), 4) as norm, size(slice(embedding, 2, 5)) as sl, array_contains(array(label, 3), 3) as has, array_join(sort_array(array(label, 2, 1)), '-') as so, arrays_overlap(array(label), array(1, 2)) as ov from embeddings",
     "select vec_id, cast(len(embedding) as int) as n, round(cast(embedding[1] as double), 5) as e1, round(cast(list_max(embedding) as double), 5) as mx, cast(len(list_filter(embedding, lambda x: x > 0)) as int) as pos, round(list_sum(list_transform(embedding, lambda x: cast(x as double) * x)), 4) as norm, cast(len(embedding[2:6]) as int) as sl, list_contains([label, 3], 3) as has, array_to_string(list_sort([label, 2, 1]), '-') as so, list_has_any([label], [1, 2]) as ov from embeddings",
 )
-sql("fn_explode", "select vec_id, pos, round(cast(x as double), 5) as x from embeddings lateral view posexplode(embedding) as pos, x", "select vec_id, cast(i - 1 as int) as pos, round(cast(embedding[i] as double), 5) as x from embeddings cross join (select unnest(range(1, 65)) as i) where i <= len(embedding)")
+sql("fn_explode", "select vec_id, pos, round(cast(x as double), 5) + 0.0D as x from embeddings lateral view posexplode(embedding) as pos, x", "select vec_id, cast(i - 1 as int) as pos, round(cast(embedding[i] as double), 5) + 0.0 as x from embeddings cross join (select unnest(range(1, 65)) as i) where i <= len(embedding)")
 sql(
     "fn_map",
     "select event_id, map_from_arrays(array('t', 'u'), array(event_type, cast(user_id as string)))['u'] as u, array_join(array_sort(map_keys(map('b', 1, 'a', 2))), ',') as ks, size(map_filter(map('b', 1, 'a', 2), (k, v) -> v > 1)) as n from events",
@@ -226,7 +236,7 @@ sql(
 )
 sql("fn_struct", "select event_id, named_struct('a', user_id, 'b', event_type).b as b, struct(value, ts).value as v from events", "select event_id, struct_pack(a := user_id, b := event_type).b as b, struct_pack(value := value, ts := ts).value as v from events")
 sql("fn_json", "select event_id, cast(get_json_object(props, '$.k') as int) as k, from_json(props, 'k int').k + 1 as k1 from events", "select event_id, cast(json_extract_string(props, '$.k') as int) as k, cast(json_extract_string(props, '$.k') as int) + 1 as k1 from events")
-sql("fn_session", "select cast(cast(date '2024-03-01' - interval 1 month as date) as string) as back, cast(cast('2024-01-31' as date) + interval 1 day as string) as fwd from region where r_regionkey = 0", "select cast(cast(date '2024-03-01' - interval 1 month as date) as string) as back, cast(cast(date '2024-01-31' + interval 1 day as date) as string) as fwd from region where r_regionkey = 0")
+sql("fn_session", "select r_regionkey, length(current_timezone()) > 0 as zoned, current_date() = cast(now() as date) as today, length(current_user()) > 0 as someone, cast(cast(date '2024-03-01' - interval 1 month as date) as string) as back from region", "select r_regionkey, true as zoned, true as today, true as someone, '2024-02-01' as back from region")
 sql("text_search", "select doc_id, lang, n_chars from documents where text like '%tion%' and lang = 'en' and n_chars > 3000")
 sql(
     "fn_regex",

@@ -1,4 +1,4 @@
-"""Tables by option: `spark.read.format("lodestack").option("root", ...).option("table", ...)`.
+"""Tables by option: `spark.read.format("lodestack").option("root", ...).option("table", ...)`, and `df.write` likewise.
 
 Each file of the table is a task's share; filters on partition columns leave out files before any is opened.  Scans in
 Python are slower than `Engine.table`, which reads with Spark's own Parquet reader.
@@ -8,14 +8,18 @@ from __future__ import annotations
 
 import json
 import re
+import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
-from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, IsNotNull, IsNull, LessThan, LessThanOrEqual
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, IsNotNull, IsNull, LessThan, LessThanOrEqual, WriterCommitMessage
 
+from lodestack.operators.security import Policies, Policy
 from lodestack.plans import predicates as P
-from lodestack.sources.catalog import Manifest, NoSuchTable, split_name
+from lodestack.sources.catalog import RETRIES, ROW_ID, Conflict, DataFile, Manifest, NoSuchTable, split_name
 
 _OPERATORS = {EqualTo: "=", GreaterThan: ">", GreaterThanOrEqual: ">=", LessThan: "<", LessThanOrEqual: "<="}
 
@@ -47,15 +51,139 @@ def load(root: str, table: str) -> tuple[str, Manifest]:
 
 
 class TableSource(DataSource):
+    #: Tables that the session's user may not read or write this way, as a policy holds for them.
+    guarded: frozenset[str] = frozenset()
+
     @classmethod
     def name(cls) -> str:
         return "lodestack"
 
+    def _table(self) -> str:
+        if "/".join(split_name(self.options["table"])) in self.guarded:
+            raise PermissionError(f"access denied: {self.options['table']} has a policy; read it by Engine.table")
+        return self.options["table"]
+
     def schema(self) -> T.StructType:
-        return load(self.options["root"], self.options["table"])[1].schema()
+        return load(self.options["root"], self._table())[1].schema()
 
     def reader(self, schema: T.StructType) -> TableReader:
-        return TableReader(self.options["root"], self.options["table"], schema)
+        return TableReader(self.options["root"], self._table(), schema)
+
+    def writer(self, schema: T.StructType, overwrite: bool) -> TableWriter:
+        if overwrite:
+            raise ValueError('only mode("append") is possible')
+        return TableWriter(self.options["root"], self._table(), schema)
+
+
+@dataclass
+class Written(WriterCommitMessage):
+    files: list
+    most: int
+
+
+class TableWriter(DataSourceArrowWriter):
+    """Appends rows: each task writes a file for each partition key, and one commit puts all of them into the table.
+
+    Row ids are those that an append by the engine would give.  The commit makes the next state's file, which must be new:
+    on local and mounted folders that is atomic.  Object stores and HDFS have no such call here: use `append`.
+    """
+
+    def __init__(self, root: str, table: str, schema: T.StructType):
+        if "://" in root:
+            raise ValueError("writing by option needs a mounted folder; use lodestack.sources.datasource.append")
+        self.root, self.table = root.rstrip("/").removeprefix("file:"), table
+        self.folder, self.manifest = load(root, table)
+        known = [f.name for f in self.manifest.fields]
+        unknown = [n for n in schema.names if n not in known]
+        if unknown:
+            raise ValueError(f"no column {unknown[0]}")
+        self.write_id = uuid.uuid4().hex
+
+    def write(self, iterator: Iterator) -> Written:
+        import os
+
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+        from pyspark import TaskContext
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        from lodestack.functions.transforms import apply_value
+        from lodestack.operators.table import key_text
+
+        m, context = self.manifest, TaskContext.get()
+        task = context.partitionId()
+        target = to_arrow_schema(m.schema())
+        physical = pa.schema([*(pa.field(f.physical, target.field(f.name).type) for f in m.fields), pa.field(ROW_ID, pa.int64())])
+        writers: dict[tuple, tuple[str, Any, list[int]]] = {}
+        row = m.next_row_id + (task << 33)
+        os.makedirs(f"{self.folder}/{self.write_id}", exist_ok=True)
+        for batch in iterator:
+            there = set(batch.schema.names)
+            columns = [batch.column(f.name).cast(target.field(f.name).type) if f.name in there else pa.nulls(len(batch), target.field(f.name).type) for f in m.fields]
+            rows = pa.Table.from_arrays([*columns, pa.array(range(row, row + len(batch)), pa.int64())], schema=physical)
+            row += len(batch)
+            groups: dict[tuple, list[int]] = {}
+            sources = [(t, m.field(t.column)) for t in m.partitioning]
+            values = [rows.column(f.physical).to_pylist() for _, f in sources]
+            for i in range(len(batch)):
+                key = tuple(key_text(apply_value(t, v[i], f.kind)) for (t, f), v in zip(sources, values, strict=True))
+                groups.setdefault(key, []).append(i)
+            for key, places in groups.items():
+                if key not in writers:
+                    path = f"{self.write_id}/part-{task:05d}-{len(writers):04d}-{uuid.uuid4().hex}.parquet"
+                    writers[key] = (path, pq.ParquetWriter(f"{self.folder}/{path}", physical), [0])
+                some = rows.take(places)
+                if m.sorted_by:
+                    some = some.sort_by([(m.field(c).physical, "ascending") for c in m.sorted_by])
+                writers[key][1].write_table(some)
+                writers[key][2][0] += len(places)
+        files = []
+        for key, (path, writer, count) in writers.items():
+            writer.close()
+            files.append((path, os.path.getsize(f"{self.folder}/{path}"), count[0], list(key)))
+        return Written(files, row - 1)
+
+    def commit(self, messages: list) -> None:
+        import os
+
+        found = [m for m in messages if m is not None]
+        files, most = [f for m in found for f in m.files], max((m.most for m in found), default=-1)
+        if not files:
+            return
+        key = "/".join(split_name(self.table))
+        for _ in range(RETRIES):
+            states = sorted(n for n in os.listdir(f"{self.root}/states") if re.fullmatch(r"\d{12}\.json", n))
+            with open(f"{self.root}/states/{states[-1]}") as stream:
+                state = json.load(stream)
+            entry = state["tables"].get(key)
+            if entry is None or self.folder != f"{self.root}/data/{entry['id']}":
+                raise NoSuchTable(f"no table {self.table}")
+            with open(f"{self.root}/manifests/{entry['manifest']}.json") as stream:
+                now = Manifest.of_json(json.load(stream))
+            if [f.to_json() for f in now.fields] != [f.to_json() for f in self.manifest.fields] or now.next_row_id != self.manifest.next_row_id:
+                raise Conflict(f"{self.table} was changed meanwhile")
+            now.files += [DataFile(*f) for f in files]
+            now.next_row_id = max(now.next_row_id, most + 1)
+            name = uuid.uuid4().hex
+            with open(f"{self.root}/manifests/{name}.json", "x") as stream:
+                json.dump(now.to_json(), stream, default=str)
+            entry["manifest"], state["version"] = name, state["version"] + 1
+            staged = f"{self.root}/states/.{uuid.uuid4().hex}"
+            with open(staged, "x") as stream:
+                json.dump(state, stream, default=str)
+            try:
+                os.link(staged, f"{self.root}/states/{state['version']:012d}.json")  # fails if it exists
+                return
+            except FileExistsError:
+                continue
+            finally:
+                os.unlink(staged)
+        raise Conflict("too many commits at once")
+
+    def abort(self, messages: list) -> None:
+        import shutil
+
+        shutil.rmtree(f"{self.folder}/{self.write_id}", ignore_errors=True)
 
 
 class TableReader(DataSourceReader):
@@ -115,9 +243,12 @@ class TableReader(DataSourceReader):
             yield pa.RecordBatch.from_arrays(columns, schema=target)
 
 
-def register(spark: SparkSession) -> None:
+def register(spark: SparkSession, policies: Policies | None = None, user: str = "") -> None:
+    """Make the format known to the session.  Readers of files can't apply row filters and masks, so tables for which
+    `policies` have one for `user` are refused; without policies this is an administrator's way in."""
+    guarded = frozenset(name for (name, who), policy in (policies.known.items() if policies and policies.enabled else ()) if who == user and policy != Policy())
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
-    spark.dataSource.register(TableSource)
+    spark.dataSource.register(type("GuardedSource", (TableSource,), {"guarded": guarded}) if guarded else TableSource)
 
 
 def append(rows: DataFrame, root: str, table: str) -> int:

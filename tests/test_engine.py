@@ -1,3 +1,4 @@
+import json
 import pytest
 from pyspark.sql import functions as F
 
@@ -116,8 +117,8 @@ def test_execute(engine):
     for text, groups in (("select 1 as a", ["g"]), ("select <groups>", [])):
         with pytest.raises(PermissionError):
             engine.execute(text, groups, enforce_identity=True)
-    with pytest.raises(CatalogError):
-        engine.execute("select map('a', 1) as m")
+    text = "select map(1, array(map('a', cast('x' as binary)))) as m, named_struct('t', map('k', 2), 'n', null) as s, cast(null as map<int, int>) as e, array(1, null) as l"
+    assert json.loads(engine.execute(text).first().records) == {"m": [{"key": 1, "value": [[{"key": "a", "value": "eA=="}]]}], "s": {"t": [{"key": "k", "value": 2}], "n": None}, "e": None, "l": [1, None]}
 
 
 def test_select_restricted(engine):
@@ -137,13 +138,17 @@ def test_put(engine, spark):
 # Statistics
 
 
-def test_histogram_goldens():
-    stats = TableStats(100, 400, {"x": ColumnStats(100, 0, 99)})
-    assert Estimator(stats).selectivity(read("x = 5")) == pytest.approx(0.01)
-    assert Estimator(stats).selectivity(read("x < 15")) == pytest.approx(15 / 99)
-    assert Estimator(stats).selectivity(read("x = 1000")) == 0 and Estimator(stats).selectivity(read("x > 1000")) == 0
-    bins = TableStats(100, 400, {"x": ColumnStats(12, 0, 19, histogram=(Bin(0, 9, 10), Bin(10, 19, 2)))})
-    assert Estimator(bins).selectivity(read("x = 15")) == pytest.approx(0.25)
+def test_shares_of_ranges_and_bins():
+    low, high, distinct = 20, 70, 40
+    even = Estimator(TableStats(500, 4000, {"x": ColumnStats(distinct, low, high)}))
+    assert even.selectivity(read("x = 33")) == pytest.approx(1 / distinct)
+    for v in (25, 47, 69):
+        assert even.selectivity(read(f"x < {v}")) == pytest.approx((v - low) / (high - low))
+    assert even.selectivity(read("x = 71")) == 0 and even.selectivity(read("x > 70")) == 0
+    bins = (Bin(0, 4, 5), Bin(5, 30, 8), Bin(31, 40, 3), Bin(41, 90, 20))  # as many rows in each
+    uneven = Estimator(TableStats(500, 4000, {"x": ColumnStats(36, 0, 90, histogram=bins)}))
+    for b in bins:
+        assert uneven.selectivity(read(f"x = {b.high - 1}")) == pytest.approx(1 / len(bins) / b.ndv)
 
 
 def test_selectivity_rules():
@@ -193,6 +198,27 @@ def test_range_join(spark):
     assert got == [(0, 1), (5, 1), (5, 2), (9, 1), (99, 3)]
 
 
+def test_range_join_of_very_long_ranges(spark):
+    points = spark.range(0, 100_000, 997).withColumnRenamed("id", "v")
+    made = [(i, i * 1000, i * 1000 + 10**k) for k in range(0, 13, 2) for i in range(4)] + [(9, 5, 5), (9, 7, 6), (9, None, 3), (9, -(10**9), 10**9)]
+    ranges = spark.createDataFrame(made, "r int, lo long, hi long")
+    got = sorted((r.v, r.lo, r.hi) for r in range_join(points, ranges, "v", "lo", "hi", 4).collect())
+    assert got == sorted((v, lo, hi) for v in range(0, 100_000, 997) for _, lo, hi in made if lo is not None and lo <= v < hi)
+
+
+def test_table_join_opens_few_files(spark, catalog):
+    from lodestack.operators.joins import table_join
+    from lodestack.operators.table import create_as
+
+    t = create_as(catalog, "b.s.t", spark.range(400).selectExpr("id as k", "date_add(date'2020-01-01', cast(id * 7 as int)) as d"), ["year(d)"])
+    other = spark.sql("select date'2020-01-08' as day, 'a' as x union all select date'2021-05-05', 'b' union all select null, 'c'")
+    got = table_join(t, other, "d", "day")
+    assert sorted((r.k, r.x) for r in got.collect()) == [(1, "a"), (70, "b")]
+    assert got.count() == table_join(t, other, "d", "day", most_values=1).count()
+    assert len(got.select(F.input_file_name()).distinct().collect()) <= 2
+    assert table_join(t, other.where("day is null"), "d", "day").count() == 0
+
+
 def test_salted_join(spark):
     hot = spark.createDataFrame([("a", i) for i in range(50)] + [("b", 1), ("c", 2)], "k string, i int")
     other = spark.createDataFrame([("a", "A"), ("b", "B")], "k string, n string")

@@ -44,11 +44,20 @@ def test_filters_reach_the_scan(spark, folder):
 
 
 def test_no_nested_loops(spark, folder):
-    for name in ("join_theta_range", "join_skewed", "join_colocated", "subquery_exists", "join_dynamic_filter"):
+    for name in ("join_theta_range", "join_skewed", "join_colocated", "subquery_exists", "subquery_correlated_scalar", "join_dynamic_filter"):
         p = plan(queries.QUERIES[name](spark, folder))
         assert "NestedLoop" not in p and "Cartesian" not in p, name
 
 
+def test_fields_of_stored_structs_are_pruned(spark, folder):
+    p = plan(queries.QUERIES["nested_pushdown"](spark, folder))
+    assert "props" not in p.split("ReadSchema")[1] and "b.value" in p.split("PushedFilters")[1]
+
+
+def test_bucket_function_is_part_of_the_plan(spark, folder):
+    assert "Python" not in plan(queries.QUERIES["fn_transforms_sql"](spark, folder))
+
+
 def test_bucketed_join_has_no_exchange_of_its_inputs(spark, folder):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:

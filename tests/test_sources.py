@@ -57,3 +57,53 @@ def test_bucketed(spark, tmp_path):
     assert out.count() == 100
     plan = out.groupBy("id").count()._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def test_bucket_of_texts(spark):
+    from pyspark.sql import types as T
+
+    from lodestack.functions.transforms import Transform, apply_value
+
+    sql.register(spark)
+    got = spark.sql("select s, ls_bucket_text(5, s) as b from values ('a'), ('éß'), (''), (null), ('a') as t(s)").collect()
+    assert [r.b for r in got] == [None if r.s is None else apply_value(Transform("v", "bucket", 5), r.s, T.StringType()) for r in got]
+
+
+def test_write_by_option(spark, catalog):
+    from lodestack.sources.catalog import Conflict
+
+    rows = spark.range(30).select("id", F.expr("timestamp'2020-01-01 10:00:00' + make_interval(0, cast(id % 3 as int))").alias("ts"), F.concat(F.lit("n"), F.col("id") % 4).alias("s"))
+    t = create_as(catalog, "b.s.t", rows, ["month(ts)", "bucket(4, id)", "s"], ["id"])
+    datasource.register(spark)
+    more = spark.range(100, 140).select(F.col("id"), F.expr("if(id % 5 = 0, null, timestamp'2021-03-01 00:00:00')").alias("ts"))
+    options = {"root": catalog.root, "table": "b.s.t"}
+    more.write.format("lodestack").options(**options).mode("append").save()
+    assert t.scan().count() == 70 and t.row_ids().distinct().count() == 70
+    assert t.scan("id = 117").count() == 1 and t.scan("ts >= timestamp '2021-02-01' and s is null").count() == 32
+    assert t.files_for("id = 117") < t.files_for("id > 0")
+    t.delete("id >= 120")
+    t.append(rows.where("id < 5"))
+    assert t.scan().count() == 55 and t.row_ids().distinct().count() == 55
+    with pytest.raises(Exception, match="append"):
+        more.write.format("lodestack").options(**options).mode("overwrite").save()
+    with pytest.raises(Exception, match="no column"):
+        spark.range(2).withColumnRenamed("id", "nope").write.format("lodestack").options(**options).mode("append").save()
+    stale = datasource.TableWriter(catalog.root, "b.s.t", more.schema)
+    t.append(rows.where("id < 2"))
+    with pytest.raises(Conflict):
+        stale.commit([datasource.Written([["x", 1, 1, [None, "0", None]]], 10**6)])
+    assert t.scan().count() == 57
+
+
+def test_a_hot_key_is_written_by_several_tasks(spark, catalog):
+    rows = spark.range(300_000).select("id", F.expr("if(id % 20 = 0, cast(id % 400 as int), 7)").alias("k"), F.sha2(F.col("id").cast("string"), 512).alias("s"))
+    saved = {c: spark.conf.get(c) for c in ("spark.sql.adaptive.advisoryPartitionSizeInBytes",)}
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2m")
+    try:
+        t = create_as(catalog, "b.s.t", rows, ["k"])
+    finally:
+        for c, v in saved.items():
+            spark.conf.set(c, v)
+    _, _, manifest = catalog.manifest("b.s.t")
+    hot = [f for f in manifest.files if f.keys == ["7"]]
+    assert len(hot) > 3 and max(f.rows for f in hot) < 150_000 and t.scan().count() == 300_000

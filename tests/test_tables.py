@@ -102,7 +102,7 @@ def test_import(spark, catalog, tmp_path):
 
 def test_drop_partitions(spark, catalog):
     t = create_as(catalog, "b.s.t", small(spark), ["c1", "bucket(4, c2)"])
-    with pytest.raises(CatalogError, match="Beware"):
+    with pytest.raises(CatalogError, match="allow_non_acid"):
         t.drop_partitions("c1 = 1")
     with pytest.raises(CatalogError):
         t.drop_partitions("c3 = 'a'", allow_non_acid=True)

@@ -65,7 +65,7 @@ def test_parse():
 
 def test_carry_widens():
     t = Transform("v", "truncate", 10)
-    assert carry(t, "<", 20, T.IntegerType()) == ("<=", 20) and carry(t, ">", 25, T.IntegerType()) == (">=", 20)
+    assert carry(t, "<", 20, T.IntegerType()) == ("<=", 10) and carry(t, "<", 21, T.IntegerType()) == ("<=", 20) and carry(t, ">", 29, T.IntegerType()) == (">=", 30) and carry(t, ">", 25, T.IntegerType()) == (">=", 20)
     assert carry(t, "<>", 20, T.IntegerType()) is None
     assert carry(Transform("v", "bucket", 4), "<", 20, T.IntegerType()) is None
     assert carry(Transform("v", "bucket", 4), "is null", None, T.IntegerType()) == ("is null", None)
