@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 
 from lodestack.llm.bitmap import contains, of_bits
 from lodestack.llm.html_text import host_of
-from lodestack.llm.store import materialise
+from lodestack.llm.store import drop, materialise
 from lodestack.llm.textvec import mix
 
-#: Bits of a filter at most (32 MB); a longer list needs a larger bound or several cascades.
+#: Bits of a filter at most (32 MB); longer lists are dealt into several cascades by a hash of the keys.
 MOST_BITS = 1 << 28
 #: Levels of a cascade at most; each is some twenty times as rare as the one before.
 MOST_LEVELS = 40
@@ -101,8 +101,6 @@ def _bits(low: np.ndarray, high: np.ndarray, level: int, i: int, bits: int) -> n
 def _level_bits(count: int, rate: float) -> tuple[int, int]:
     need = max(64, math.ceil(-count * math.log(rate) / math.log(2) ** 2))
     bits = 1 << (need - 1).bit_length()
-    if bits > MOST_BITS:
-        raise ValueError(f"a filter of {bits} bits is beyond the bound of {MOST_BITS}")
     return bits, max(1, min(16, round(bits / max(count, 1) * math.log(2))))
 
 
@@ -135,18 +133,37 @@ def _hashed(keys: DataFrame) -> DataFrame:
     return keys.select(F.xxhash64("key").alias("low"), F.xxhash64(F.lit("second"), "key").alias("high"), "key")
 
 
-def build(universe: DataFrame, listed: DataFrame) -> Cascade:
-    """A cascade over the distinct keys of `universe` (column key) that tells those of `listed` (column key).
+def _first_rate(n_listed: int, n_universe: int) -> float:
+    return min(0.05, max(n_listed / max(n_universe, 1) / 1.5, 1e-6))
 
-    Level 1 holds all listed keys; each later one the keys of the other kind that the level before lets pass by
-    mistake, until there are none.  Filters are filled in Spark; only their words come to the driver.
-    """
+
+def cascades(universe: DataFrame, listed: DataFrame, most_bits: int = MOST_BITS) -> Iterator[tuple[int, int, Cascade]]:
+    """(part, parts, cascade): cascades that together tell the listed keys of the universe.  There are as many parts as
+    keep the filters within most_bits; a key belongs to the part that its first hash says."""
     inside = materialise(_hashed(universe.select("key").where("key is not null").distinct()), "universe")
     wanted = materialise(_hashed(listed.select("key").where("key is not null").distinct()), "listed")
     n_listed, n_universe = wanted.count(), inside.count()
+    parts = 1
+    while n_listed and _level_bits(math.ceil(1.1 * n_listed / parts), _first_rate(n_listed, n_universe))[0] > most_bits and parts < n_listed:
+        parts *= 2
+    for part in range(parts):
+        mine = (lambda f, k=part: f.where(F.pmod("low", F.lit(parts)) == k)) if parts > 1 else (lambda f: f)
+        yield part, parts, _build(mine(inside), mine(wanted))
+    drop(inside, wanted)
+
+
+def build(universe: DataFrame, listed: DataFrame) -> Cascade:
+    """A cascade over the distinct keys of `universe` (column key) that tells those of `listed` (column key)."""
+    return [c for _, _, c in cascades(universe, listed, 1 << 62)][0]
+
+
+def _build(inside: DataFrame, wanted: DataFrame) -> Cascade:
+    """Level 1 holds all listed keys; each later one the keys of the other kind that the level before lets pass by
+    mistake, until there are none.  Filters are filled in Spark; only their words come to the driver."""
+    n_listed, n_universe = wanted.count(), inside.count()
     levels: list[Level] = []
     encoded, other, count = wanted, None, n_listed
-    rate = min(0.05, max(n_listed / max(n_universe, 1) / 1.5, 1e-6))
+    rate = _first_rate(n_listed, n_universe)
     while count:
         k = len(levels)
         if k == MOST_LEVELS:
@@ -159,47 +176,72 @@ def build(universe: DataFrame, listed: DataFrame) -> Cascade:
         if k == 0:
             passing = passing.join(wanted.select("key"), "key", "left_anti").select("low", "high", "key")
         passing = materialise(passing, "passing")
-        encoded, other, count = passing, encoded, passing.count()
+        read, encoded, other, count = other, passing, encoded, passing.count()
+        drop(*(f for f in (read,) if f is not None and f is not wanted))
+    drop(*(f for f in (encoded, other) if f is not None and f is not wanted))
     return Cascade(tuple(levels))
 
 
-def _judged(cascade: Cascade, columns: int):
+def _judged(cascade: Cascade, columns: int, part: int = 0, parts: int = 1):
+    """The first listed key of each row, of the keys that belong to a part; where there are several parts, a column
+    before the hashes has what other parts have found."""
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             low, high = batch.column(columns), batch.column(columns + 1)
             offsets = low.offsets.to_numpy() - low.offsets[0].as_py()
-            hit = cascade.listed(low.flatten().to_numpy(), high.flatten().to_numpy())
-            first = np.full(len(batch), -1, np.int32)
+            lows, highs = low.flatten().to_numpy(), high.flatten().to_numpy()
+            hit = np.zeros(len(lows), bool)
+            mine = np.flatnonzero(lows % parts == part)
+            hit[mine] = cascade.listed(lows[mine], highs[mine])
+            first = np.full(len(batch), NONE, np.int32)
             owner = np.repeat(np.arange(len(batch)), np.diff(offsets))
             for at in np.flatnonzero(hit)[::-1]:
                 first[owner[at]] = at - offsets[owner[at]]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:columns], pa.array(first)], [*batch.schema.names[:columns], "at"])
+            if parts > 1:
+                first = np.minimum(first, batch.column(columns + 2).to_numpy())
+                yield pa.RecordBatch.from_arrays([*batch.columns[: columns + 2], pa.array(first)], [*batch.schema.names[: columns + 2], "at"])
+            else:
+                yield pa.RecordBatch.from_arrays([*batch.columns[:columns], pa.array(first)], [*batch.schema.names[:columns], "at"])
 
     return work
 
 
-def judge(frame: DataFrame, rules: Sequence[Rule], listed: DataFrame, url: str = "url", key: str = "page_id") -> DataFrame:
+#: In place of a key's position: no key is listed.
+NONE = np.int32((1 << 31) - 1)
+
+
+def judge(frame: DataFrame, rules: Sequence[Rule], listed: DataFrame, url: str = "url", key: str = "page_id", most_bits: int = MOST_BITS) -> DataFrame:
     """The verdict on every url: of the longest rule that fits it, else block if its host or a parent domain is listed.
 
     Returns key, host, path, rule, verdict and listed_key (the longest listed key of the host, whatever the rule).
     Null urls and such without `://` have an empty host and path, fit no rule that names a host and are allowed;
     repeated rows stay; other columns are not read; an empty table or list is no error.  listed: a table with a
-    column `key` of host names; nulls and repetitions in it are ignored.
+    column `key` of host names; nulls and repetitions in it are ignored.  A list beyond most_bits is worked off in parts.
     """
     kinds = dict(frame.dtypes)
     text = F.col(f"`{url}`").cast("string")
     rows = frame.select(F.col(f"`{key}`").alias("__key"), host_of(text).alias("host"), path_of(text).alias("path"))
     keys = rows.select("host").distinct().select(F.explode(host_keys(F.col("host"))).alias("key"))
-    cascade = build(keys, listed)
     every = host_keys(F.col("host"))
     hashed = rows.select("__key", "host", "path", rule_for(F.col("host"), F.col("path"), rules).alias("rule"), F.transform(every, lambda x: F.xxhash64(x)).alias("low"), F.transform(every, lambda x: F.xxhash64(F.lit("second"), x)).alias("high"))
-    found = hashed.mapInArrow(_judged(cascade, 4), f"__key {kinds[key]}, host string, path string, rule string, at int")
+    schema = f"__key {kinds[key]}, host string, path string, rule string"
+    found = None
+    for part, parts, cascade in cascades(keys, listed, most_bits):
+        if parts == 1:
+            found = hashed.mapInArrow(_judged(cascade, 4), f"{schema}, at int")
+            continue
+        # One part's filters at a time are in memory; each part's findings are written for the next.
+        before = hashed.withColumn("at", F.lit(int(NONE))) if found is None else found
+        found, old = materialise(before.mapInArrow(_judged(cascade, 4, part, parts), f"{schema}, low array<long>, high array<long>, at int"), "judged"), found
+        if old is not None:
+            drop(old)
     verdicts = {r.text: r.verdict for r in rules}
     by_rule = F.lit(None).cast("string")
     for rule_text, verdict in verdicts.items():
         by_rule = F.when(F.col("rule") == rule_text, F.lit(verdict)).otherwise(by_rule)
-    key_of = F.when(F.col("at") >= 0, F.element_at(host_keys(F.col("host")), F.col("at") + 1))
-    return found.select(F.col("__key").alias(key), "host", "path", "rule", F.coalesce(by_rule, F.when(F.col("at") >= 0, "block").otherwise("allow")).alias("verdict"), key_of.alias("listed_key"))
+    key_of = F.when(F.col("at") != int(NONE), F.element_at(host_keys(F.col("host")), F.col("at") + 1))
+    return found.select(F.col("__key").alias(key), "host", "path", "rule", F.coalesce(by_rule, F.when(F.col("at") != int(NONE), "block").otherwise("allow")).alias("verdict"), key_of.alias("listed_key"))
 
 
 def host_list(spark: SparkSession, hosts: Sequence[str]) -> DataFrame:

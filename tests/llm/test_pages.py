@@ -6,7 +6,7 @@ import pytest
 from lodestack.llm import html_text as h
 from lodestack.llm import warc
 from lodestack.llm.registry import LISTED_HOSTS, URL_RULES
-from lodestack.llm.url_filter import Rule, build, host_list, judge
+from lodestack.llm.url_filter import Rule, build, cascades, host_list, judge
 
 from .conftest import multiset
 
@@ -44,6 +44,18 @@ def test_urls(spark):
     assert {r.verdict for r in judge(frame, [], host_list(spark, [])).collect()} == {"allow"}
 
 
+def test_long_lists_are_worked_off_in_parts(spark):
+    """With filters of at most 256 bits, a list of 150 hosts needs several parts; the verdicts are the same."""
+    hosts = [f"{'sub.' * (i % 3)}h{i}.{'com' if i % 2 else 'co.uk'}" for i in range(900)]
+    listed = [f"h{i}.{'com' if i % 2 else 'co.uk'}" for i in range(0, 900, 6)] + [None, "uk2"]
+    pages = spark.createDataFrame([(i, f"https://{h}/x") for i, h in enumerate(hosts)] + [(900, None), (901, "no host")], "page_id long, url string")
+    keys = spark.createDataFrame([(h,) for h in listed], "key string")
+    want = multiset(map(tuple, judge(pages, [], keys).collect()))
+    assert multiset(map(tuple, judge(pages, [], keys, most_bits=256).collect())) == want
+    assert sum(r[4] == "block" for r in judge(pages, [], keys).collect()) == 150
+    assert len(list(cascades(pages.selectExpr("concat('h', page_id, '.com') as key"), keys, 256))) > 1
+
+
 def test_cascade_is_exact_over_its_universe(spark):
     import numpy as np
 
