@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestack.llm import textvec as tv
-from lodestack.llm.store import materialise, trimmed
+from lodestack.llm.store import drop, materialise, small_side, trimmed
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
@@ -21,6 +21,8 @@ _UPPER[65:91] = True
 _MARKED = np.zeros(256, bool)
 _MARKED[list(b"!?")] = True
 WINDOW = 8
+#: Strata whose counts come to the driver; more are judged in Spark.
+MOST_STRATA = 200
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_marked")
 
 
@@ -143,21 +145,39 @@ class Threshold:
     log_p: float
 
 
-def choose_thresholds(labelled: DataFrame, rules: Sequence[Rule] = RULES, risk: float = 0.05, error: float = 0.05, most_strata: int = 200) -> list[Threshold]:
+def choose_thresholds(labelled: DataFrame, rules: Sequence[Rule] = RULES, risk: float = 0.05, error: float = 0.05, most_strata: int | None = None) -> list[Threshold] | DataFrame:
     """Cutoffs for each stratum from labelled holdouts (columns stratum, quality and the counts).
 
     Good documents (quality 1) are the holdout; bad ones (quality 0) only say whether a rule is of use: of the
     certified cutoffs of a rule the strictest is taken, if it rejects a bad document at all.  A stratum's risk is
     shared equally by the rules, so that all together reject at most `risk` of its good documents, and `error` is
     shared by all rules and strata (Bonferroni): with a probability of 1 - error every stratum keeps its bound.
-    What reaches the driver is one row for each stratum and rule; more than `most_strata` strata are an error.
+    Of up to `most_strata` strata (MOST_STRATA) the counts come to the driver, one row each; for more the same is done in Spark, and
+    the result is a table (stratum, rule, cutoff, good, rejected, log_p), written.
     """
     over = [F.sum(F.when(F.expr(f"quality = {q}") & (F.expr(r.measure) > c), 1).otherwise(0)).alias(f"{r.name}_{i}_{q}") for r in rules for i, c in enumerate(r.cutoffs) for q in (0, 1)]
-    rows = labelled.groupBy("stratum").agg(F.sum((F.col("quality") == 1).cast("long")).alias("good"), *over).orderBy("stratum").limit(most_strata + 1).collect()
-    if len(rows) > most_strata:
-        raise ValueError(f"more than {most_strata} strata")
+    counts = materialise(labelled.groupBy("stratum").agg(F.sum((F.col("quality") == 1).cast("long")).alias("good"), *over), "strata")
+    strata = counts.count()
+    share = error / max(1, len(rules) * strata)
+    if strata <= (MOST_STRATA if most_strata is None else most_strata):
+        out = _certified_rows(counts.orderBy("stratum").collect(), rules, risk, share)
+        drop(counts)
+        return out
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = _certified_rows(batch.to_pylist(), rules, risk, share)
+            columns = zip(*((t.stratum, t.rule, t.cutoff, t.good, t.rejected, t.log_p) for t in found), strict=True) if found else ([] for _ in range(6))
+            yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, (pa.string(), pa.string(), pa.float64(), pa.int64(), pa.int64(), pa.float64()), strict=True)], ["stratum", "rule", "cutoff", "good", "rejected", "log_p"])
+
+    out = materialise(counts.mapInArrow(work, "stratum string, rule string, cutoff double, good long, rejected long, log_p double"), "thresholds")
+    drop(counts)
+    return out
+
+
+def _certified_rows(rows: Sequence, rules: Sequence[Rule], risk: float, share: float) -> list[Threshold]:
+    """The thresholds of strata, from their counts."""
     out = []
-    share = error / max(1, len(rules) * len(rows))
     for row in rows:
         for rule in rules:
             rejected = [row[f"{rule.name}_{i}_1"] for i in range(len(rule.cutoffs))]
@@ -170,6 +190,16 @@ def choose_thresholds(labelled: DataFrame, rules: Sequence[Rule] = RULES, risk:
     return out
 
 
+def with_verdict(rows: DataFrame, thresholds: list[Threshold] | DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
+    """The rows with the rules that each breaks, in the column `broken`."""
+    if not isinstance(thresholds, DataFrame):
+        return rows.withColumn("broken", verdict(thresholds, rules))
+    each = small_side(thresholds.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("__cutoffs")), "cutoffs")
+    joined = rows.join(each, "stratum", "left")
+    broken = F.array_compact(F.array(*(F.when(F.expr(r.measure) > F.col("__cutoffs")[r.name], F.lit(r.name)) for r in rules)))
+    return joined.withColumn("broken", broken).drop("__cutoffs")
+
+
 def verdict(thresholds: Sequence[Threshold], rules: Sequence[Rule] = RULES) -> Column:
     """Which rules a row (with `stratum` and the counts) breaks, as an array of names."""
     measures = {r.name: r.measure for r in rules}
@@ -182,7 +212,7 @@ def _stratified(frame: DataFrame, stratum: str) -> DataFrame:
     return frame.withColumn("__stratum", value)
 
 
-def _thresholds(counted: DataFrame, labels: DataFrame, key: str, rules: Sequence[Rule], risk: float, error: float) -> list[Threshold]:
+def _thresholds(counted: DataFrame, labels: DataFrame, key: str, rules: Sequence[Rule], risk: float, error: float) -> list[Threshold] | DataFrame:
     """counted: __key, stratum and the counts of every document."""
     known = labels.where("quality in (0, 1)").select(F.col(f"`{key}`").alias("__key"), "quality")
     return choose_thresholds(counted.where(~base_failed()).join(known, "__key"), rules, risk, error)
@@ -196,7 +226,8 @@ def keep_good(frame: DataFrame, labels: DataFrame, text: str = "text", key: str
     named = [f"__c{i}" for i in range(len(frame.columns))]
     again = _stratified(frame, stratum).select("__stratum", F.col(f"`{text}`").alias("__text"), *(F.col(f"`{c}`").alias(n) for c, n in zip(frame.columns, named, strict=True)))
     whole = with_counts(again, [*named, "__stratum"], "__text").withColumnRenamed("__stratum", "stratum")
-    return whole.where(~base_failed() & (F.size(verdict(chosen, rules)) == 0)).select(*(F.col(n).alias(c) for c, n in zip(frame.columns, named, strict=True)))
+    drop(counted)
+    return with_verdict(whole.where(~base_failed()), chosen, rules).where(F.size("broken") == 0).select(*(F.col(n).alias(c) for c, n in zip(frame.columns, named, strict=True)))
 
 
 def judge(frame: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", stratum: str = "lang", risk: float = 0.05, error: float = 0.05, rules: Sequence[Rule] = RULES) -> DataFrame:
@@ -211,5 +242,5 @@ def judge(frame: DataFrame, labels: DataFrame, text: str = "text", key: str = "d
     keyed = _stratified(frame, stratum).withColumn("__key", F.col(f"`{key}`"))
     counted = materialise(with_counts(keyed, ["__key", "__stratum"], text).withColumnRenamed("__stratum", "stratum"), "counts")
     chosen = _thresholds(counted, labels, key, rules, risk, error)
-    broken = counted.withColumn("base_failed", base_failed()).withColumn("broken", verdict(chosen, rules))
+    broken = with_verdict(counted.withColumn("base_failed", base_failed()), chosen, rules)
     return broken.select(F.col("__key").alias(key), "stratum", *COUNTS, "base_failed", "broken", (~F.col("base_failed") & (F.size("broken") == 0)).alias("kept"))

@@ -1,9 +1,11 @@
+import random
 import re
 from collections import Counter
 from math import comb
 
 import pytest
 
+from lodestack.llm import quality
 from lodestack.llm.quality import RULES, certified, choose_thresholds, judge, keep_good, log_binomial_tail
 
 from .conftest import multiset
@@ -68,14 +70,31 @@ def test_thresholds_find_bad_and_keep_good(spark):
     frame = spark.createDataFrame(rows, "stratum string, quality int, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long, n_upper long, n_marked long")
     chosen = choose_thresholds(frame, RULES, 0.05, 0.05)
     assert [(t.stratum, t.rule) for t in chosen] == [("en", "symbols")] and chosen[0].cutoff < 0.5 and chosen[0].rejected <= 5
-    with pytest.raises(ValueError):
-        choose_thresholds(frame, most_strata=1)
+    many = choose_thresholds(frame, RULES, 0.05, 0.05, most_strata=1)
+    assert [tuple(r) for r in many.collect()] == [(t.stratum, t.rule, t.cutoff, t.good, t.rejected, t.log_p) for t in chosen]
+
+
+def test_many_strata_are_judged_alike(spark, monkeypatch):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 7)))
+    rows, labels = [], []
+    for i in range(2400):
+        good = i % 4 > 0
+        words = [word() for _ in range(30)] + ([] if good else ["###"] * 12)
+        rows.append((i, " ".join(words), "abcdef"[i % 6] if i % 5 else None))
+        labels.append((i, int(good)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    known = spark.createDataFrame(labels, "doc_id long, quality int")
+    few = multiset(map(tuple, judge(docs, known, risk=0.3).collect()))
+    kept = multiset(map(tuple, keep_good(docs, known, risk=0.3).collect()))
+    assert any("symbols" in r for r in few) and len(kept) < len(rows)
+    monkeypatch.setattr(quality, "MOST_STRATA", 2)
+    assert multiset(map(tuple, judge(docs, known, risk=0.3).select(*judge(docs, known).columns).collect())) == few
+    assert multiset(map(tuple, keep_good(docs, known, risk=0.3).collect())) == kept
 
 
 def test_the_bound_holds_on_average(spark):
     """With true false-rejection rates just above the risk, a cutoff is certified at most as often as `error` says."""
-    import random
-
     rng = random.Random(1)
     wrong = sum(certified([sum(rng.random() < 0.03 for _ in range(400))], 400, 0.03, 0.05) for _ in range(400))
     assert wrong / 400 <= 0.08
