@@ -10,13 +10,19 @@ from __future__ import annotations
 
 import json
 import math
+import time
 import uuid
+from collections.abc import Callable
 from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Attempts at a commit, and seconds for which a folder that no version names is left alone.
+RETRIES, GRACE = 20, 86_400.0
+
+
 class Conflict(RuntimeError):
     """Another writer has committed this version."""
 
@@ -111,13 +117,30 @@ class ShardStore:
         found = {r["shard"]: r["count"] for r in count.collect()}
         return {p: found.get(n, 0) for p, n in names.items()}
 
+    def _change(self, edit: Callable[[Manifest], tuple[tuple[Shard, ...], tuple[str, ...]] | None]) -> Manifest | None:
+        """Commit what an edit makes of the latest version; if another writer is first, of the next one.  An edit that
+        gives None gives up."""
+        for _ in range(RETRIES):
+            base = self.manifest()
+            if (made := edit(base)) is None:
+                return None
+            try:
+                return self.commit(base, *made)
+            except Conflict:
+                continue
+        raise Conflict("too many commits at once")
+
     def append(self, frame: DataFrame) -> Manifest:
-        """Add the rows as one new shard; an empty frame adds an empty shard (which holds the schema)."""
+        """Add the rows as one new shard; an empty frame adds an empty shard (which holds the schema).  Other writers'
+        commits meanwhile are no matter; if the rows can't be written or committed, nothing is left of them."""
         path = f"{self.root}/data/{uuid.uuid4().hex}"
-        frame.write.parquet(path)
-        base = self.manifest()
-        shard = Shard(path, self._bytes(path), self._rows([path])[path], base.version + 1)
-        return self.commit(base, (*base.shards, shard))
+        try:
+            frame.write.parquet(path)
+            size, rows = self._bytes(path), self._rows([path])[path]
+            return self._change(lambda base: ((*base.shards, Shard(path, size, rows, base.version + 1)), ()))
+        except Exception:
+            self._fs.delete(self._path(path), True)
+            raise
 
     def append_arrivals(self, frame: DataFrame, arrival: str) -> list[Manifest]:
         """Add rows as one shard for each value of a column (which is not kept), in its order: one job writes them
@@ -136,8 +159,8 @@ class ShardStore:
         self._fs.delete(self._path(batch), True)
         rows, out = self._rows(list(moved)), []
         for path in moved:
-            base = self.manifest()
-            out.append(self.commit(base, (*base.shards, Shard(path, self._bytes(path), rows[path], base.version + 1))))
+            size = self._bytes(path)
+            out.append(self._change(lambda base, path=path, size=size: ((*base.shards, Shard(path, size, rows[path], base.version + 1)), ())))
         return out
 
     def plan(self, manifest: Manifest) -> list[Shard]:
@@ -156,49 +179,74 @@ class ShardStore:
         # As many tasks as files are wanted, if the scan has them; where it has fewer, files are closed by their rows.
         source.coalesce(count).write.option("maxRecordsPerFile", max(1, math.ceil(1.2 * rows / count))).parquet(path)
         gone = {s.path for s in run}
-        shard = Shard(path, self._bytes(path), rows, manifest.version + 1)
-        return self.commit(manifest, (*(s for s in manifest.shards if s.path not in gone), shard), tuple(sorted(gone)))
+        size = self._bytes(path)
+
+        def replaced(base: Manifest) -> tuple[tuple[Shard, ...], tuple[str, ...]] | None:
+            if not gone <= {s.path for s in base.shards}:
+                return None  # another writer has merged some of them
+            return (*(s for s in base.shards if s.path not in gone), Shard(path, size, rows, base.version + 1)), tuple(sorted(gone))
+
+        new = self._change(replaced)
+        if new is None:
+            self._fs.delete(self._path(path), True)
+        return new or self.manifest()
 
     def compact(self) -> Manifest:
-        """Merge until no tier is full; each merge is a version, and loses a race to another writer at most once."""
+        """Merge until no tier is full; each merge is a version.  Shards that others append meanwhile stay; a run that
+        others have merged meanwhile is given up."""
         now = self.manifest()
         while run := self.plan(now):
-            try:
-                now = self.merge(now, run)
-            except Conflict:
-                now = self.manifest()
+            now = self.merge(now, run)
         return now
 
-    def vacuum(self, keep: int = 1) -> list[str]:
-        """Delete folders that none of the last `keep` versions names; returns them.  Older versions end to be readable."""
-        versions = self.versions()[-keep:]
-        live = {s.path.rsplit("/", 1)[-1] for v in versions for s in self.manifest(v).shards}
+    def vacuum(self, keep: int = 1, grace: float = GRACE) -> list[str]:
+        """Delete the folders that versions have dropped and none of the last `keep` versions names, and what no version
+        has ever named for `grace` seconds: younger ones may be a writer's that hasn't committed yet.  Returns them.
+
+        The manifests of older versions go too: these end to be readable.
+        """
+        before = time.time() - grace
+        found = {s.getPath().getName(): s for s in self._fs.listStatus(self._path(f"{self.root}/data"))}
+        versions = self.versions()
+        each = {v: self.manifest(v) for v in versions}
+        name = lambda path: path.rsplit("/", 1)[-1]
+        live = {name(s.path) for v in versions[-keep:] for s in each[v].shards}
+        named = {name(p) for m in each.values() for p in (*m.dropped, *(s.path for s in m.shards))}
         out = []
-        for status in self._fs.listStatus(self._path(f"{self.root}/data")):
-            if status.getPath().getName() not in live:
+        for n, status in found.items():
+            if n not in live and (n in named or status.getModificationTime() / 1000 < before):
                 self._fs.delete(status.getPath(), True)
                 out.append(status.getPath().toString())
+        for v in versions[:-keep]:
+            self._fs.delete(self._path(self._manifest_path(v)), False)
         return out
 
     def read(self, version: int | None = None) -> DataFrame:
-        """The rows of a version, with the file's shard in the column `shard`."""
+        """The rows of a version, with the file's shard in the column `shard` (or, if the table has one, `_shard`, ...)."""
         found = self.manifest(version)
         if not found.shards:
             raise ValueError("the table has no shards yet")
         rows = self.spark.read.parquet(*(s.path for s in found.shards))
-        return rows.withColumn("shard", F.element_at(F.split(F.input_file_name(), "/"), -2))
+        return rows.withColumn(_free("shard", rows.columns), F.element_at(F.split(F.input_file_name(), "/"), -2))
 
 
 def compacted(frame: DataFrame, root: str, key: str, arrivals: int = 12, **options) -> ShardStore:
     """Append the rows in `arrivals` parts by a hash of the key, compact, and delete what was merged.
 
-    Null keys, repeated rows and further columns are kept as they are; a column `__arrival` must not exist.  An empty
-    table gives one empty shard.
+    Null keys, repeated rows and further columns are kept as they are, whatever their names.  An empty table gives one
+    empty shard.
     """
     store = ShardStore(frame.sparkSession, root, **options)
-    store.append_arrivals(frame.withColumn("__arrival", F.format_string("%05d", F.pmod(F.xxhash64(F.col(f"`{key}`")), F.lit(arrivals)))), "__arrival")
+    arrival = _free("_arrival", frame.columns)
+    store.append_arrivals(frame.withColumn(arrival, F.format_string("%05d", F.pmod(F.xxhash64(F.col(f"`{key}`")), F.lit(arrivals)))), arrival)
     store.compact()
     store.vacuum()
     return store
 
 
+def _free(name: str, taken: list[str]) -> str:
+    """The name, behind as many underscores as tell it from all columns."""
+    low = {c.lower() for c in taken}
+    while name.lower() in low:
+        name = f"_{name}"
+    return name

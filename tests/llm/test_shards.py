@@ -30,6 +30,7 @@ def test_compaction(spark, tmp_path):
     gone = s.vacuum()
     assert len(gone) >= 7 and s.read().count() == 70
     assert s.compact() == now and s.vacuum() == []
+    assert s.versions() == [now.version] and s.append(spark.range(1)).version == now.version + 1
 
 
 def test_commit_is_exclusive(spark, tmp_path):
@@ -60,3 +61,54 @@ def test_odd_rows(spark, odd, empty, tmp_path):
     assert e.read().count() == 0 and e.read().drop("shard").columns == empty.columns
     with pytest.raises(ValueError):
         store(spark, tmp_path / "n").read()
+
+
+def test_vacuum_leaves_what_is_not_committed_yet(spark, tmp_path):
+    s = store(spark, tmp_path)
+    s.append(spark.range(3))
+    spark.range(5).write.parquet(f"{tmp_path}/data/inflight")
+    assert s.vacuum() == [] and spark.read.parquet(f"{tmp_path}/data/inflight").count() == 5
+    assert len(s.vacuum(grace=-60)) == 1 and s.read().count() == 3
+
+
+def test_writers_at_once(spark, tmp_path, monkeypatch):
+    """Another writer commits between an append's, or a merge's, look at the manifest and its commit."""
+    a, b = store(spark, tmp_path, fan_in=2), store(spark, tmp_path, fan_in=2)
+    plain, times = ShardStore.commit, []
+
+    def raced(self, base, shards, dropped=()):
+        if self is a and len(times) < 2:
+            times.append(1)
+            b.append(spark.range(100, 110))
+        return plain(self, base, shards, dropped)
+
+    monkeypatch.setattr(ShardStore, "commit", raced)
+    a.append(spark.range(10))
+    assert a.read().count() == 30 and len(a.manifest().shards) == 3
+    times.clear()
+    a.compact()
+    assert sum(x.rows for x in a.manifest().shards) == a.read().count() == 50
+
+
+def test_merges_at_once(spark, tmp_path, monkeypatch):
+    a, b = store(spark, tmp_path, fan_in=2), store(spark, tmp_path, fan_in=2)
+    for k in range(2):
+        a.append(spark.range(k, k + 5))
+    plain, times = ShardStore.commit, []
+
+    def raced(self, base, shards, dropped=()):
+        if self is a and not times:
+            times.append(1)
+            b.compact()
+        return plain(self, base, shards, dropped)
+
+    monkeypatch.setattr(ShardStore, "commit", raced)
+    assert a.compact().shards == b.manifest().shards and a.read().count() == 10
+    assert len(list((tmp_path / "data").iterdir())) == 3  # two old ones and b's
+
+
+def test_names_that_clash(spark, tmp_path):
+    frame = spark.range(20).selectExpr("id as doc_id", "id % 3 as shard", "id as _arrival", "id as `_shard`")
+    s = compacted(frame, f"{tmp_path}/c", "doc_id", arrivals=3)
+    got = s.read()
+    assert got.columns[-1] == "__shard" and multiset(map(tuple, got.select(frame.columns).collect())) == multiset(map(tuple, frame.collect()))
