@@ -32,6 +32,12 @@ _KEY = re.compile(r"(?<![A-Za-z0-9])(?=[0-9]*[a-f])(?=[a-f]*[0-9])(?:[0-9a-f]{64
 _SHAPED = re.compile(r"[A-Za-z0-9_+/=@][A-Za-z0-9_+/=.@-]{4,}[A-Za-z0-9_+/=]")
 #: Identifiers written in groups: digits, with or without capitals before them, or four capitals; one space between.
 _SPACED = re.compile(r"(?<![A-Za-z0-9])[A-Z]{0,4}+[0-9]{2,}+(?: (?:[A-Z]{0,4}+[0-9]++|[A-Z]{4})(?![A-Za-z0-9]))+")
+#: Numbers with a part in parentheses, and groups of hexadecimal places between colons.
+_BRACKETED = re.compile(r"(?<![A-Za-z0-9+])\([0-9]{2,5}\)[ .-]?[0-9]{2,8}(?:[ .-][0-9]{2,8}){0,4}(?![A-Za-z0-9])")
+_COLONS = re.compile(r"(?<![A-Za-z0-9:])[0-9A-Fa-f]{0,4}+(?::[0-9A-Fa-f]{0,4}+){3,7}(?![A-Za-z0-9:])")
+#: Addresses with their marks spelled out in brackets.
+_SPOKEN_AT = re.compile(r" ?[\[({] ?at ?[\])}] ?", re.I)
+_SPOKEN_DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:(?:\.| ?[\[({] ?dot ?[\])}] ?)[A-Za-z0-9-]++)+", re.I)
 _ITEM = re.compile(r"[^\W\d_]+|\d+|[^\w\s]|_")
 #: Characters of context looked at on either side.
 CONTEXT = 48
@@ -80,7 +86,9 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 def shaped(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """(start, kind or -1, end) of seeds of secrets and of other identifier-shaped tokens off the taken spans.
 
-    All keys of a token are seeds, and what is left of it on either side may be shaped like an identifier too.
+    All keys of a token are seeds, and what is left of it on either side may be shaped like an identifier too.  Other
+    shapes: groups with single spaces, numbers with a part in parentheses, groups between colons, and addresses whose
+    marks are spelled out in brackets, as name [at] site (dot) org.
     """
     out = []
     busy = sorted((a, b) for a, _, b in taken)
@@ -116,6 +124,25 @@ def shaped(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int,
             k += 1
         if b - a - m[0].count(" ") >= 6 and free(a, b, k):
             out.append((a, -1, b))
+    for pattern in (_BRACKETED, _COLONS) if "(" in text or ":" in text else ():
+        k = 0
+        for m in pattern.finditer(text):
+            a, b = m.span()
+            while k < len(busy) and busy[k][1] <= a:
+                k += 1
+            if any(c.isdigit() for c in m[0]) and free(a, b, k):
+                out.append((a, -1, b))
+    last = k = 0
+    for m in _SPOKEN_AT.finditer(text):
+        start = m.start()
+        while start > last and text[start - 1] in _LOCAL:
+            start -= 1
+        if start < m.start() and (domain := _SPOKEN_DOMAIN.match(text, m.end())):
+            last = domain.end()
+            while k < len(busy) and busy[k][1] <= start:
+                k += 1
+            if free(start, last, k):
+                out.append((start, -1, last))
     return out
 
 
@@ -141,7 +168,7 @@ def joined(spans: list[tuple[int, int, int]]) -> str:
 _SPAN = pa.struct([("s", pa.int64()), ("k", pa.int32()), ("e", pa.int64())])
 _MENTION = pa.struct([("s", pa.int64()), ("k", pa.int32()), ("e", pa.int64()), ("value", pa.string()), ("patterns", pa.list_(pa.string()))])
 _INTEREST = np.zeros(256, bool)
-_INTEREST[[*range(48, 58), 64]] = True
+_INTEREST[[*range(48, 58), *b"@[({"]] = True
 EMPTY_SHA = hashlib.sha256(b"").hexdigest()
 
 
@@ -201,7 +228,7 @@ def find(frame: DataFrame, text: str = "text", key: str = "doc_id", rounds: int
     Returns key, n_email, n_ip, n_card, n_phone (of the base patterns), base_sha256, spans (all of them as
     kind:start:end in code points, by start, then kind), spans_list (array of struct s, k, e; k indexes KINDS) and
     text_mark (a hash of the text).
-    Identifier-shaped tokens, and such groups with single spaces, that stand in a context of high confidence are added with that context's kind, unless
+    What is shaped like an identifier (see `shaped`) and stands in a context of high confidence is added with that context's kind, unless
     they overlap a base span.  Null and empty texts have no spans; repeated rows and equal or null keys stay rows of
     their own; an empty table gives an empty result; other columns are not read.
     """

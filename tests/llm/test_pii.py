@@ -147,3 +147,81 @@ def test_contexts_discover_spaced_groups(spark):
 def test_spaced_groups_are_linear():
     for text in ("12 " * 100_000, "AB12 CD" * 50_000, "12 ABCDE " * 50_000, ("0a" * 16 + "/") * 5_000):
         pii.shaped(text, pii.base_spans(text))
+
+
+UNSEEN = {
+    "email": ("write to", lambda rng, i: f"p{i}.{rng.randrange(99)}@mail{i % 9}.example.org", ["bo.li [at] site (dot) org", "ANN(AT)Home.example", "x_y+z { at } a-b [dot] co [dot] uk"]),
+    "ip": ("seen from host", lambda rng, i: ".".join(str(rng.randrange(256)) for _ in range(4)), ["fe80:0:0:12ab::7", "10-20-30-40", "2001:db8:85a3:0:0:8a2e:370:7334"]),
+    "card": ("paid by card", lambda rng, i: with_check_digit(f"4{rng.randrange(10**14):014d}"), ["4111-1111-1111-1112", "4000 1234 5678 9011", "5500000000000005x"]),
+    "phone": ("please call", lambda rng, i: f"+1 (0{rng.randrange(10, 99)}) 555-{1000 + i}", ["(017) 555-7713", "0175557713", "(0049) 30-1234 567"]),
+}
+
+
+def with_check_digit(body):
+    return next(body + c for c in "0123456789" if pii.luhn(body + c))
+
+
+def test_contexts_of_each_base_kind_discover_other_spellings(spark):
+    """Found: all of 12 unseen identifiers; left alone: the same ones elsewhere, and numbers of the same texts."""
+    rng = random.Random(6)
+    rows, want = [], {}
+    for context, seed, unseen in UNSEEN.values():
+        for i in range(40):
+            rows.append((len(rows), f"room {rng.randrange(10**5, 10**6)} is free so {context} {seed(rng, i)} until {rng.randrange(1990, 2030)}-05-17 or later"))
+    for kind, (context, _, unseen) in UNSEEN.items():
+        for v in unseen:
+            text = f"now {context} {v} thanks"
+            want[len(rows)] = {f"{kind}:{text.index(v)}:{text.index(v) + len(v)}"}
+            rows.append((len(rows), text))
+            rows.append((len(rows), f"the plain model {v} is out"))
+    got = {r.doc_id: {x for x in r.spans.split(",") if x} for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, spans in want.items():
+        assert spans <= got[i], (rows[i], got[i])
+        assert all(x.split(":")[0] == next(iter(spans)).split(":")[0] for x in got[i])
+    assert all(len(got[i]) == 1 for i in range(160))
+    assert all(not got[i + 1] or rows[i + 1][1].count("4000 1234") for i in want)
+
+
+def brute_scores(mentions, rounds, support, confidence):
+    """Patterns of high confidence, step by step over plain dictionaries."""
+    edges = {}
+    for value, kind, patterns in mentions:
+        for p in patterns:
+            edges[value, p] = max(kind, edges.get((value, p), -1))
+    values_of = {}
+    for (value, p), kind in edges.items():
+        values_of.setdefault(p, {})[value] = kind
+    values_of = {p: v for p, v in values_of.items() if len(v) >= support}
+    seeds = {(v, k): 1.0 for vs in values_of.values() for v, k in vs.items() if k >= 0}
+    scores, trusted = dict(seeds), {}
+    for _ in range(rounds):
+        trusted = {}
+        for p, vs in values_of.items():
+            for kind in {k for _, k in scores}:
+                mass = sum(scores.get((v, kind), 0) for v in vs)
+                if mass >= support and mass >= confidence * len(vs):
+                    trusted[p, kind] = mass / len(vs)
+        miss = {}
+        for (p, kind), c in trusted.items():
+            for v, k in values_of[p].items():
+                if k < 0:
+                    miss[v, kind] = miss.get((v, kind), 1.0) * max(1 - c, 1e-6)
+        scores = {**seeds}
+        for key, m in miss.items():
+            scores[key] = scores.get(key, 0) + 1 - m
+    return trusted
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_graph_scores_equal_brute_force(spark, seed):
+    rng = random.Random(seed)
+    mentions = []
+    for i in range(400):
+        group = rng.randrange(4)
+        kind = group if rng.random() < (0.95, 0.85, 0.5, 0.9)[group] else -1
+        mentions.append((f"v{i % 350}", kind, [f"p{group}", f"q{rng.randrange(12)}", f"r{group}{rng.randrange(3)}"]))
+    kinds = {}
+    mentions = [(v, kinds.setdefault(v, k), p) for v, k, p in mentions]  # a value is of one kind
+    got = pii.score(spark.createDataFrame(mentions, "value string, kind int, patterns array<string>"), 3, 8, 0.8)
+    want = brute_scores(mentions, 3, 8, 0.8)
+    assert {(r.pattern, r.kind): pytest.approx(r.confidence, rel=1e-9) for r in got.collect()} == want and want
