@@ -24,8 +24,11 @@ BLOCK = 8
 PASSAGE = 8
 #: Sizes of the passages that are searched, in blocks: each is a sum of two smaller ones; longer items are found by parts.
 LADDER = (1, 2, 3, 4, 6, 8, 12, 16, 24, 32, 48, 64)
-#: Items that are worked on together, and the distinct words they may have; more are worked off in several blocks.
-MOST_ITEMS, MOST_VOCABULARY = 20_000, 1 << 20
+#: Items that are worked on together, and the distinct words they may have; more are worked off in several blocks.  A
+#: worker holds some 1200 bytes for each word (and the driver as many).
+MOST_ITEMS, MOST_VOCABULARY = 20_000, 1 << 17
+#: Passages that are held against an item in the latent space at once.
+MOST_PAIRS = 1 << 16
 #: Neighbouring windows that are first held against an item as one.
 TOGETHER = 16
 #: Items whose rare words are looked up at once.
@@ -282,8 +285,9 @@ class Rare:
             blocks.append((np.concatenate([[0], np.cumsum(np.bincount(words, minlength=len(df)))]).astype(np.int32), items[order].astype(np.int32)))
         return cls(hits, blocks)
 
-    def runs(self, words: np.ndarray, row_of: np.ndarray, reach: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+    def runs(self, words: np.ndarray, row_of: np.ndarray, reach: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Row, item, and the first and last start of windows of `reach` words that hold enough rare words."""
+        out: list[tuple[np.ndarray, ...]] = []
         for begin, items in self.blocks:
             at = np.flatnonzero(begin[words + 1] > begin[words])
             counts = (begin[words[at] + 1] - begin[words[at]]).astype(np.int64)
@@ -306,7 +310,17 @@ class Rare:
             new[1:] = (i[1:] != i[:-1]) | (r[1:] != r[:-1]) | (low[1:] > high[:-1])
             first = np.flatnonzero(new)
             stop = np.append(first[1:], len(i)) - 1
-            yield from zip(r[first].tolist(), i[first].tolist(), low[first].tolist(), high[stop].tolist(), strict=True)
+            out.append((r[first], i[first].astype(np.int64), low[first], high[stop]))
+        return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.zeros(0, np.int64),) * 4
+
+
+def _spans_of(counts: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Runs of entries whose counts add up to about `most`; one with more stands alone."""
+    ends, at = np.cumsum(counts), 0
+    while at < len(counts):
+        stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, "right")))
+        yield at, stop
+        at = stop
 
 
 def _search(kind: type, words_of: list[np.ndarray], space: np.ndarray, df: np.ndarray, settings: Settings):
@@ -317,7 +331,6 @@ def _search(kind: type, words_of: list[np.ndarray], space: np.ndarray, df: np.nd
     sizes = ladder[np.minimum(np.searchsorted(ladder, -(-lengths // BLOCK)), len(ladder) - 1)]
     items = np.stack([space[w].sum(axis=0) for w in words_of])
     norms = np.linalg.norm(items, axis=1)
-    by_size = {int(n): np.flatnonzero((sizes == n) & (norms > 0)) for n in np.unique(sizes[norms > 0])}
     # Of an item beyond the longest passage only a part can be in one.
     covered = np.sqrt(np.minimum(1, sizes * BLOCK / np.maximum(lengths, 1)))
     units = (items / np.maximum(norms, 1e-12)[:, None]).astype(np.float32)
@@ -329,40 +342,50 @@ def _search(kind: type, words_of: list[np.ndarray], space: np.ndarray, df: np.nd
     # As many words as the widest window around a candidate passage.
     reach = np.maximum(sizes * BLOCK, lengths) + 2 * (lengths // 2 + BLOCK)
 
-    def candidates(words: np.ndarray, first: np.ndarray, block: np.ndarray, begin: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
-        """Rows, items, first and last words, cosines, and whether a run of neighbouring passages begins."""
+    def candidates(words: np.ndarray, first: np.ndarray, block: np.ndarray, begin: np.ndarray, runs: tuple[np.ndarray, ...]) -> Iterator[tuple[np.ndarray, ...]]:
+        """Of the passages that touch a window of an item's rare words, those close to the item in the latent space.
+
+        Rows, items, first and last words, cosines, and whether a run of neighbouring passages begins.
+        """
         row_of = np.repeat(np.arange(len(first) - 1), np.diff(begin))
         total = len(row_of)
+        usable = norms[runs[1]] > 0
+        r, item, low, high = (x[usable] for x in runs)
         held = np.flatnonzero(~weightless[words])
-        if len(held):
+        if len(held) and len(r):
             sums = {1: np.zeros((total, space.shape[1]), np.float32)}
             which, at = np.unique(block[held], return_index=True)
             sums[1][which] = np.add.reduceat(space[words[held]], at, axis=0)
             left = begin[row_of + 1] - np.arange(total)
-            for n in LADDER[: LADDER.index(max(by_size, default=1)) + 1]:
+            for n in LADDER[: LADDER.index(int(sizes[item].max())) + 1]:
                 if n > 1:
                     one, two = (n // 2, n // 2) if n & (n - 1) == 0 else (2 * n // 3, n // 3)
                     sums[n] = sums[one].copy()
                     sums[n][:-one] += np.where((left > one)[:-one, None], sums[two][one:], 0)
                     for old in [k for k in sums if k < n // 2]:
                         del sums[old]
-                if n not in by_size:
-                    continue
-                mine = by_size[n]
-                norm = np.linalg.norm(sums[n], axis=1)
-                least = 0.5 * norms[mine] * covered[mine]
-                some = np.flatnonzero(norm >= least.min())
-                cosines = (sums[n][some] @ units[mine].T) / np.maximum(norm[some], 1e-12)[:, None]
-                j, i = np.nonzero((cosines >= settings.cosine * covered[mine][None, :]) & (norm[some][:, None] >= least[None, :]))
-                if not len(j):
+                mine = np.flatnonzero(sizes[item] == n)
+                if not len(mine):
                     continue
-                b, c = some[j], cosines[j, i]
-                order = np.lexsort((b, i))
-                b, i, c = b[order], mine[i[order]], c[order]
-                new = np.ones(len(b), bool)
-                new[1:] = (b[1:] != b[:-1] + 1) | (i[1:] != i[:-1]) | (row_of[b[1:]] != row_of[b[:-1]])
-                low = first[row_of[b]] + (b - begin[row_of[b]]) * BLOCK
-                yield row_of[b], i, low, low + n * BLOCK, c, new
+                rows, which = r[mine], item[mine]
+                start = begin[rows] + np.maximum(0, low[mine] - first[rows]) // BLOCK
+                stop = np.minimum(begin[rows + 1], begin[rows] + (high[mine] + reach[which] - 1 - first[rows]) // BLOCK + 1)
+                counts = np.maximum(1, stop - start - n + 1)
+                for k, end in _spans_of(counts, MOST_PAIRS):
+                    some = counts[k:end]
+                    b = np.repeat(start[k:end] - np.cumsum(some) + some, some) + np.arange(int(some.sum()))
+                    pairs = np.unique(np.repeat(which[k:end], some) * total + b)
+                    i, b = pairs // total, pairs % total
+                    norm = np.linalg.norm(sums[n][b], axis=1)
+                    cosine = np.einsum("ij,ij->i", sums[n][b], units[i]) / np.maximum(norm, 1e-12)
+                    near = (cosine >= settings.cosine * covered[i]) & (norm >= 0.5 * norms[i] * covered[i])
+                    b, i, c = b[near], i[near], cosine[near]
+                    if not len(b):
+                        continue
+                    new = np.ones(len(b), bool)
+                    new[1:] = (b[1:] != b[:-1] + 1) | (i[1:] != i[:-1]) | (row_of[b[1:]] != row_of[b[:-1]])
+                    at = first[row_of[b]] + (b - begin[row_of[b]]) * BLOCK
+                    yield row_of[b], i, at, at + n * BLOCK, c, new
 
     def confirm(best: dict, words: np.ndarray, bounds: tuple[int, int], r: int, i: int, lows: list[int], width: int, cosines: list[float] | None) -> None:
         """Hold all windows (first words, ascending, and width) of a run against an item; the best is kept."""
@@ -392,14 +415,15 @@ def _search(kind: type, words_of: list[np.ndarray], space: np.ndarray, df: np.nd
         for batch, words, first in _groups(batches, kind):
             best: dict[tuple[int, int], tuple] = {}
             block, begin = _blocks(first, BLOCK)
-            for *found, new in candidates(words, first, block, begin):
+            windows = rare.runs(words, np.repeat(np.arange(len(first) - 1), np.diff(first)), reach)
+            for *found, new in candidates(words, first, block, begin, windows):
                 starts = [*np.flatnonzero(new).tolist(), len(new)]
                 rows, which, lows, highs, cosines = (x.tolist() for x in found)
                 for a, b in zip(starts[:-1], starts[1:], strict=True):
                     r, i = rows[a], which[a]
                     margin = int(lengths[i]) // 2 + BLOCK
                     confirm(best, words, (int(first[r]), int(first[r + 1])), r, i, [x - margin for x in lows[a:b]], highs[a] - lows[a] + 2 * margin, cosines[a:b])
-            for r, i, low, high in rare.runs(words, np.repeat(np.arange(len(first) - 1), np.diff(first)), reach):
+            for r, i, low, high in zip(*(x.tolist() for x in windows), strict=True):
                 if (r, i) not in best or best[r, i][3] < 1:
                     confirm(best, words, (int(first[r]), int(first[r + 1])), r, i, list(range(low, high + 1, BLOCK)), int(reach[i]) + BLOCK - 1, None)
             if best:
@@ -420,7 +444,8 @@ def contaminated(frame: DataFrame, benchmark: DataFrame, text: str = "text", key
 
     Texts are read once for each block of items: their words become places in the benchmark's vocabulary (words that no item has can be in
     no common subsequence).  Passages of 64 words fit the latent space; passages about as long as each item, at
-    every eighth word, are held against the item there.  Each candidate is checked; it counts if the longest common subsequence has
+    every eighth word, are held against the item there, if an index of each item's rarest words finds enough of these
+    nearby (without them no check could succeed).  Each candidate is checked; it counts if the longest common subsequence has
     `overlap` of the item's words and `answer` of its last `answer_share`.  So that nothing depends on the cosine, its
     threshold or the weights, windows of twice an item's length that hold enough of its rarest words are checked the
     same way: the result has every passage, up to that width, that the checks accept.

@@ -1,4 +1,6 @@
 import random
+import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -66,12 +68,49 @@ def test_answers_are_checked(spark, planted):
     assert [r.doc_id for r in contaminated(docs, benchmark, settings=Settings(overlap=0.5)).where("item_id = 3").collect()] == [2]
 
 
+def plain_words(text):
+    return re.findall(r"(?:[0-9a-z]|[^\x00-\x7f])+", (text or "").lower())
+
+
 def test_real_documents(spark, folder, documents):
+    """Exactly the pairs that a window of the document passes the checks for: all of those of windows of twice the item's
+    length, and none that no window of the widest kind that is looked at passes."""
     benchmark = spark.read.parquet(f"{folder}/benchmark.parquet")
     got = {(r.doc_id, r.item_id) for r in contaminated(documents, benchmark).collect()}
-    items = [(r.item_id, " ".join(r.text.lower().split())) for r in benchmark.collect()]
-    want = {(d.doc_id, i) for d in documents.collect() for i, t in items if t in " ".join((d.text or "").lower().split())}
-    assert want <= got
+    items = {r.item_id: plain_words(r.text) for r in benchmark.collect()}
+    numbers = {w: k for k, w in enumerate(sorted({w for ws in items.values() for w in ws}), 1)}
+    items = {i: [numbers[w] for w in ws] for i, ws in items.items()}
+    masks = {i: _masks(np.array(ws)) for i, ws in items.items()}
+    least, most = set(), set()
+    for d in documents.collect():
+        words = [numbers.get(w, 0) for w in plain_words(d.text)]
+        for i, item in items.items():
+            shared = sum((Counter(words) & Counter(item)).values())
+            if shared / len(item) >= 0.6 and common_subsequence(masks[i], len(item), np.array(words)) / len(item) >= 0.6:
+                if accepted(item, words, 2 * len(item)):
+                    least.add((d.doc_id, i))
+                if accepted(item, words, 4 * len(item) + 100):
+                    most.add((d.doc_id, i))
+    assert least and least <= got <= most
+    exact = {(d.doc_id, i) for d in documents.collect() for i, t in [(r.item_id, " ".join(r.text.lower().split())) for r in benchmark.collect()] if t in " ".join((d.text or "").lower().split())}
+    assert exact <= got and len(got - exact) <= len(got) / 20
+
+
+def test_very_long_items(spark):
+    """Items of more words than the largest passage of the search."""
+    rng = random.Random(12)
+    word = lambda: f"{rng.choice(['ka', 'lo', 'mi', 'ne'])}{rng.randrange(900)}"
+    items = [[word() for _ in range(n)] for n in (513, 700, 1500)]
+    docs, truth = [], set()
+    for k in range(24):
+        i, every = k % 3, (0, 9, 4, 2)[k // 3 % 4]
+        copy = [f"other{rng.randrange(999)}" if every and j % every == 0 else w for j, w in enumerate(items[i])]
+        docs.append((k, " ".join([word() for _ in range(rng.randrange(400))] + copy + [word() for _ in range(rng.randrange(400))])))
+        if every != 2:  # half of the words are too few
+            truth.add((k, i))
+    docs.append((99, " ".join(items[2][:800])))
+    got = contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string"))
+    assert {(r.doc_id, r.item_id) for r in got.collect()} == truth
 
 
 def test_odd_rows(spark, odd, empty):
