@@ -6,7 +6,6 @@ target and digest), so a repeated run over the same partitions names its records
 
 from __future__ import annotations
 
-import base64
 import hashlib
 import html
 import re
@@ -40,17 +39,29 @@ class Record:
     offset: int = field(default=0, compare=False)
 
     def get(self, name: str) -> str | None:
+        for k, v in self.headers:
+            if k == name:
+                return v
         low = name.lower()
         return next((v for k, v in self.headers if k.lower() == low), None)
 
 
+#: Two places of base 32 for each ten bits.
+_PLACES = [a + b for a in "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567" for b in "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"]
+
+
 def digest(data: bytes) -> str:
-    return "sha1:" + base64.b32encode(hashlib.sha1(data).digest()).decode()
+    mark = int.from_bytes(hashlib.sha1(data).digest())
+    return "sha1:" + "".join([_PLACES[mark >> k & 1023] for k in range(150, -1, -10)])
+
+
+_VARIANT = dict(zip("0123456789abcdef", "89ab" * 4, strict=True))
 
 
 def identifier(*parts: object) -> str:
-    mark = hashlib.sha1("\0".join(map(str, parts)).encode()).digest()[:16]
-    return f"<urn:uuid:{uuid.UUID(bytes=mark, version=5)}>"
+    """A name-based UUID (version 5) as a URN."""
+    m = hashlib.sha1("\0".join(map(str, parts)).encode()).hexdigest()
+    return f"<urn:uuid:{m[:8]}-{m[8:12]}-5{m[13:16]}-{_VARIANT[m[16]]}{m[17:20]}-{m[20:32]}>"
 
 
 def header_value(text: str) -> str:
@@ -122,12 +133,21 @@ _TITLE = re.compile(r"<title[^>]*>(.*?)(?:</title|\Z)", re.S | re.I)
 def plain_text(page: str) -> str:
     """All text that a page shows: a line for each block, white space in it as one space, no empty lines."""
     text = _TAG.sub("", _BREAK.sub("\x00", _DROPPED.sub(" ", page).replace("\x00", " ")))
-    lines = (" ".join(x.split()) for x in html.unescape(text).split("\x00"))
-    return "\n".join(x for x in lines if x)
+    return "\n".join([" ".join(words) for x in html.unescape(text).split("\x00") if (words := x.split())])
+
+
+#: Headers that derivatives have of their own, and those of the source that metadata, or records of any type, may keep.
+_OWN_HEADERS = frozenset("warc-type warc-record-id warc-date warc-target-uri content-type content-length warc-block-digest warc-payload-digest".split())
+_OF_METADATA = frozenset("warc-ip-address warc-concurrent-to".split())
+_OF_ANY = frozenset({"warc-warcinfo-id"})
 
 
 def derive(source: Record) -> tuple[Record, Record]:
-    """The metadata and the conversion record of a response; both refer to it and keep its target, date and digest."""
+    """The metadata and the conversion record of a response; both refer to it and keep its target, date and digest.
+
+    Of the response's other WARC headers, each record keeps those that its type may have, and the metadata's fields list
+    all of them (as `warc-header-...`), beside the HTTP status and headers.
+    """
     ident = source.get("WARC-Record-ID")
     head, _, body = source.block.partition(b"\r\n\r\n")
     status, *lines = head.decode("latin-1").split("\r\n")
@@ -141,13 +161,16 @@ def derive(source: Record) -> tuple[Record, Record]:
         linked += [("WARC-Target-URI", target), ("WARC-Refers-To-Target-URI", target)]
     if date := source.get("WARC-Date"):
         linked += [("WARC-Date", date), ("WARC-Refers-To-Date", date)]
+    kept = [(k, v) for k, v in source.headers if k.lower() not in _OWN_HEADERS]
+    of_metadata = [h for h in kept if h[0].lower() in _OF_METADATA]
+    of_any = [h for h in kept if h[0].lower() in _OF_ANY]
     block = text.encode()
-    fields = [("http-status", status), *((f"http-header-{k.strip().lower()}", v.strip()) for k, _, v in (x.partition(":") for x in lines)), ("source-payload-digest", payload), ("source-length", str(len(body))), ("text-digest", digest(block)), ("text-length", str(len(text)))]
+    fields = [*((f"warc-header-{k.lower()}", v) for k, v in kept), ("http-status", status), *((f"http-header-{k.strip().lower()}", v.strip()) for k, _, v in (x.partition(":") for x in lines)), ("source-payload-digest", payload), ("source-length", str(len(body))), ("text-digest", digest(block)), ("text-length", str(len(text)))]
     if title:
         fields.append(("title", header_value(" ".join(html.unescape(title[1]).split()))))
     about = "".join(f"{k}: {v}\r\n" for k, v in fields).encode()
-    metadata = Record([("WARC-Type", "metadata"), ("WARC-Record-ID", identifier("metadata", ident)), *linked, ("Content-Type", "application/warc-fields"), ("WARC-Block-Digest", digest(about))], about)
-    conversion = Record([("WARC-Type", "conversion"), ("WARC-Record-ID", identifier("conversion", ident)), *linked, ("Content-Type", "text/plain; charset=utf-8"), ("WARC-Block-Digest", digest(block)), ("WARC-Source-Payload-Digest", payload)], block)
+    metadata = Record([("WARC-Type", "metadata"), ("WARC-Record-ID", identifier("metadata", ident)), *linked, *of_metadata, *of_any, ("Content-Type", "application/warc-fields"), ("WARC-Block-Digest", digest(about))], about)
+    conversion = Record([("WARC-Type", "conversion"), ("WARC-Record-ID", identifier("conversion", ident)), *linked, *of_any, ("Content-Type", "text/plain; charset=utf-8"), ("WARC-Block-Digest", digest(block)), ("WARC-Source-Payload-Digest", payload)], block)
     return metadata, conversion
 
 

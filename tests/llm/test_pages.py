@@ -1,4 +1,5 @@
 import gzip
+import html.parser
 import io
 
 import pytest
@@ -189,6 +190,52 @@ def test_warc_round_trip():
         warc.parse(warc.serialise(source).replace(b"no</script>", b"NO</script>"))
 
 
+def test_source_headers_are_kept():
+    source = warc.response((0, 1), "http://x.com/", b"<p>a</p>")
+    more = [("WARC-IP-Address", "192.0.2.7"), ("WARC-Concurrent-To", "<urn:a>"), ("WARC-Concurrent-To", "<urn:b>"), ("WARC-Warcinfo-ID", "<urn:w>"), ("X-Crawl", "7: b")]
+    meta, text = warc.derive(warc.Record([*source.headers, *more], source.block))
+    assert [h for h in meta.headers if h in more] == more[:4] and [h for h in text.headers if h in more] == more[3:4]
+    lines = meta.block.decode().split("\r\n")
+    assert [x for x in lines if x.startswith("warc-header-")] == ["warc-header-warc-ip-address: 192.0.2.7", "warc-header-warc-concurrent-to: <urn:a>", "warc-header-warc-concurrent-to: <urn:b>", "warc-header-warc-warcinfo-id: <urn:w>", "warc-header-x-crawl: 7: b"]
+
+
+class Shown(html.parser.HTMLParser):
+    """The text that a page shows, block by block."""
+
+    blocks = frozenset("address article aside blockquote body br center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html li main nav ol option p pre section select table tbody td th thead tr ul".split())
+    hidden = frozenset("script style noscript template iframe title head".split())
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.parts, self.depth = [], 0
+
+    def handle_starttag(self, tag, attrs):
+        self.depth += tag in self.hidden
+        self.parts += ["\0"] * (tag in self.blocks) + [" "] * (tag in self.hidden)
+
+    def handle_endtag(self, tag):
+        self.depth -= tag in self.hidden
+        self.parts += ["\0"] * (tag in self.blocks)
+
+    def handle_data(self, data):
+        if not self.depth:
+            self.parts.append(data)
+
+
+def test_derivatives_of_real_pages(spark, pages):
+    """Every page's text, and the digests of text and payload, against a parser of the standard library."""
+    got = {r.page_id: r for r in warc.derivatives(pages).collect()}
+    assert len(got) == pages.count()
+    for r in pages.collect():
+        parser = Shown()
+        parser.feed(r.html)
+        parser.close()
+        text = "\n".join(x for x in (" ".join(b.split()) for b in "".join(parser.parts).split("\0")) if x)
+        found = got[r.page_id]
+        assert found.n_chars == len(text) and found.text_digest == warc.digest(text.encode()), r.page_id
+        assert found.linked and found.url == r.url and found.payload_digest == warc.digest(r.html.encode())
+
+
 def test_derivatives(spark):
     rows = [(1, "http://a/", "<p>one</p>"), (1, "http://a/", "<p>one</p>"), (2, None, None), (None, "x", ""), (5, "u", "<p>" + "long " * 60_000)]
     frame = spark.createDataFrame([(*r, "q") for r in rows], "page_id long, url string, html string, key string")
