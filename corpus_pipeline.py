@@ -14,51 +14,53 @@ from lodestack.llm.pii import find, redact
 from lodestack.llm.quality import keep_good
 from lodestack.llm.registry import table, tokenizer_path
 from lodestack.llm.sentencepiece_codec import encode_decode
-from lodestack.llm.store import BATCHES, fresh_path, small_side
+from lodestack.llm.store import fresh_path, small_side
 
 #: Several stages decide by rules that are learnt, or hash, so SQL can't express them; tests hold them against brute force.
 ORACLE_SQL = None
 
 
-#: Texts pass through Python in most stages, and executors keep what earlier stages have touched: so small batches, and
-#: fewer remembered runs than `encode_decode` has by itself.
-REMEMBERED = 150_000
-
-
-def _prepared(spark: SparkSession) -> None:
-    for k, v in BATCHES.items():
-        spark.conf.set(k, v)
+#: Runs that a worker of the last stage remembers: fewer than `encode_decode` has by itself, as executors keep some of
+#: what earlier stages have touched.
+REMEMBERED = 250_000
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and the certified cutoffs of their language."""
-    _prepared(spark)
+    """Documents that pass the base rules and the certified cutoffs of their language.
+
+    Null and empty texts fail the base rules and go; repeated rows are judged apart; a table without rows stays so.
+    """
     return keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, the one with the smallest id."""
-    _prepared(spark)
+    """One document of each group of near-duplicates, the one with the smallest id.
+
+    Rows of one id are one document: they stay or go together.  Rows without an id, and texts without words, stay.
+    """
     gone = small_side(near_duplicates(docs).where("not kept").select("doc_id"), "gone")
     return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without passages of the benchmark."""
-    _prepared(spark)
-    gone = small_side(contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct(), "gone")
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    """Documents without passages of the benchmark.
+
+    Rows are told by id and text, so rows of one id, or without one, are judged apart; null and empty texts stay.
+    """
+    keyed = docs.select(F.struct("doc_id", F.xxhash64("text").alias("mark")).alias("row"), "text")
+    found = contaminated(keyed, table(spark, sf_dir, "benchmark"), key="row").select("row.doc_id", "row.mark").distinct()
+    gone = small_side(found.toDF("__doc_id", "__mark"), "gone")
+    same = docs.doc_id.eqNullSafe(gone["__doc_id"]) & (F.xxhash64(docs.text) == gone["__mark"])
+    return docs.join(gone, same, "left_anti").select(docs.columns)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with personal data replaced by its kind; n_chars follows the text."""
-    _prepared(spark)
+    """All documents, with personal data replaced by its kind; n_chars follows the text, and stays where that is null."""
     return redact(docs, find(docs)).withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars")))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of the ids and of what they decode to."""
-    _prepared(spark)
+    """Token counts and digests of the ids and of what they decode to, for each row; null texts have no ids."""
     return encode_decode(docs, tokenizer_path("piece_bpe_32k.model"), remembered=REMEMBERED, forget=True)
 
 
