@@ -3,8 +3,9 @@ import pytest
 
 import corpus_pipeline
 from lodestack.llm import registry
-from lodestack.llm.store import materialise, shared_root
+from lodestack.llm.store import BATCHES, materialise, shared_root
 
+from .conftest import multiset
 from .test_near_dedup import brute as near
 from .test_quality import brute as quality
 
@@ -32,6 +33,40 @@ def test_stages_against_brute_force(spark, folder, documents):
     assert out.count() == len(left) and set(out.columns) >= {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256"}
 
 
+def test_stages_on_odd_rows(spark, folder, odd):
+    """Null and repeated ids, null, empty and very long texts, and further columns with clashing names."""
+    item = spark.read.parquet(f"{folder}/benchmark.parquet").first().text
+    more = [(None, f"{item} and more words follow here", "en"), (8, f"see {item}", "en"), (None, "one two mail me@x.co", None), (8, None, None)]
+    extra = spark.createDataFrame([r + ("s", 1, 1, 2, 3, "k", 4, "q", True, "z", 0) for r in more], odd.schema)
+    docs = odd.unionByName(extra)
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+
+    def done(frame):
+        out = materialise(frame, "stage")
+        return out, multiset((r.doc_id, r.text) for r in out.collect())
+
+    good = [(i, t) for i, t in rows if (q := quality(t))[0] >= 20 and 100 * q[4] <= 30 * q[0]]
+    out, got = done(corpus_pipeline.quality(spark, docs, folder))
+    assert got == multiset(good) and out.columns == docs.columns
+    kept = {(i, k) for i, _, _, k in near(rows)}
+    out, got = done(corpus_pipeline.near_dedup(spark, docs, folder))
+    assert got == multiset((i, t) for i, t in rows if i is None or (i, True) in kept) and out.columns == docs.columns
+    out, got = done(corpus_pipeline.decontaminate(spark, docs, folder))
+    assert got == multiset((i, t) for i, t in rows if item not in (t or "")) and out.columns == docs.columns
+    out, got = done(corpus_pipeline.personal_data(spark, docs, folder))
+    assert out.columns == docs.columns and len(got) == len(rows)
+    assert multiset([(None, "one two mail <EMAIL>")])[0] in got and sum(t is None for _, t in rows) == sum("None)" in g for g in got)
+    assert corpus_pipeline.tokens(spark, docs, folder).count() == len(rows)
+
+
+def test_stages_on_nothing(spark, folder, empty):
+    before = {k: spark.conf.get(k) for k in BATCHES}
+    for _, stage in corpus_pipeline.STAGES:
+        out = stage(spark, empty, folder)
+        assert out.count() == 0 and (stage is corpus_pipeline.tokens or out.columns == empty.columns)
+    assert {k: spark.conf.get(k) for k in BATCHES} == before
+
+
 def test_run(spark, folder):
     out = corpus_pipeline.run(spark, folder)
     assert out.count() > 0 and len(corpus_pipeline.STAGES) == 5 and corpus_pipeline.ORACLE_SQL is None
