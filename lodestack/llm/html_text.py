@@ -27,7 +27,9 @@ _RAW = {name: re.compile(rf"</{name}(?=[\s/>]|\Z)", re.I) for name in ("script",
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 #: Elements that stand beside the article, wherever they are.
-BESIDE = frozenset("nav footer aside form script style noscript iframe svg math button select template dialog menu head textarea object canvas audio video".split())
+BESIDE = frozenset("nav footer aside script style noscript iframe svg math button select label legend template dialog menu head textarea object canvas audio video".split())
+#: Such that may also stand around the whole page, as servers write them: told like those with a sign.
+DOUBTFUL = frozenset({"form"})
 #: Words in a class, id or role that tell the same.
 SIGNS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored sponsors promo promotion cookie cookies consent gdpr notice notices newsletter subscribe subscription sidebar sidebars menu menus nav navbar navigation breadcrumb breadcrumbs footer share sharing social related recommended recommendations comment comments commentlist disqus reply replies respond popup modal overlay widget widgets toolbar pagination pager login signup search skip alert masthead topbar hidden complementary contentinfo".split()
@@ -48,7 +50,7 @@ SHARE = 0.8
 MOST, ENOUGH = 0.5, 0.2
 #: How often a page is read again to look inside a kept one.
 ROUNDS = 8
-#: Elements nested deeper become siblings, as in browsers.
+#: Elements nested deeper are taken as parts of the last one above, or left out with their text if they stand beside.
 MOST_DEPTH = 512
 
 
@@ -116,6 +118,9 @@ def _parse(page: str, kept: set[int]) -> tuple[Node, list[tuple[Node, str]], dic
     doubted: dict[int, Node] = {}
     articles: list[Node] = []
     tags = 0
+    #: Open elements below MOST_DEPTH, and how many of them are left out.
+    deep: list[tuple[str, bool]] = []
+    muted = 0
     root = Node("", "", None, False)
     stack = [root]
     blocks: list[tuple[Node, str]] = []
@@ -141,6 +146,8 @@ def _parse(page: str, kept: set[int]) -> tuple[Node, list[tuple[Node, str]], dic
     def add(raw: str) -> None:
         nonlocal owner, linked
         top = stack[-1]
+        if muted:
+            return
         if top.beside or not raw:
             doubt = top.doubt
             if doubt is not None and (n := len(raw.strip())):
@@ -186,6 +193,18 @@ def _parse(page: str, kept: set[int]) -> tuple[Node, list[tuple[Node, str]], dic
         if not name:
             continue
         name = name.lower()
+        if (m["end"] or m["end2"]) and deep:
+            k = next((k for k in range(len(deep) - 1, -1, -1) if deep[k][0] == name), None)
+            if name not in INLINE:
+                flush()
+            if k is not None:
+                muted -= sum(x for _, x in deep[k:])
+                del deep[k:]
+                continue
+            if not any(x.name == name for x in stack):
+                continue
+            deep.clear()
+            muted = 0
         if m["end"] or m["end2"]:
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k].name == name:
@@ -209,6 +228,13 @@ def _parse(page: str, kept: set[int]) -> tuple[Node, list[tuple[Node, str]], dic
             gt = page.find(">", at)
             at = gt + 1 if gt >= 0 else n
             continue
+        if len(stack) >= MOST_DEPTH:
+            if name not in INLINE:
+                flush()
+            words, hidden = _attributes(attributes)[1:] if attributes else ([], False)
+            deep.append((name, hidden or name in BESIDE or not SIGNS.isdisjoint(words)))
+            muted += deep[-1][1]
+            continue
         if name in _NO_P:
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k].name == "p":
@@ -239,9 +265,7 @@ def _parse(page: str, kept: set[int]) -> tuple[Node, list[tuple[Node, str]], dic
         if not aside and name in ("header", "article", "main"):
             within = any(x.name in ("article", "main") for x in stack)
             aside = name == "header" and not within
-        if len(stack) >= MOST_DEPTH:
-            close(len(stack) - 1)
-            top = stack[-1]
+        sign |= name in DOUBTFUL
         tags += 1
         node = Node(name, key, top, aside or top.beside)
         if not aside:

@@ -135,6 +135,28 @@ def test_signs_never_discard_most_of_a_page(page, text):
     assert h.main_text(page, None) == text
 
 
+WRAPPERS = [
+    "<div class='content no-sidebar'>{0}</div>", "<div class='container has-sidebar'>{0}</div>", "<div class='post comments-enabled'>{0}</div>", "<div class='wrapper right-sidebar'>{0}</div>", "<div class='search-results'>{0}</div>",
+    "<form action=x>{0}</form>", "<form id=f class=search><div class='main-nav-layout'><div class=page>{0}</div></div></form>", "<div class='overlay'><div class='content no-comments'><div id='ads-free'>{0}</div></div></div>", "<main class='menu-open'>{0}</main>",
+]
+BESIDES = "<nav><a href=a>home</a></nav>{0}<aside><p>side</p></aside><div class=sidebar><p>links and more</p></div><form class=login><label>Name</label><input><button>Go</button> sign in</form><div class=comments><p>reader says bla</p></div>"
+
+
+@pytest.mark.parametrize("wrapper", WRAPPERS)
+@pytest.mark.parametrize("all_inside", [False, True])
+def test_wrappers_with_signs(wrapper, all_inside):
+    """Signs and forms around the article, or around all that the page shows."""
+    article = f"<h1>T</h1><p>{BODY.strip()}</p><p>{BODY.strip()}</p>"
+    page = wrapper.format(BESIDES.format(article)) if all_inside else BESIDES.format(wrapper.format(article))
+    assert h.main_text(f"<body>{page}<footer>end</footer></body>", None) == "\n\n".join(["T", BODY.strip(), BODY.strip()])
+
+
+def test_beside_the_article_far_below():
+    deep = "<div>" * 700
+    page = f"{deep}<p>{BODY}</p><nav>menu <b>more</b></nav><div class=sidebar><p>side</p></div><p>end</p>{'</div>' * 700}"
+    assert h.main_text(page, None) == f"{BODY.strip()}\n\nend"
+
+
 def test_long_and_deep_pages():
     assert h.main_text("<div>" * 3000 + "deep" + "</div>" * 3000, None) == "deep"
     assert h.main_text("<div class='a b'>" * 100_000 + "deep", None) == "deep"
