@@ -13,7 +13,8 @@ from pyspark.sql import types as T
 
 from lodestack.functions.transforms import apply
 from lodestack.plans import predicates as P
-from lodestack.sources.catalog import FILE_PATH, ROW_ID, Catalog, CatalogError, DataFile, Manifest
+from lodestack.sources.catalog import FILE_PATH, ROW_ID, Catalog, CatalogError, Manifest
+from lodestack.sources.filelist import LINE, DataFile, FileList, from_text, key_texts
 from lodestack.sources.scratch import scratch
 
 NON_ACID = "partitions are dropped without regard to rows that others are adding to them: allow_non_acid must say that this is meant"
@@ -53,17 +54,16 @@ class Table:
     def _kept_files(self, manifest: Manifest, where: P.Node | None) -> list[DataFile]:
         """Files whose partition keys don't rule the condition out."""
         if where is None or not manifest.partitioning:
-            return manifest.files
-        kinds = {t.column: manifest.field(t.column).kind for t in manifest.partitioning}
-        types = [f.dataType for f in manifest.key_fields()]
+            return list(manifest.files)
+        sources = [(t, manifest.field(t.column).kind) for t in manifest.partitioning]
 
-        def keys(file: DataFile) -> dict[str, list]:
-            out: dict[str, list] = {}
-            for t, kind, raw in zip(manifest.partitioning, types, file.keys, strict=True):
-                out.setdefault(t.column, []).append(((t, kinds[t.column]), from_text(raw, kind)))
-            return out
+        def possible(keys: list) -> bool:
+            held: dict[str, list] = {}
+            for (t, kind), key in zip(sources, keys, strict=True):
+                held.setdefault(t.column, []).append(((t, kind), key))
+            return P.possible(where, held)
 
-        return [f for f in manifest.files if P.possible(where, keys(f))]
+        return manifest.files.chosen([f.dataType for f in manifest.key_fields()], possible)
 
     def _read(self, manifest: Manifest, files: Sequence[DataFile], hidden: bool = False) -> DataFrame:
         """Rows of files under the columns' present names; hidden: also the row id and the file."""
@@ -101,9 +101,12 @@ class Table:
         if not manifest.partitioning:
             raise CatalogError(f"{self.name} is not partitioned")
         fields = [T.StructField(t.key, f.dataType) for t, f in zip(manifest.partitioning, manifest.key_fields(), strict=True)]
-        schema = T.StructType([*fields, T.StructField("rows", T.LongType()), T.StructField("bytes", T.LongType())])
-        rows = [(*(from_text(k, f.dataType) for k, f in zip(x.keys, fields, strict=True)), x.rows, x.bytes) for x in manifest.files]
-        return self.spark.createDataFrame(rows, schema).groupBy(*(f.name for f in fields)).agg(F.sum("rows").alias("est_row_count"), F.sum("bytes").alias("est_byte_size"))
+        loose = [(x.path, x.bytes, x.rows, x.keys) for x in manifest.files.loose]
+        each = self.spark.createDataFrame(loose, LINE)
+        if manifest.files.parts:  # long lists are read by Spark
+            each = each.unionByName(self.spark.read.schema(LINE).json([f"{self.catalog.root}/manifests/{p.name}" for p in manifest.files.parts]))
+        rows = each.select(*(F.col("keys")[i].cast(f.dataType).alias(f.name) for i, f in enumerate(fields)), "rows", "bytes")
+        return rows.groupBy(*(f.name for f in fields)).agg(F.sum("rows").alias("est_row_count"), F.sum("bytes").alias("est_byte_size"))
 
     def list_partitions(self, keys: Mapping[str, Any]) -> DataFrame:
         """Partitions whose keys equal the given ones; a null equals a null."""
@@ -173,14 +176,13 @@ class Table:
         _, ident, manifest = self.catalog.manifest(self.name)
         files = self._write(manifest, self._numbered(manifest, self._shaped(manifest, rows)), exact)
         manifest.next_row_id = self._taken(manifest, files)
-        manifest.files = [*manifest.files, *files]
+        manifest.files.add(files)
         self.catalog.replace_manifest(self.name, ident, manifest)
         return sum(f.rows for f in files)
 
     def _rewrite(self, manifest: Manifest, ident: str, touched: Sequence[DataFile], rows: DataFrame) -> None:
         files = self._write(manifest, rows)
-        gone = {f.path for f in touched}
-        manifest.files = [*(f for f in manifest.files if f.path not in gone), *files]
+        manifest.files.replace({f.path for f in touched}, files)
         self.catalog.replace_manifest(self.name, ident, manifest)
 
     def _touched(self, manifest: Manifest, condition: Column, node: P.Node | None) -> list[DataFile]:
@@ -194,7 +196,7 @@ class Table:
         _, ident, manifest = self.catalog.manifest(self.name)
         if where is None:
             gone = manifest.rows
-            manifest.files = []
+            manifest.files = FileList()
             self.catalog.replace_manifest(self.name, ident, manifest)
             return gone
         touched = self._touched(manifest, F.expr(where), P.read(where))
@@ -217,7 +219,7 @@ class Table:
             manifest.field(c)
             if c in manifest.sorted_by or any(t.column == c for t in manifest.partitioning):
                 raise CatalogError(f"{c} is a sort or partition column and can't be updated")
-        touched = manifest.files if where is None else self._touched(manifest, F.expr(where), P.read(where))
+        touched = list(manifest.files) if where is None else self._touched(manifest, F.expr(where), P.read(where))
         if not touched:
             return
         rows = self._read(manifest, touched, hidden=True).drop(_FILE)
@@ -292,8 +294,7 @@ class Table:
             added = self._write(manifest, self._numbered(manifest, rest.select(*new)))
             manifest.next_row_id = self._taken(manifest, added)
             files += added
-        lost = {f.path for f in touched}
-        manifest.files = [*(f for f in manifest.files if f.path not in lost), *files]
+        manifest.files.replace({f.path for f in touched}, files)
         self.catalog.replace_manifest(self.name, ident, manifest)
 
     def drop_partitions(self, where: str, allow_non_acid: bool = False) -> int:
@@ -308,9 +309,9 @@ class Table:
         used = P.columns(node)
         if used is None or not used <= set(names):
             raise CatalogError(f"the condition must be on partition keys only: {', '.join(names)}")
-        gone = [r[:-2] for r in self.partitions().where(where).collect()]
+        gone = {tuple(r[:-2]) for r in self.partitions().where(where).collect()}
         kinds = [f.dataType for f in manifest.key_fields()]
-        manifest.files = [f for f in manifest.files if tuple(from_text(k, t) for k, t in zip(f.keys, kinds, strict=True)) not in gone]
+        manifest.files.replace({f.path for f in manifest.files if tuple(from_text(k, t) for k, t in zip(f.keys, kinds, strict=True)) in gone})
         self.catalog.replace_manifest(self.name, ident, manifest)
         return len(gone)
 
@@ -370,49 +371,3 @@ def _file_below(folder: str) -> Column:
     """The path of a row's file from a folder; Spark gives paths as URIs, so they are decoded."""
     decoded = F.url_decode(F.replace(F.input_file_name(), F.lit("+"), F.lit("%2B")))
     return F.element_at(F.split(decoded, f"/\\Q{folder.rpartition('/')[2]}\\E/", 2), 2)
-
-
-_NULL = "__HIVE_DEFAULT_PARTITION__"
-
-
-def key_texts(path: str, count: int) -> list[str | None]:
-    """The keys of a file, as its folders spell them."""
-    from urllib.parse import unquote
-
-    parts = path.split("/")[:count]
-    texts = [unquote(p.partition("=")[2]) for p in parts]
-    return [None if t == _NULL else t for t in texts]
-
-
-def key_text(value: Any) -> str | None:
-    """A key as Spark spells it in the name of a folder."""
-    import datetime as dt
-
-    if value is None or isinstance(value, str):
-        return value
-    if isinstance(value, bool):
-        return str(value).lower()
-    if isinstance(value, dt.datetime):
-        return str(value.replace(tzinfo=None)).rstrip("0").rstrip(".") if value.microsecond else str(value.replace(tzinfo=None))
-    return str(value)
-
-
-def from_text(text: str | None, kind: T.DataType) -> Any:
-    import datetime as dt
-    from decimal import Decimal
-
-    if text is None:
-        return None
-    if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        return int(text)
-    if isinstance(kind, T.BooleanType):
-        return text == "true"
-    if isinstance(kind, T.DateType):
-        return dt.date.fromisoformat(text)
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return dt.datetime.fromisoformat(text)
-    if isinstance(kind, T.DecimalType):
-        return Decimal(text)
-    if isinstance(kind, (T.FloatType, T.DoubleType)):
-        return float(text)
-    return text

@@ -19,7 +19,8 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSource
 
 from lodestack.operators.security import Policies, Policy
 from lodestack.plans import predicates as P
-from lodestack.sources.catalog import RETRIES, ROW_ID, Conflict, DataFile, Manifest, NoSuchTable, split_name
+from lodestack.sources.catalog import RETRIES, ROW_ID, Conflict, Manifest, NoSuchTable, split_name
+from lodestack.sources.filelist import DataFile, FileList, key_text
 
 _OPERATORS = {EqualTo: "=", GreaterThan: ">", GreaterThanOrEqual: ">=", LessThan: "<", LessThanOrEqual: "<="}
 
@@ -32,22 +33,35 @@ def _files(root: str):
     return fs.LocalFileSystem(), root.removeprefix("file:")
 
 
-def load(root: str, table: str) -> tuple[str, Manifest]:
-    """The data folder and manifest of a table, read without a session."""
-    from pyarrow import fs
+def load(root: str, table: str, at: tuple[str, str] | None = None) -> tuple[tuple[str, str], str, Manifest]:
+    """What tells a table's version, its data folder and its manifest, read without a session.
 
+    at: the version, as given before; else it is the latest.
+    """
     files, base = _files(root.rstrip("/"))
 
     def read(path: str) -> dict:
+        return json.loads(text(path))
+
+    def text(path: str) -> str:
         with files.open_input_stream(path) as stream:
-            return json.loads(stream.read())
+            return stream.read().decode()
+
+    if at is None:
+        at = latest(files, base, table, read)
+    table_id, manifest = at
+    return at, f"{base}/data/{table_id}", Manifest.of_json(read(f"{base}/manifests/{manifest}.json"), lambda part: text(f"{base}/manifests/{part}"))
+
+
+def latest(files, base: str, table: str, read) -> tuple[str, str]:
+    from pyarrow import fs
 
     states = [i.path for i in files.get_file_info(fs.FileSelector(f"{base}/states")) if re.fullmatch(r"\d{12}\.json", i.base_name)]
     key = "/".join(split_name(table))
     found = read(max(states))["tables"].get(key) if states else None
     if found is None:
         raise NoSuchTable(f"no table {table}")
-    return f"{base}/data/{found['id']}", Manifest.of_json(read(f"{base}/manifests/{found['manifest']}.json"))
+    return found["id"], found["manifest"]
 
 
 class TableSource(DataSource):
@@ -64,7 +78,7 @@ class TableSource(DataSource):
         return self.options["table"]
 
     def schema(self) -> T.StructType:
-        return load(self.options["root"], self._table())[1].schema()
+        return load(self.options["root"], self._table())[2].schema()
 
     def reader(self, schema: T.StructType) -> TableReader:
         return TableReader(self.options["root"], self._table(), schema)
@@ -92,7 +106,8 @@ class TableWriter(DataSourceArrowWriter):
         if "://" in root:
             raise ValueError("writing by option needs a mounted folder; use lodestack.sources.datasource.append")
         self.root, self.table = root.rstrip("/").removeprefix("file:"), table
-        self.folder, self.manifest = load(root, table)
+        _, self.folder, self.manifest = load(root, table)
+        self.manifest.files = FileList()  # tasks don't need it, and the commit reads it anew
         known = [f.name for f in self.manifest.fields]
         unknown = [n for n in schema.names if n not in known]
         if unknown:
@@ -108,7 +123,6 @@ class TableWriter(DataSourceArrowWriter):
         from pyspark.sql.pandas.types import to_arrow_schema
 
         from lodestack.functions.transforms import apply_value
-        from lodestack.operators.table import key_text
 
         m, context = self.manifest, TaskContext.get()
         task = context.partitionId()
@@ -159,10 +173,11 @@ class TableWriter(DataSourceArrowWriter):
             if entry is None or self.folder != f"{self.root}/data/{entry['id']}":
                 raise NoSuchTable(f"no table {self.table}")
             with open(f"{self.root}/manifests/{entry['manifest']}.json") as stream:
-                now = Manifest.of_json(json.load(stream))
+                now = Manifest.of_json(json.load(stream), self._part)
             if [f.to_json() for f in now.fields] != [f.to_json() for f in self.manifest.fields] or now.next_row_id != self.manifest.next_row_id:
                 raise Conflict(f"{self.table} was changed meanwhile")
-            now.files += [DataFile(*f) for f in files]
+            now.files.add(DataFile(*f) for f in files)
+            now.files.store([f.dataType for f in now.key_fields()], self._put_part)
             now.next_row_id = max(now.next_row_id, most + 1)
             name = uuid.uuid4().hex
             with open(f"{self.root}/manifests/{name}.json", "x") as stream:
@@ -180,6 +195,14 @@ class TableWriter(DataSourceArrowWriter):
                 os.unlink(staged)
         raise Conflict("too many commits at once")
 
+    def _part(self, name: str) -> str:
+        with open(f"{self.root}/manifests/{name}") as stream:
+            return stream.read()
+
+    def _put_part(self, name: str, text: str) -> None:
+        with open(f"{self.root}/manifests/{name}", "x") as stream:
+            stream.write(text)
+
     def abort(self, messages: list) -> None:
         import shutil
 
@@ -188,8 +211,9 @@ class TableWriter(DataSourceArrowWriter):
 
 class TableReader(DataSourceReader):
     def __init__(self, root: str, table: str, schema: T.StructType):
-        self.root, self.wanted = root, schema
-        self.folder, self.manifest = load(root, table)
+        self.root, self.table, self.wanted = root, table, schema
+        self.version, self.folder, manifest = load(root, table)
+        self.physical = {f.name: f.physical for f in manifest.fields}
         self.nodes: list[P.Node] = []
 
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:  # noqa: N802
@@ -212,17 +236,17 @@ class TableReader(DataSourceReader):
         return P.IsNull(column, isinstance(f, IsNotNull)) if isinstance(f, (IsNull, IsNotNull)) else None
 
     def partitions(self) -> list[InputPartition]:
-        from lodestack.operators.table import from_text
-
-        types = [f.dataType for f in self.manifest.key_fields()]
+        # Read again, so that the list of files doesn't travel with the reader.
+        manifest = load(self.root, self.table, self.version)[2]
+        types = [f.dataType for f in manifest.key_fields()]
 
         def possible(keys: list) -> bool:
             held: dict[str, list] = {}
-            for t, kind, raw in zip(self.manifest.partitioning, types, keys, strict=True):
-                held.setdefault(t.column, []).append(((t, self.manifest.field(t.column).kind), from_text(raw, kind)))
+            for t, key in zip(manifest.partitioning, keys, strict=True):
+                held.setdefault(t.column, []).append(((t, manifest.field(t.column).kind), key))
             return all(P.possible(n, held) for n in self.nodes)
 
-        kept = [f.path for f in self.manifest.files if possible(f.keys)]
+        kept = [f.path for f in manifest.files.chosen(types, possible)]
         return [InputPartition(p) for p in kept] or [InputPartition(None)]
 
     def read(self, partition: InputPartition) -> Iterator:
@@ -233,7 +257,7 @@ class TableReader(DataSourceReader):
         if partition.value is None:
             return
         files, _ = _files(self.root)
-        physical = {f.name: f.physical for f in self.manifest.fields}
+        physical = self.physical
         target = to_arrow_schema(self.wanted)
         source = pq.ParquetFile(files.open_input_file(f"{self.folder}/{partition.value}"))
         there = set(source.schema_arrow.names)

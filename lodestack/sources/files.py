@@ -26,18 +26,24 @@ class Files:
             return []
         return [s.getPath().getName() for s in self.fs.listStatus(self.path(folder))]
 
-    def read_json(self, file: str) -> dict:
+    def read_text(self, file: str) -> str:
         stream = self.fs.open(self.path(file))
         try:
-            return json.loads(self.jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+            return self.jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
         finally:
             stream.close()
 
-    def write_json(self, file: str, value: dict) -> None:
+    def read_json(self, file: str) -> dict:
+        return json.loads(self.read_text(file))
+
+    def write_text(self, file: str, text: str) -> None:
         stream = self.fs.create(self.path(file), False)
-        stream.write(bytearray(json.dumps(value, default=str).encode()))
+        stream.write(bytearray(text.encode()))
         stream.close()
 
+    def write_json(self, file: str, value: dict) -> None:
+        self.write_text(file, json.dumps(value, default=str))
+
     def put_new(self, file: str, value: dict) -> None:
         """Write a file whole, in one rename; raises AlreadyThere if there is one."""
         folder = file.rpartition("/")[0]
