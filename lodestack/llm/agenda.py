@@ -16,7 +16,7 @@ NEVER = np.int32(1 << 30)
 #: Segments up to so many characters are merged in matrices of that width; longer ones elsewhere.
 WIDTHS = (8, 16, 32)
 #: Cells of a matrix worked on at once.
-MOST_CELLS = 1 << 20
+MOST_CELLS = 1 << 17
 
 
 class PairTable:

@@ -284,23 +284,23 @@ def codec(path: str, remembered: int = REMEMBERED_RUNS) -> Codec:
     return _codecs[path, remembered]
 
 
-#: Texts given to the library at once, by characters.
-CHECKED_CHARS = 1 << 21
+#: Characters of the texts that are worked on at once.
+AT_ONCE = 1 << 21
 
 
-def _groups(texts: list[str]) -> Iterator[list[str]]:
+def _groups(texts: list[str], most: int = AT_ONCE) -> Iterator[list[str]]:
     held, size = [], 0
     for text in texts:
         held.append(text)
         size += len(text)
-        if size >= CHECKED_CHARS:
+        if size >= most:
             yield held
             held, size = [], 0
     if held:
         yield held
 
 
-def encode_decode(frame: DataFrame, model_path: str, text: str = "text", key: str = "doc_id", keep_ids: bool = False, keep_text: bool = False, check: str = "runs", remembered: int = REMEMBERED_RUNS, forget: bool = False) -> DataFrame:
+def encode_decode(frame: DataFrame, model_path: str, text: str = "text", key: str = "doc_id", keep_ids: bool = False, keep_text: bool = False, check: str = "runs", remembered: int = REMEMBERED_RUNS, forget: bool = False, at_once: int = AT_ONCE) -> DataFrame:
     """Encode each whole text, decode the ids, and return digests of both.
 
     Returns key, n_tokens, ids_sha256, decoded_sha256; with keep_ids also `ids` (array of int), with keep_text
@@ -310,7 +310,8 @@ def encode_decode(frame: DataFrame, model_path: str, text: str = "text", key: st
     check: "runs" holds every run of characters between two marks that a batch has merged anew against the
     library (runs are independent, so that covers the texts); "texts" also encodes each whole text by the library.
     A difference ends the job with `Mismatch`.  remembered: runs that a worker remembers, which trades memory for time;
-    forget: drop them when a partition ends, so that idle workers are small.
+    forget: drop them when a partition ends, so that idle workers are small; at_once: characters of the texts that are
+    worked on together.
     """
     kind = dict(frame.dtypes)[key]
     schema = f"`{key}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep_ids + ", decoded string" * keep_text
@@ -319,7 +320,7 @@ def encode_decode(frame: DataFrame, model_path: str, text: str = "text", key: st
         own = codec(model_path, remembered)
         for batch in batches:
             rows: dict[str, list] = {"n": [], "ids": [], "text": [], "kept": [], "decoded": []}
-            for group in _groups([x or "" for x in batch.column(1).to_pylist()]):
+            for group in _groups([x or "" for x in batch.column(1).to_pylist()], at_once):
                 every, begin = own.encode_many(group)
                 bounds = begin.tolist()
                 rows["n"] += np.diff(begin).tolist()
