@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -123,11 +124,11 @@ def log_binomial_tail(k: int, n: int, p: float) -> float:
 
 
 def certified(rejected: Sequence[int], good: int, risk: float, error: float) -> int:
-    """How many cutoffs, from the first, are certified.
+    """How many steps, from the first, are certified, by how many good documents each rejects.
 
-    Fixed-sequence testing: the hypothesis "this cutoff rejects more than `risk` of the good documents" is dismissed
+    Fixed-sequence testing: the hypothesis "this step rejects more than `risk` of the good documents" is dismissed
     while its exact binomial p-value is at most `error`; the first that isn't ends the sequence, so no further
-    correction for the number of cutoffs is needed.
+    correction for the number of steps is needed.
     """
     for i, k in enumerate(rejected):
         if log_binomial_tail(k, good, risk) > math.log(error):
@@ -137,6 +138,8 @@ def certified(rejected: Sequence[int], good: int, risk: float, error: float) ->
 
 @dataclass(frozen=True)
 class Threshold:
+    """A certified cutoff.  good, rejected, log_p: of the stratum's certification, of all its cutoffs together."""
+
     stratum: str
     rule: str
     cutoff: float
@@ -145,49 +148,95 @@ class Threshold:
     log_p: float
 
 
-def choose_thresholds(labelled: DataFrame, rules: Sequence[Rule] = RULES, risk: float = 0.05, error: float = 0.05, most_strata: int | None = None) -> list[Threshold] | DataFrame:
-    """Cutoffs for each stratum from labelled holdouts (columns stratum, quality and the counts).
+#: Bad documents that a step must add, on the tuning half, for each good one that it loses.
+WORTH = 5
 
-    Good documents (quality 1) are the holdout; bad ones (quality 0) only say whether a rule is of use: of the
-    certified cutoffs of a rule the strictest is taken, if it rejects a bad document at all.  A stratum's risk is
-    shared equally by the rules, so that all together reject at most `risk` of its good documents, and `error` is
-    shared by all rules and strata (Bonferroni): with a probability of 1 - error every stratum keeps its bound.
-    Of up to `most_strata` strata (MOST_STRATA) the counts come to the driver, one row each; for more the same is done in Spark, and
-    the result is a table (stratum, rule, cutoff, good, rejected, log_p), written.
-    """
-    over = [F.sum(F.when(F.expr(f"quality = {q}") & (F.expr(r.measure) > c), 1).otherwise(0)).alias(f"{r.name}_{i}_{q}") for r in rules for i, c in enumerate(r.cutoffs) for q in (0, 1)]
-    counts = materialise(labelled.groupBy("stratum").agg(F.sum((F.col("quality") == 1).cast("long")).alias("good"), *over), "strata")
-    strata = counts.count()
-    share = error / max(1, len(rules) * strata)
-    if strata <= (MOST_STRATA if most_strata is None else most_strata):
-        out = _certified_rows(counts.orderBy("stratum").collect(), rules, risk, share)
-        drop(counts)
-        return out
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = _certified_rows(batch.to_pylist(), rules, risk, share)
-            columns = zip(*((t.stratum, t.rule, t.cutoff, t.good, t.rejected, t.log_p) for t in found), strict=True) if found else ([] for _ in range(6))
-            yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, (pa.string(), pa.string(), pa.float64(), pa.int64(), pa.int64(), pa.float64()), strict=True)], ["stratum", "rule", "cutoff", "good", "rejected", "log_p"])
+def tuned_path(good: Sequence[Sequence[int]], bad: Sequence[Sequence[int]]) -> list[tuple[int, int]]:
+    """Steps (rule, cutoff) from lenient to strict, by how many good and bad documents each rule's cutoffs reject.
 
-    out = materialise(counts.mapInArrow(work, "stratum string, rule string, cutoff double, good long, rejected long, log_p double"), "thresholds")
-    drop(counts)
-    return out
+    Each step takes one rule to a stricter cutoff: the one that adds most bad documents for the good ones that it loses,
+    of equals the most lenient of the first rule.  The path ends where no step adds WORTH bad documents for each good one.
+    """
+    at, path = [-1] * len(good), []
+    while True:
+        best = None
+        for r, (g, b) in enumerate(zip(good, bad, strict=True)):
+            now = at[r]
+            for i in range(now + 1, len(g)):
+                more = b[i] - (b[now] if now >= 0 else 0)
+                lost = g[i] - (g[now] if now >= 0 else 0)
+                if more > 0 and more >= WORTH * lost and (best is None or more / (lost + 0.5) > best[0]):
+                    best = more / (lost + 0.5), r, i
+        if best is None:
+            return path
+        path.append(best[1:])
+        at[best[1]] = best[2]
+
+
+def choose_thresholds(labelled: DataFrame, rules: Sequence[Rule] = RULES, risk: float = 0.05, error: float = 0.05, most_strata: int | None = None, split: Column | None = None) -> list[Threshold] | DataFrame:
+    """Cutoffs for each stratum from labelled documents (columns stratum, quality and the counts).
+
+    The labelled documents are split in two by `split` (a long; without it by their order).  On the tuning half, good
+    (quality 1) and bad ones (quality 0) say in which order cutoffs are worth tightening (see `tuned_path`).  On the
+    holdout half, good ones test the steps of that path in order: the hypothesis "all cutoffs up to here together reject
+    more than `risk` of the good documents" is dismissed while its exact binomial p-value is small enough; the first step
+    that fails ends the path.  As the path is fixed before the holdout is seen, that needs no correction for its length;
+    `error` is shared by all strata (Bonferroni): with a probability of 1 - error every stratum keeps its bound.
+
+    Work in Spark gives a row for each stratum.  Of up to `most_strata` strata (MOST_STRATA) the cutoffs come to the
+    driver; for more the result is a table (stratum, rule, cutoff, good, rejected, log_p), written.
+    """
+    halves = F.pmod(split if split is not None else F.monotonically_increasing_id(), F.lit(2))
+    known = labelled.withColumn("__half", halves).withColumn("__measures", F.array(*(F.expr(r.measure).cast("double") for r in rules)))
+    known = materialise(known.select("stratum", "quality", "__half", "__measures"), "labelled")
+    over = [F.count_if((F.col("quality") == q) & (F.col("__measures")[k] > c)).alias(f"n{k}_{i}_{q}") for k, r in enumerate(rules) for i, c in enumerate(r.cutoffs) for q in (0, 1)]
+    tuning = known.where("__half = 0").groupBy("stratum").agg(*over)
+    strata = max(1, known.where("__half = 1 and quality = 1").select("stratum").distinct().count())
+
+    def paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, steps = [], []
+            for row in batch.to_pylist():
+                counts = [[[row[f"n{k}_{i}_{q}"] for i in range(len(r.cutoffs))] for k, r in enumerate(rules)] for q in (0, 1)]
+                names.append(row["stratum"])
+                steps.append([{"rule": k, "cutoff": rules[k].cutoffs[i]} for k, i in tuned_path(counts[1], counts[0])])
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(steps, pa.list_(pa.struct([("rule", pa.int32()), ("cutoff", pa.float64())])))], ["stratum", "steps"])
+
+    path = small_side(tuning.mapInArrow(paths, "stratum string, steps array<struct<rule:int,cutoff:double>>"), "paths")
+    held = known.where("__half = 1 and quality = 1").join(path, "stratum")
+    # The first step that rejects a document; 0: none does.
+    first = F.array_position(F.transform("steps", lambda s: F.col("__measures")[s["rule"]] > s["cutoff"]), F.lit(True))
+    each = held.groupBy("stratum", first.alias("step")).agg(F.count("*").alias("n"), F.first("steps").alias("steps"))
+    tested = each.groupBy("stratum").agg(F.sum("n").alias("good"), F.first("steps").alias("steps"), F.collect_list(F.struct("step", "n")).alias("found"))
+
+    def certify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = [(t.stratum, t.rule, t.cutoff, t.good, t.rejected, t.log_p) for row in batch.to_pylist() for t in _certified_cutoffs(row, rules, risk, error / strata)]
+            kinds = (pa.string(), pa.string(), pa.float64(), pa.int64(), pa.int64(), pa.float64())
+            columns = list(zip(*out, strict=True)) if out else [()] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)], ["stratum", "rule", "cutoff", "good", "rejected", "log_p"])
+
+    out = materialise(tested.mapInArrow(certify, "stratum string, rule string, cutoff double, good long, rejected long, log_p double"), "thresholds")
+    drop(known, path)
+    if strata > (MOST_STRATA if most_strata is None else most_strata):
+        return out
+    order = {r.name: k for k, r in enumerate(rules)}
+    chosen = sorted((Threshold(*row) for row in out.collect()), key=lambda t: (t.stratum, order[t.rule]))
+    drop(out)
+    return chosen
 
 
-def _certified_rows(rows: Sequence, rules: Sequence[Rule], risk: float, share: float) -> list[Threshold]:
-    """The thresholds of strata, from their counts."""
-    out = []
-    for row in rows:
-        for rule in rules:
-            rejected = [row[f"{rule.name}_{i}_1"] for i in range(len(rule.cutoffs))]
-            passed = certified(rejected, row["good"], risk / len(rules), share) if row["good"] else 0
-            # Of equally useful cutoffs the most lenient: a stricter one that finds no more bad documents gains nothing.
-            useful = [row[f"{rule.name}_{i}_0"] for i in range(passed)]
-            if passed and useful[-1]:
-                i = useful.index(useful[-1])
-                out.append(Threshold(row["stratum"], rule.name, rule.cutoffs[i], row["good"], rejected[i], log_binomial_tail(rejected[i], row["good"], risk / len(rules))))
-    return out
+def _certified_cutoffs(row: dict, rules: Sequence[Rule], risk: float, error: float) -> list[Threshold]:
+    """A stratum's cutoffs: the strictest of each rule on the certified part of its path."""
+    new = {x["step"]: x["n"] for x in row["found"]}
+    rejected = list(accumulate(new.get(k, 0) for k in range(1, len(row["steps"]) + 1)))
+    passed = certified(rejected, row["good"], risk, error)
+    cutoffs = {s["rule"]: s["cutoff"] for s in row["steps"][:passed]}
+    if not passed:
+        return []
+    log_p = log_binomial_tail(rejected[passed - 1], row["good"], risk)
+    return [Threshold(row["stratum"], rules[k].name, c, row["good"], rejected[passed - 1], log_p) for k, c in sorted(cutoffs.items())]
 
 
 def with_verdict(rows: DataFrame, thresholds: list[Threshold] | DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
@@ -215,7 +264,7 @@ def _stratified(frame: DataFrame, stratum: str) -> DataFrame:
 def _thresholds(counted: DataFrame, labels: DataFrame, key: str, rules: Sequence[Rule], risk: float, error: float) -> list[Threshold] | DataFrame:
     """counted: __key, stratum and the counts of every document."""
     known = labels.where("quality in (0, 1)").select(F.col(f"`{key}`").alias("__key"), "quality")
-    return choose_thresholds(counted.where(~base_failed()).join(known, "__key"), rules, risk, error)
+    return choose_thresholds(counted.where(~base_failed()).join(known, "__key"), rules, risk, error, split=F.xxhash64("__key"))
 
 
 def keep_good(frame: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", stratum: str = "lang", risk: float = 0.05, error: float = 0.05, rules: Sequence[Rule] = RULES) -> DataFrame:

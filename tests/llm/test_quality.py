@@ -3,6 +3,7 @@ import re
 from collections import Counter
 from math import comb
 
+import numpy as np
 import pytest
 
 from lodestack.llm import quality
@@ -98,3 +99,38 @@ def test_the_bound_holds_on_average(spark):
     rng = random.Random(1)
     wrong = sum(certified([sum(rng.random() < 0.03 for _ in range(400))], 400, 0.03, 0.05) for _ in range(400))
     assert wrong / 400 <= 0.08
+
+
+def test_paths_tighten_what_is_worth_it():
+    """Cutoff 1 of the first rule catches ten for nothing, cutoff 3 of the second 21 for four; no others are worth it."""
+    good, bad = [[0, 0, 1, 5], [0, 3, 4, 4]], [[5, 10, 12, 30], [0, 1, 20, 21]]
+    assert quality.tuned_path(good, bad) == [(0, 1), (1, 3)]
+    assert quality.tuned_path([[0, 0]], [[0, 0]]) == [] and quality.tuned_path([], []) == []
+
+
+def test_the_bound_holds_for_all_rules_together():
+    """Good documents have two uniform measures, so cutoffs a and b reject 1 - ab of them; bad ones lie higher.  However
+    the tuning half bends the path, at most `error` of the runs certify cutoffs that reject more than the risk."""
+    rng = np.random.default_rng(5)
+    cutoffs, risk, error, runs, wrong, used = np.linspace(0.995, 0.8, 14), 0.05, 0.1, 300, 0, 0
+    for _ in range(runs):
+        good, bad, held = rng.random((300, 2)), rng.random((300, 2)) ** 0.12, rng.random((300, 2))
+        counts = [[[int((x[:, r] > c).sum()) for c in cutoffs] for r in range(2)] for x in (good, bad)]
+        path = quality.tuned_path(*counts)
+        at, rejected, limits = [1.0, 1.0], [], []
+        for r, i in path:
+            at[r] = cutoffs[i]
+            limits.append(1 - at[0] * at[1])
+            rejected.append(int(((held[:, 0] > at[0]) | (held[:, 1] > at[1])).sum()))
+        passed = certified(rejected, 300, risk, error)
+        used += passed > 0
+        wrong += passed > 0 and limits[passed - 1] > risk
+    assert used > runs / 2 and wrong / runs <= error + 0.03
+
+
+def test_small_strata_certify_nothing_and_larger_ones_do(spark):
+    """With a risk of 5 % and two strata some 72 good documents of the holdout half are enough, 40 are not."""
+    rows = [(s, 1, 100, 500, 0, 0, 0, 10, 1, 0) for s, n in (("a", 240), ("b", 60)) for _ in range(n)]
+    rows += [(s, 0, 100, 500, 90, 0, 0, 10, 1, 0) for s in "ab" for _ in range(40)]
+    frame = spark.createDataFrame(rows, "stratum string, quality int, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long, n_upper long, n_marked long")
+    assert [(t.stratum, t.rule) for t in choose_thresholds(frame.coalesce(1))] == [("a", "symbols")]
