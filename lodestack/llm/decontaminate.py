@@ -34,7 +34,7 @@ TOGETHER = 16
 #: Items whose rare words are looked up at once.
 LOOKED_UP = 64
 #: Words worked on at once.
-MOST_WORDS = 1 << 17
+MOST_WORDS = 1 << 16
 
 
 @dataclass(frozen=True)
