@@ -53,6 +53,9 @@ class Table:
 
     def _kept_files(self, manifest: Manifest, where: P.Node | None) -> list[DataFile]:
         """Files whose partition keys don't rule the condition out."""
+        ids = _row_ids(where)
+        if ids is not None:
+            return manifest.files.with_ids(ids)
         if where is None or not manifest.partitioning:
             return list(manifest.files)
         sources = [(t, manifest.field(t.column).kind) for t in manifest.partitioning]
@@ -78,13 +81,21 @@ class Table:
             chosen += [F.col(ROW_ID), _file_below(folder).alias(_FILE)]
         return rows.select(*chosen)
 
-    def scan(self, where: str | P.Node | None = None, columns: Sequence[str] | None = None, hidden: bool = False) -> DataFrame:
+    def scan(self, where: str | P.Node | None = None, columns: Sequence[str] | None = None, hidden: bool = False, only_ordered: bool = False) -> DataFrame:
         """Rows that meet a condition.  Its parts on partition columns choose the files; Spark prunes columns and row
-        groups below that."""
+        groups below that.
+
+        only_ordered: only the parts on sort columns reach the Parquet reader, where the others would cost more than
+        they leave out; these are evaluated above it.
+        """
         _, _, manifest = self.catalog.manifest(self.name)
         node = P.read(where) if isinstance(where, str) else where
         rows = self._read(manifest, self._kept_files(manifest, node), hidden)
-        if node is not None:
+        if node is not None and only_ordered:
+            for part in P.conjuncts(node):
+                met = P.to_column(part)
+                rows = rows.where(met if P.single_column(part) in manifest.sorted_by else F.coalesce(met, F.lit(False)))
+        elif node is not None:
             rows = rows.where(where if isinstance(where, str) else P.to_column(node))
         return rows.select(*columns) if columns else rows
 
@@ -147,9 +158,9 @@ class Table:
         sizes = self.catalog.files.sizes(target)
         if not sizes:
             return []
-        counts = self.spark.read.schema(T.StructType([T.StructField(ROW_ID, T.LongType())])).option("recursiveFileLookup", True).parquet(target).groupBy(_file_below(target).alias("f")).count().collect()
-        found = {r["f"]: r["count"] for r in counts}
-        return [DataFile(f"{write}/{path}", size, found[path], key_texts(path, len(keys))) for path, size in sorted(sizes.items()) if found.get(path)]
+        counts = self.spark.read.schema(T.StructType([T.StructField(ROW_ID, T.LongType())])).option("recursiveFileLookup", True).parquet(target).groupBy(_file_below(target).alias("f")).agg(F.count("*").alias("n"), F.min(ROW_ID).alias("low"), F.max(ROW_ID).alias("high")).collect()
+        found = {r["f"]: r for r in counts}
+        return [DataFile(f"{write}/{path}", size, r["n"], key_texts(path, len(keys)), r["low"], r["high"]) for path, size in sorted(sizes.items()) if (r := found.get(path))]
 
     def _numbered(self, manifest: Manifest, rows: DataFrame) -> DataFrame:
         """Rows with new row ids: unique, ascending in each task's rows, none ever used before."""
@@ -157,11 +168,7 @@ class Table:
 
     def _taken(self, manifest: Manifest, files: Sequence[DataFile]) -> int:
         """The first row id beyond those of new files."""
-        if not files:
-            return manifest.next_row_id
-        folder = self.catalog.folder(self.name)
-        most = self.spark.read.schema(f"{ROW_ID} long").parquet(*(f"{folder}/{f.path}" for f in files)).agg(F.max(ROW_ID)).first()[0]
-        return max(manifest.next_row_id, most + 1)
+        return max([manifest.next_row_id, *(f.high + 1 for f in files)])
 
     def _shaped(self, manifest: Manifest, rows: DataFrame) -> DataFrame:
         """Rows with the table's columns: missing ones are null, unknown ones an error."""
@@ -351,7 +358,7 @@ class Table:
     def get(self, row_id: int, columns: Sequence[str] | None = None) -> DataFrame:
         """The row of an id (none or one); without columns all of them and the id."""
         _, _, manifest = self.catalog.manifest(self.name)
-        rows = self._read(manifest, manifest.files, hidden=True).where(F.col(ROW_ID) == F.lit(int(row_id)))
+        rows = self._read(manifest, manifest.files.with_ids([int(row_id)]), hidden=True).where(F.col(ROW_ID) == F.lit(int(row_id)))
         return rows.select(*columns) if columns else rows.drop(_FILE)
 
     def row_ids(self) -> DataFrame:
@@ -367,6 +374,16 @@ def create_as(catalog: Catalog, name: str, rows: DataFrame, partitioning: Sequen
     return out
 
 
+def _row_ids(where: P.Node | None) -> list[int] | None:
+    """The row ids that a condition asks for, or None if it doesn't name them."""
+    for part in P.conjuncts(where) if where is not None else ():
+        if isinstance(part, P.In) and part.column == ROW_ID and not part.negated:
+            return [v for v in part.values if v is not None]
+        if isinstance(part, P.Compare) and part.column == ROW_ID and part.operator == "=":
+            return [part.value]
+    return None
+
+
 def _file_below(folder: str) -> Column:
     """The path of a row's file from a folder; Spark gives paths as URIs, so they are decoded."""
     decoded = F.url_decode(F.replace(F.input_file_name(), F.lit("+"), F.lit("%2B")))

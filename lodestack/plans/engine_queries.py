@@ -115,6 +115,12 @@ def partition_prune_bucket(spark, folder):
     return _orders(spark, folder).scan("o_custkey in (7, 11, 500)", ["o_orderkey"])
 
 
+@query("scan_only_ordered", "select o_orderkey, o_custkey from orders where o_orderkey between 100 and 5000 and o_totalprice > 200000 and o_orderstatus in ('F', 'O')")
+def scan_only_ordered(spark, folder):
+    """Only conditions on the sort key reach the reader."""
+    return _orders(spark, folder).scan("o_orderkey between 100 and 5000 and o_totalprice > 200000 and o_orderstatus in ('F', 'O')", only_ordered=True).select("o_orderkey", "o_custkey")
+
+
 @query("drop_partitions", "select o_orderkey from orders where year(o_orderdate) <> 1996")
 def drop_partitions(spark, folder):
     t = _orders(spark, folder)

@@ -179,6 +179,7 @@ sql("win_conversation", "select conv_id, turn, role, lag(role) over (partition b
 # Sorting
 
 sql("sort_nulls", "select c_custkey, cast(k as string) as k, row_number() over (partition by c_mktsegment order by k asc nulls first, c_custkey) as at_first, row_number() over (partition by c_mktsegment order by k desc nulls last, c_custkey) as at_last from (select nullif(c_nationkey, 4) as k, c_custkey, c_mktsegment from customer) t")
+sql("limit_rows", "select count(*) as n, count(distinct l_orderkey) <= 500 as few from (select l_orderkey from lineitem limit 500) t")
 sql("topk", "select o_orderkey, o_totalprice from orders order by o_totalprice desc, o_orderkey limit 10")
 sql("offset_limit", "select p_partkey from part order by p_retailprice, p_partkey limit 15 offset 30")
 

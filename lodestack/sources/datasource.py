@@ -103,9 +103,10 @@ class TableWriter(DataSourceArrowWriter):
     """
 
     def __init__(self, root: str, table: str, schema: T.StructType):
-        if "://" in root:
+        plain = re.sub(r"^file:(//(?=/))?", "", root.rstrip("/"))
+        if "://" in plain:
             raise ValueError("writing by option needs a mounted folder; use lodestack.sources.datasource.append")
-        self.root, self.table = root.rstrip("/").removeprefix("file:"), table
+        self.root, self.table = plain, table
         _, self.folder, self.manifest = load(root, table)
         self.manifest.files = FileList()  # tasks don't need it, and the commit reads it anew
         known = [f.name for f in self.manifest.fields]
@@ -128,6 +129,7 @@ class TableWriter(DataSourceArrowWriter):
         task = context.partitionId()
         target = to_arrow_schema(m.schema())
         physical = pa.schema([*(pa.field(f.physical, target.field(f.name).type) for f in m.fields), pa.field(ROW_ID, pa.int64())])
+        # For each key: path, writer, and rows, lowest and highest row id so far.
         writers: dict[tuple, tuple[str, Any, list[int]]] = {}
         row = m.next_row_id + (task << 33)
         os.makedirs(f"{self.folder}/{self.write_id}", exist_ok=True)
@@ -145,16 +147,18 @@ class TableWriter(DataSourceArrowWriter):
             for key, places in groups.items():
                 if key not in writers:
                     path = f"{self.write_id}/part-{task:05d}-{len(writers):04d}-{uuid.uuid4().hex}.parquet"
-                    writers[key] = (path, pq.ParquetWriter(f"{self.folder}/{path}", physical), [0])
+                    writers[key] = (path, pq.ParquetWriter(f"{self.folder}/{path}", physical), [0, row, row])
                 some = rows.take(places)
                 if m.sorted_by:
                     some = some.sort_by([(m.field(c).physical, "ascending") for c in m.sorted_by])
                 writers[key][1].write_table(some)
-                writers[key][2][0] += len(places)
+                found = writers[key][2]
+                found[0] += len(places)
+                found[1], found[2] = min(found[1], row - len(batch)), row - 1
         files = []
         for key, (path, writer, count) in writers.items():
             writer.close()
-            files.append((path, os.path.getsize(f"{self.folder}/{path}"), count[0], list(key)))
+            files.append((path, os.path.getsize(f"{self.folder}/{path}"), count[0], list(key), *count[1:]))
         return Written(files, row - 1)
 
     def commit(self, messages: list) -> None:

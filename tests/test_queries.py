@@ -54,6 +54,11 @@ def test_fields_of_stored_structs_are_pruned(spark, folder):
     assert "props" not in p.split("ReadSchema")[1] and "b.value" in p.split("PushedFilters")[1]
 
 
+def test_only_conditions_on_the_sort_key_are_pushed(spark, folder):
+    pushed = plan(queries.QUERIES["scan_only_ordered"](spark, folder)).split("PushedFilters: [")[1].split("]")[0]
+    assert "GreaterThanOrEqual" in pushed and "200000" not in pushed
+
+
 def test_bucket_function_is_part_of_the_plan(spark, folder):
     assert "Python" not in plan(queries.QUERIES["fn_transforms_sql"](spark, folder))
 

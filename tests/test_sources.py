@@ -93,6 +93,10 @@ def test_write_by_option(spark, catalog):
     with pytest.raises(Conflict):
         stale.commit([datasource.Written([["x", 1, 1, [None, "0", None]]], 10**6)])
     assert t.scan().count() == 57
+    more.write.format("lodestack").options(**(options | {"root": f"file://{catalog.root}"})).mode("append").save()
+    assert t.scan().count() == 97
+    with pytest.raises(ValueError, match="mounted"):
+        datasource.TableWriter("s3://bucket/lake", "b.s.t", more.schema)
 
 
 def test_a_hot_key_is_written_by_several_tasks(spark, catalog):
