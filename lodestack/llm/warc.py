@@ -125,14 +125,21 @@ def response(number: tuple[int, int], target: str | None, body: bytes, date: str
 
 
 _DROPPED = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|iframe|title)\b.*?(?:</\1\s*>|\Z)|<head\b.*?(?:</head\s*>|(?=<body)|\Z)", re.S | re.I)
-_BREAK = re.compile(r"</?(?:address|article|aside|blockquote|body|br|center|dd|details|div|dl|dt|fieldset|figcaption|figure|footer|form|h[1-6]|header|hr|html|li|main|nav|ol|option|p|pre|section|select|table|tbody|td|th|thead|tr|ul)\b[^>]*(?:>|\Z)", re.I)
-_TAG = re.compile(r"</?[a-zA-Z][^>]*(?:>|\Z)|<[!?][^>]*(?:>|\Z)")
+#: Elements that begin and end a line.
+_BLOCKS = frozenset("address article aside blockquote body br center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html li main nav ol option p pre section select table tbody td th thead tr ul".split())
+_TAG = re.compile(r"<(?:/?([a-zA-Z][^\s/>]*)[^>]*|[!?][^>]*)(?:>|\Z)")
 _TITLE = re.compile(r"<title[^>]*>(.*?)(?:</title|\Z)", re.S | re.I)
 
 
 def plain_text(page: str) -> str:
     """All text that a page shows: a line for each block, white space in it as one space, no empty lines."""
-    text = _TAG.sub("", _BREAK.sub("\x00", _DROPPED.sub(" ", page).replace("\x00", " ")))
+    first, *rest = _TAG.split(_DROPPED.sub(" ", page).replace("\x00", " "))
+    parts = [first]
+    for name, text in zip(rest[::2], rest[1::2], strict=True):
+        if name and (name in _BLOCKS or name.lower() in _BLOCKS):
+            parts.append("\x00")
+        parts.append(text)
+    text = "".join(parts)
     return "\n".join([" ".join(words) for x in html.unescape(text).split("\x00") if (words := x.split())])
 
 
