@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestack.llm import textvec as tv
-from lodestack.llm.store import materialise, small_side, trimmed
+from lodestack.llm.store import drop, materialise, small_side, trimmed
 
 #: In the order in which spans that start together are listed; the method adds the last, and more of the others.
 KINDS = ("email", "ip", "card", "phone", "secret")
@@ -210,15 +210,19 @@ def score(mentions: DataFrame, rounds: int = 3, support: int = 8, confidence: fl
     edges = materialise(mentions.select("value", "kind", F.explode("patterns").alias("pattern")).groupBy("value", "pattern").agg(F.max("kind").alias("kind")), "edges")
     total = edges.groupBy("pattern").agg(F.count("*").alias("total")).where(f"total >= {support}")
     graph = materialise(edges.join(total, "pattern"), "graph")
+    drop(edges)
     scores = graph.where("kind >= 0").select("value", "kind", F.lit(1.0).alias("score")).distinct()
-    trusted = None
+    trusted = last = None
     for _ in range(rounds):
         known = graph.drop("kind").join(scores, "value")
         trusted = known.groupBy("pattern", "kind").agg(F.sum("score").alias("mass"), F.first("total").alias("total")).where(f"mass >= {support} and mass >= {confidence} * total")
-        trusted = materialise(trusted.select("pattern", "kind", (F.col("mass") / F.col("total")).alias("confidence")), "patterns")
+        before, trusted = last, materialise(trusted.select("pattern", "kind", (F.col("mass") / F.col("total")).alias("confidence")), "patterns")
+        drop(*([before] if before is not None else []))
+        last = trusted
         found = graph.where("kind < 0").drop("kind").join(trusted, "pattern").groupBy("value", "kind")
         found = found.agg((1 - F.exp(F.sum(F.log(F.greatest(1 - F.col("confidence"), F.lit(1e-6)))))).alias("score"))
         scores = graph.where("kind >= 0").select("value", "kind", F.lit(1.0).alias("score")).distinct().unionByName(found)
+    drop(graph)
     return trusted
 
 

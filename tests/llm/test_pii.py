@@ -225,3 +225,36 @@ def test_graph_scores_equal_brute_force(spark, seed):
     got = pii.score(spark.createDataFrame(mentions, "value string, kind int, patterns array<string>"), 3, 8, 0.8)
     want = brute_scores(mentions, 3, 8, 0.8)
     assert {(r.pattern, r.kind): pytest.approx(r.confidence, rel=1e-9) for r in got.collect()} == want and want
+
+
+def brute_spans(texts, rounds=3, support=8, confidence=0.8):
+    """All spans of each text, with the graph of patterns and values in plain dictionaries."""
+    found = [(t, pii.base_spans(t)) for t in texts]
+    every = [[(s, k, e, t[s:e], pii.patterns(t, s, e)) for s, k, e in [*base, *pii.shaped(t, base)]] for t, base in found]
+    trusted = brute_scores([(v, k, p) for m in every for _, k, _, v, p in m], rounds, support, confidence)
+    out = []
+    for mentions in every:
+        spans = []
+        for s, k, e, _, patterns in mentions:
+            if k < 0:
+                best = max(((c, -kind) for p in patterns for (q, kind), c in trusted.items() if q == p), default=None)
+                if best is None:
+                    continue
+                k = -best[1]
+            spans.append((s, k, e))
+        out.append(pii.joined(sorted(spans)))
+    return out
+
+
+@pytest.mark.parametrize("table", ["documents", "odd", "contexts"])
+def test_all_spans_against_brute_force(request, spark, table):
+    if table == "contexts":
+        rng = random.Random(3)
+        rows = [(i, f"a key = {rng.randrange(16**40):040x} and reach me at +1 (0{rng.randrange(10, 99)}) 555-{1000 + i} ok") for i in range(30)]
+        rows += [(100 + i, f"a key = {rng.randrange(10**9)}Z{i} and reach me at X{rng.randrange(10**7)}-{i} ok, code 12 34 {rng.randrange(100, 999)}") for i in range(10)]
+        frame = spark.createDataFrame(rows, "doc_id long, text string")
+    else:
+        frame = request.getfixturevalue(table)
+    rows = [(r.doc_id, r.text or "") for r in frame.collect()]
+    want = multiset((i, s) for (i, _), s in zip(rows, brute_spans([t for _, t in rows]), strict=True))
+    assert multiset((r.doc_id, r.spans) for r in pii.find(frame).collect()) == want
