@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestack.llm import textvec as tv
-from lodestack.llm.store import materialise, trimmed
+from lodestack.llm.store import drop, materialise, trimmed
 
 _WORD = np.zeros(256, bool)
 _WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
@@ -454,22 +454,29 @@ def contaminated(frame: DataFrame, benchmark: DataFrame, text: str = "text", key
     kinds, item_kind = dict(frame.dtypes), dict(benchmark.dtypes)[item_key]
     schema = f"`{key}` {kinds[key]}, `{item_key}` {item_kind}, start_word long, end_word long, cosine double, overlap double, answer double"
 
-    def found(items: Items) -> DataFrame:
+    def found(items: Items) -> tuple[DataFrame, DataFrame]:
+        """The passages of some items, and the table that they are found in."""
         work, kind = _placed(items.vocabulary)
         placed = materialise(frame.select(F.col(f"`{key}`").alias("key"), F.lower(F.col(f"`{text}`").cast("string")).alias("text")).mapInArrow(trimmed(work), f"row long, key {kinds[key]}, words binary"), "placed")
         space, df = latent_space(placed, kind, len(items.vocabulary), settings)
         rows = placed.mapInArrow(trimmed(_search(kind, items.words, space, df, settings)), f"row long, key {kinds[key]}, item long, start long, end long, cosine double, overlap double, answer double")
         names = spark.createDataFrame([(i, v) for i, v in enumerate(items.ids)], f"item long, item_id {item_kind}")
-        return rows.join(F.broadcast(names), "item").select(F.col("key").alias(key), F.col("item_id").alias(item_key), F.col("start").alias("start_word"), F.col("end").alias("end_word"), "cosine", "overlap", "answer")
+        return rows.join(F.broadcast(names), "item").select(F.col("key").alias(key), F.col("item_id").alias(item_key), F.col("start").alias("start_word"), F.col("end").alias("end_word"), "cosine", "overlap", "answer"), placed
+
+    def written(items: Items) -> DataFrame:
+        rows, placed = found(items)
+        out = materialise(rows, "found")
+        drop(placed)
+        return out
 
     blocks = Items.blocks(benchmark, item_text, item_key)
     first, second = next(blocks, None), next(blocks, None)
     if first is None:
         return spark.createDataFrame([], schema)
     if second is None:
-        return found(first)
+        return found(first)[0]
     # The results of a block are written before the next, so that the driver holds few blocks at once.
-    each = [materialise(found(first), "found"), materialise(found(second), "found")]
+    each = [written(first), written(second)]
     del first, second
-    each += [materialise(found(items), "found") for items in blocks]
+    each += [written(items) for items in blocks]
     return reduce(DataFrame.unionByName, each)
