@@ -241,7 +241,7 @@ def _prefix_pairs(open_: DataFrame, sets: DataFrame, tried: DataFrame, percent:
     shingles, 100 I >= percent (x + y - I), so I is at least A = percent (x + y) / (100 + percent) and the first
     shared shingle stands among the first x - A + 1 and y - A + 1.  For the smaller set of a pair (y <= x) that is less
     than for the larger one, so each node has a longer list of places as the larger and a shorter one as the smaller;
-    nodes meet by shingle and by steps of size, of which a pair can be at most one apart.  Before a pair leaves that
+    nodes meet by shingle and by steps of size, of which the smaller can be at most one below.  Before a pair leaves that
     join, the sketches must leave it possible: x + y - 2 I elements are in one set only, so as many bits may differ.
     """
     held = open_.join(sets.select("node", "packed"), "node").select("node", "n", "component", "packed").mapInArrow(trimmed(_unpacked), "node long, n long, component long, token long")
@@ -256,7 +256,7 @@ def _prefix_pairs(open_: DataFrame, sets: DataFrame, tried: DataFrame, percent:
     ranked = ranked.join(sets.select("node", *_PARITIES), "node").withColumn("step", F.floor(F.log(F.col("n")) / -math.log(percent / 100)))
     ranked = materialise(ranked.select("node", "n", "component", "token", "place", "step", *_PARITIES), "prefixes")
     drop(found)
-    x = ranked.withColumn("step", F.explode(F.array(F.col("step"), F.col("step") - 1, F.col("step") + 1))).alias("x")
+    x = ranked.withColumn("step", F.explode(F.array(F.col("step"), F.col("step") - 1))).alias("x")
     y = ranked.where(f"place <= n - ceil(2 * n * {percent} / (100.0 + {percent}) - 1e-9)").alias("y")
     least = F.ceil((F.col("x.n") + F.col("y.n")) * percent / (100.0 + percent) - 1e-9)
     larger = (F.col("x.n") > F.col("y.n")) | (F.col("x.n") == F.col("y.n")) & (F.col("x.node") > F.col("y.node"))
