@@ -134,3 +134,35 @@ def test_small_strata_certify_nothing_and_larger_ones_do(spark):
     rows += [(s, 0, 100, 500, 90, 0, 0, 10, 1, 0) for s in "ab" for _ in range(40)]
     frame = spark.createDataFrame(rows, "stratum string, quality int, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long, n_upper long, n_marked long")
     assert [(t.stratum, t.rule) for t in choose_thresholds(frame.coalesce(1))] == [("a", "symbols")]
+
+
+def brute_measures(text):
+    """The rules' measures, by plain Python."""
+    text = text or ""
+    n, chars, symbols, dup, repeats = brute(text)
+    lines = sum(1 for line in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", line))
+    upper, marked = len(re.findall("[A-Z]", text)), len(re.findall("[!?]", text))
+    return {"symbols": symbols / max(n, 1), "dup_lines": dup / max(lines, 1), "repeats": repeats / max(n, 1), "upper": upper / max(chars, 1), "marked": marked / max(n, 1), "long_words": chars / max(n, 1)}
+
+
+def test_learnt_verdicts_on_real_documents(spark, monkeypatch):
+    """At this size the English documents certify cutoffs: the verdicts follow from these, catch most of the bad documents
+    that the base rules leave, and hardly a good one."""
+    folder = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    chosen = []
+    plain = quality.choose_thresholds
+    monkeypatch.setattr(quality, "choose_thresholds", lambda *a, **k: chosen.extend(found := plain(*a, **k)) or found)
+    got = {r.doc_id: r for r in judge(docs, labels).collect()}
+    assert chosen and {t.stratum for t in chosen} <= {"en", "de", "es", "fr"}
+    known = {r.doc_id: r.quality for r in labels.collect()}
+    caught = {0: [0, 0], 1: [0, 0]}
+    for r in docs.collect():
+        measures = brute_measures(r.text)
+        broken = [t.rule for t in chosen if t.stratum == r.lang and measures[t.rule] > t.cutoff]
+        found = got[r.doc_id]
+        assert sorted(found.broken) == sorted(broken) and found.kept == (not found.base_failed and not broken), r.doc_id
+        if not found.base_failed and known.get(r.doc_id) in caught and r.lang == "en":
+            caught[known[r.doc_id]][0] += bool(broken)
+            caught[known[r.doc_id]][1] += 1
+    assert caught[0][0] > caught[0][1] / 2 and caught[1][0] <= caught[1][1] * 0.05
