@@ -67,6 +67,16 @@ def trimmed(work: Callable) -> Callable:
     return run
 
 
+def give_back(spark: SparkSession) -> None:
+    """Have the executors collect their garbage, which also shrinks their heaps.
+
+    A heap that short-lived pages and batches have made grow stays as large for long, and stands beside the Python workers."""
+    from pyspark.sql import functions as F
+
+    n = spark.sparkContext.defaultParallelism
+    spark.range(0, n, 1, n).select(F.expr("java_method('java.lang.System', 'gc')").alias("done")).write.format("noop").mode("overwrite").save()
+
+
 def materialise(frame: DataFrame, name: str) -> DataFrame:
     """Write the rows to the shared folder and read them again: cuts lineage, survives lost executors."""
     spark = frame.sparkSession

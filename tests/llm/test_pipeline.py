@@ -75,6 +75,21 @@ def test_run(spark, folder):
     assert out.count() > 0 and len(corpus_pipeline.STAGES) == 5 and corpus_pipeline.ORACLE_SQL is None
 
 
+@pytest.mark.parametrize("stage", [stage for _, stage in corpus_pipeline.STAGES])
+def test_stages_give_heap_back(spark, folder, empty, stage):
+    """Each stage collects garbage before its jobs, and again before the caller's, if it had any."""
+
+    def full():
+        beans = spark._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+        return sum(b.getCollectionCount() for b in beans if "Old" in b.getName() or "MarkSweep" in b.getName())
+
+    before, settings = full(), {k: spark.conf.get(k) for k in BATCHES}
+    stage(spark, empty, folder)
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    assert full() - before >= (1 if stage is corpus_pipeline.tokens else 2)
+
+
 def test_shared_root(spark):
     assert shared_root(spark)
 
